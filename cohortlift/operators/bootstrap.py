@@ -17,7 +17,7 @@ PRIME = 2147483647
 #: Counts above this have a probability below the hash resolution.
 MAX_COUNT = 12
 #: The first pass aims this many standard deviations below the wanted sample size.
-SHORTFALL = 6
+SHORTFALL = 5
 
 
 @dataclass(frozen=True)
@@ -34,14 +34,17 @@ class Bootstrap:
     by_arm: bool = True
     scheme: str = "fixed_n"
 
-    def coefficients(self) -> list[tuple[int, int, int, int]]:
-        """Hash coefficients of every replicate."""
-        rows = []
-        for rep in range(self.reps):
-            digest = hashlib.md5(f"{self.seed}|{rep}".encode()).hexdigest()
-            parts = (int(digest[at:at + 8], 16) % PRIME for at in (0, 8, 16))
-            rows.append((rep, *parts))
-        return rows
+    def coefficients(self) -> tuple[str, str, str]:
+        """Hash coefficients of the replicates: three SQL arrays, folded to constants."""
+        digests = [
+            hashlib.md5(f"{self.seed}|{rep}".encode()).hexdigest() for rep in range(self.reps)
+        ]
+        return tuple(
+            "cast(split('{}', ' ') as array<bigint>)".format(
+                " ".join(str(int(digest[at:at + 8], 16) % PRIME) for digest in digests)
+            )
+            for at in (0, 8, 16)
+        )
 
 
 def poisson_thresholds(rate: str) -> list[str]:
@@ -59,6 +62,14 @@ def _hex_int(text: str, start: int, length: int) -> str:
     return f"cast(conv(substr({text}, {start}, {length}), 16, 10) as bigint)"
 
 
+def _cubic(h: str) -> str:
+    """SQL for a cubic polynomial hash of the draw number, with coefficients h0..h3."""
+    text = f"{h}0"
+    for i in range(1, 4):
+        text = f"(({text} * draw + {h}{i}) % {PRIME})"
+    return text
+
+
 def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) -> DataFrame:
     """Sum of every moment per study, replicate and arm over the resampled rows.
 
@@ -91,23 +102,21 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
     else:
         raise ValueError(f"unknown bootstrap scheme: {spec.scheme}")
 
-    replicates = ", ".join(
-        f"named_struct('rep', {rep}, 'a', {a}L, 'b', {b}L, 'c', {c}L)"
-        for rep, a, b, c in spec.coefficients()
-    )
-    count = " + ".join(f"if(u >= {t}, 1, 0)" for t in limits)
+    a, b, c = spec.coefficients()
+    count = " + ".join(["1", *(f"if(u >= {t}, 1, 0)" for t in limits[1:])])
     counted = (
         limited.withColumn("h", F.expr("md5(concat_ws('|', study_id, unit_id))"))
         .selectExpr(
             *group, "treatment", *names, *limits,
             f"{_hex_int('h', 1, 8)} % {PRIME} as x1", f"{_hex_int('h', 9, 8)} % {PRIME} as x2",
         )
-        .selectExpr("*", f"inline(array({replicates}))")
+        .selectExpr("*", f"explode(sequence(0, {spec.reps - 1})) as rep")
         .selectExpr(
-            *group, "treatment", "rep", *names, *limits, f"(a * x1 + b * x2 + c) % {PRIME} as u"
+            *group, "treatment", "rep", *names, *limits,
+            f"({a}[rep] * x1 + {b}[rep] * x2 + {c}[rep]) % {PRIME} as u",
         )
+        .filter("u >= t0")
         .selectExpr(*group, "treatment", "rep", *names, f"{count} as k")
-        .filter("k > 0")
         .groupBy(*group, "rep", "treatment")
         .agg(
             F.sum("k").alias("drawn"),
@@ -128,18 +137,25 @@ def _top_up(
 ) -> DataFrame:
     """Uniform draws that bring every replicate to its full size."""
     group = ["study_id", "pool"]
+    # A fixed width: these rows are few but each unfolds into many, so they must not be coalesced.
+    width = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     so_far = counted.groupBy(*group, "rep").agg(F.sum("drawn").alias("drawn"))
     draws = (
         cells.select(*group, "n").selectExpr("*", f"explode(sequence(0, {spec.reps - 1})) as rep")
         .join(so_far, [*group, "rep"], "left")
         .selectExpr(*group, "rep", "n", "n - coalesce(drawn, 0L) as short")
         .filter("short > 0")
-        .repartition(*group, "rep")
-        .selectExpr(*group, "rep", "n", "explode(sequence(1L, short)) as draw")
-        .withColumn(
-            "h", F.expr(f"md5(concat_ws('|', {spec.seed}, study_id, pool, rep, draw))")
+        .repartition(width, *group, "rep")
+        .selectExpr(
+            "*", f"md5(concat_ws('|', {spec.seed}, study_id, pool, rep, 'x')) as hx",
+            f"md5(concat_ws('|', {spec.seed}, study_id, pool, rep, 'y')) as hy",
+        )
+        .selectExpr(
+            *group, "rep", "n", "short",
+            *(f"{_hex_int(h, 8 * i + 1, 8)} % {PRIME} as {h}{i}" for h in ("hx", "hy") for i in range(4)),
         )
-        .selectExpr(*group, "rep", f"{_hex_int('h', 1, 15)} % n as idx")
+        .selectExpr("*", "explode(sequence(1L, short)) as draw")
+        .selectExpr(*group, "rep", f"({_cubic('hx')} * 2147483648 + {_cubic('hy')}) % n as idx")
     )
     indexed = bucketed_index(base, group, "unit_id", "idx", cells)
     return (

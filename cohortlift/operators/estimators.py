@@ -109,15 +109,13 @@ def finish_adjusted(sums: DataFrame, keys: Sequence[str], size: int) -> DataFram
     }
     cross = {f"q{i}": within(f"wzy{i}", f"wz{i}", "wy") for i in range(size)}
     gaps = {f"g{i}": gap(f"wz{i}") for i in range(size)}
-    system = sums.selectExpr(
-        *keys, f"{gap('wy')} as gap_y",
-        *(f"{sql} as {name}" for name, sql in (matrix | cross | gaps).items()),
-    )
-    factored = linalg.factor(system, size, lambda i, j: f"s{i}_{j}", PIVOT_FLOOR)
-    both = linalg.forward(factored, size, [f"q{i}" for i in range(size)], "u")
-    both = linalg.forward(both, size, [f"g{i}" for i in range(size)], "v")
+    steps = [("gap_y", gap("wy")), *(matrix | cross | gaps).items()]
+    steps += linalg.factor(size, lambda i, j: f"s{i}_{j}", PIVOT_FLOOR)
+    steps += linalg.forward([f"q{i}" for i in range(size)], "u")
+    steps += linalg.forward([f"g{i}" for i in range(size)], "v")
     explained = " + ".join(f"try_divide(u{i} * v{i}, _d{i})" for i in range(size))
-    return both.selectExpr(*keys, f"gap_y - ({explained}) as estimate")
+    steps.append(("estimate", f"gap_y - ({explained})"))
+    return sums.selectExpr(*keys, *linalg.select_list(steps)).select(*keys, "estimate")
 
 
 def effect(matched: DataFrame, model: str, keys: Sequence[str] = ("study_id",)) -> DataFrame:

@@ -21,7 +21,8 @@ def pin(df: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
     larger table is checkpointed and joins as any other table, so no row is ever dropped.
     """
     spark = df.sparkSession
-    df = df.select(*(F.col(f.name).cast(_nullable(f.dataType)) for f in df.schema))
+    if any(isinstance(f.dataType, (StructType, ArrayType)) for f in df.schema):
+        df = df.select(*(F.col(f.name).cast(_nullable(f.dataType)) for f in df.schema))
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows:
         return spark.createDataFrame(head, df.schema)

@@ -83,13 +83,13 @@ def _newton_step(rows: DataFrame, state: DataFrame, tol: float) -> DataFrame:
     def entry(i: int, j: int) -> str:
         return f"(h{i}_{j} + {RIDGE})" if i == j else f"h{i}_{j}"
 
-    solved = linalg.solve(
-        linalg.factor(totals, _SIZE, entry), _SIZE, [f"g{i}" for i in range(_SIZE)], "s"
+    steps = linalg.factor(_SIZE, entry) + linalg.solve([f"g{i}" for i in range(_SIZE)], "s")
+    solved = totals.selectExpr("study_id", *linalg.select_list(steps)).select(
+        "study_id", *(f"s{i}" for i in range(_SIZE))
     )
-    steps = solved.select("study_id", *(f"s{i}" for i in range(_SIZE)))
     largest = ", ".join(f"abs(s{i})" for i in range(_SIZE))
     fixed = [c for c in state.columns if c != "moving" and c not in {f"b{i}" for i in range(_SIZE)}]
-    return state.join(steps, "study_id", "left").selectExpr(
+    return state.join(solved, "study_id", "left").selectExpr(
         *fixed, *(f"if(moving, b{i} + s{i}, b{i}) as b{i}" for i in range(_SIZE)),
         f"moving and coalesce(greatest({largest}) >= {tol!r}D, false) as moving",
     )

@@ -33,7 +33,7 @@ def exact_quantile(
             f"(n - 1) * {prob!r}D as target",
         )
     )
-    while spans.filter(f"inside > {max_rows} and lo < hi and not settled").limit(1).count():
+    while spans.filter(f"inside > {max_rows} and lo < hi and not settled").take(1):
         spans = _narrow(values, keys, spans, max_rows)
 
     counts = (

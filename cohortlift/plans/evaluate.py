@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlift.operators import estimators, quality, ranks, routing, selection
+from cohortlift.operators import quality, ranks, routing, selection
 from cohortlift.operators.bootstrap import Bootstrap
 from cohortlift.operators.matching import matched_counts
 from cohortlift.operators.pinning import pin, stage
@@ -43,15 +43,13 @@ def _now(run_ts: str | None) -> str:
 
 
 def build_status(cohort: DataFrame, panel: DataFrame | None, config: DataFrame) -> DataFrame:
-    """Config, method names, quality score and gate decision of every study."""
+    """Config, method names, quality score, naive contrast and gate decision of every study."""
     methods = pin(selection.with_methods(config))
     singles = selection.study_slice(cohort, methods.filter(f"not {_PANEL}"))
-    scores = quality.quality_scores(quality.clean(singles))
+    scores = quality.profile_cohort(quality.clean(singles))
     if panel is not None:
         longitudinal = selection.study_slice(panel, methods.filter(_PANEL))
-        scores = scores.unionByName(
-            quality.quality_scores(quality.clean(quality.baseline_rows(longitudinal)))
-        )
+        scores = scores.unionByName(quality.profile_panel(quality.clean(longitudinal)))
     return pin(quality.gate(scores, methods))
 
 
@@ -81,23 +79,12 @@ def evaluate(
     run = prepare(cohort, panel, selected, registry)
     methods = run.status.filter("quality_passed")
     effects = dispatch_model(run.matched, methods, registry, bootstrap)
-
-    naive = estimators.naive_effect(
-        selection.study_slice(cohort, methods.filter(f"not {_PANEL}"))
-    )
-    if panel is not None:
-        naive = naive.unionByName(
-            estimators.naive_panel(
-                selection.study_slice(panel, methods.filter("model_method = 'lme_mixed'"))
-            )
-        )
     config_version = stamp_value(config) if stamped else None
     cohort_version = stamp_value(cohort) if stamped else None
     panel_version = stamp_value(panel) if stamped else None
     rows = (
-        effects.join(methods.select("study_id", "matching_method", "model_family"), "study_id")
+        effects.join(methods.select("study_id", "matching_method", "model_family", "naive_estimate"), "study_id")
         .join(run.counts, "study_id", "left")
-        .join(naive, "study_id", "left")
         .withColumn("config_version", F.lit(config_version))
         .withColumn(
             "data_version", F.when(F.expr(_PANEL), F.lit(panel_version)).otherwise(F.lit(cohort_version))
