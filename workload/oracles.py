@@ -471,7 +471,7 @@ _CTES["x_stamp_config"] = _stamp(
 
 def _evaluation(boot: str, outcomes: str, source: str, extra: str) -> str:
     return f"""
-select p.study_id, '{RUN_TS}' as run_ts, m.matching_method, m.model_method, n_treated, n_control,
+select p.study_id, '{RUN_TS}' as run_ts, m.matching_method, m.model_method, a.n_treated, a.n_control,
        round(p.estimate, 3) as estimate, round(std_error, 3) as std_error, round(ci_low, 3) as ci_low,
        round(ci_high, 3) as ci_high,
        round(case when m.model_method = 'lme_growth' then p.estimate else naive_estimate end, 3) as naive_estimate,
@@ -627,8 +627,8 @@ _oracle("impute_global", "select study_id, patient_id, round(risk_score, 4) as r
 _oracle("impute_arm", "select study_id, patient_id, round(risk_score, 4) as risk_score from x_arm")
 _oracle("period_split", "select study_id, patient_id, period, case when period = 0 then 'baseline' else 'performance' end"
         " as phase from x_window where period <= performance_months")
-_oracle("performance_mean", "select study_id, patient_id, round(post_outcome, 4) as post_outcome from x_perf")
-_oracle("panel_features", f"select {_ROUNDED} from x_panel_feat")
+_oracle("performance_mean", "select study_id, patient_id, round(post_outcome, 6) as post_outcome from x_perf")
+_oracle("panel_features", f"select {_ROUNDED.replace(', 4)', ', 6)')} from x_panel_feat")
 _oracle("panel_periods", "select study_id, patient_id, treatment, period, round(outcome, 4) as outcome from x_window"
         " where period between 1 and performance_months")
 _oracle("panel_impute", "select study_id, patient_id, period, round(coalesce(risk_score, m), 4) as risk_score"
@@ -675,7 +675,7 @@ for _model, _covs in (("gee", COVARIATES), ("mixed", ("pre_outcome", *COVARIATES
 for _family, _outcome in (("mixed", _DID), ("growth", "slope")):
     _oracle(f"effect_lme_{_family}", "select study_id, round(estimate, 4) as estimate from"
             f" ({_contrast('p_knn', _outcome)}) e where study_id = 'LME_{_family.upper()}'")
-_oracle("patient_slopes", "select study_id, patient_id, round(slope, 4) as slope from x_panel_feat")
+_oracle("patient_slopes", "select study_id, patient_id, round(slope, 6) as slope from x_panel_feat")
 _oracle("naive_effect", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive")
 _oracle("naive_panel", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive_panel")
 for _key, _prefix in (("by_arm", "ba"), ("rows", "br"), ("panel", "bp"), ("poisson", "bo")):

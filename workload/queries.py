@@ -40,7 +40,10 @@ def all_queries() -> dict[str, Query]:
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round doubles, so that only the order of float additions is hidden."""
+    """Round doubles, so that only the order of float additions is hidden.
+
+    Amounts are multiples of 0.0001; their means need more digits to stay clear of ties.
+    """
     return df.select(
         *(
             F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
@@ -337,13 +340,13 @@ def period_split(spark, sf_dir):
 
 @query
 def performance_mean(spark, sf_dir):
-    return rounded(feats.performance_mean(fx.panel(spark, sf_dir), panel_studies(spark, sf_dir)))
+    return rounded(feats.performance_mean(fx.panel(spark, sf_dir), panel_studies(spark, sf_dir)), 6)
 
 
 @query
 def panel_features(spark, sf_dir):
     rows = feats.panel_features(fx.panel(spark, sf_dir), panel_studies(spark, sf_dir))
-    return rounded(rows.drop("slope"))
+    return rounded(rows.drop("slope"), 6)
 
 
 @query
@@ -487,7 +490,7 @@ def effect_lme_mixed(spark, sf_dir):
 @query
 def patient_slopes(spark, sf_dir):
     rows = feats.panel_features(fx.panel(spark, sf_dir), panel_studies(spark, sf_dir))
-    return rounded(rows.select(*KEYED, "slope"))
+    return rounded(rows.select(*KEYED, "slope"), 6)
 
 
 @query
