@@ -115,7 +115,10 @@ def finish_adjusted(sums: DataFrame, keys: Sequence[str], size: int) -> DataFram
     steps += linalg.forward([f"g{i}" for i in range(size)], "v")
     explained = " + ".join(f"try_divide(u{i} * v{i}, _d{i})" for i in range(size))
     steps.append(("estimate", f"gap_y - ({explained})"))
-    return sums.selectExpr(*keys, *linalg.select_list(steps)).select(*keys, "estimate")
+    solved = sums.selectExpr(*keys, *linalg.select_list(steps)).select(*keys, "estimate")
+    # One row per key already: this aggregation shuffles nothing, but stops later filters from
+    # being pushed into the solver, where every step would be substituted into the next.
+    return solved.groupBy(*keys).agg(F.max("estimate").alias("estimate"))
 
 
 def effect(matched: DataFrame, model: str, keys: Sequence[str] = ("study_id",)) -> DataFrame:
