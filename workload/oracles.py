@@ -287,7 +287,10 @@ def _contrast(source: str, outcome: str, keys: str = "study_id") -> str:
 
 
 def _regression(source: str, covariates: tuple[str, ...], keys: str) -> str:
-    """Weighted least squares with intercept: elimination on centred columns, treatment last."""
+    """Weighted least squares with intercept: elimination on centred columns, treatment last.
+
+    Null when a pivot shrinks to 1e-12 of its diagonal: the effect is then not identified.
+    """
     names = [*covariates, "treatment", "post_outcome"]
     means = ", ".join(f"sum(weight * {n}) / sum(weight) as m_{n}" for n in names)
     size = len(names)
@@ -295,18 +298,24 @@ def _regression(source: str, covariates: tuple[str, ...], keys: str) -> str:
         f"sum(weight * ({names[i]} - m_{names[i]}) * ({names[j]} - m_{names[j]})) as a{i}_{j}"
         for i in range(size - 1) for j in range(size)
     )
+    kept = ", ".join(f"d{i}" for i in range(size - 1))
     text = (
         f"select {keys}, {cells} from {source} join (select {keys}, {means} from {source} group by {keys}) m"
         f" using ({keys}) group by {keys}"
     )
+    text = f"select *, {', '.join(f'a{i}_{i} as d{i}' for i in range(size - 1))} from ({text}) d"
     for k in range(size - 2):
+        pivot = f"case when a{k}_{k} > 1e-12 * d{k} then a{k}_{k} end"
         cells = ", ".join(
-            f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} as a{i}_{j}"
+            f"a{i}_{j} - a{i}_{k} * a{k}_{j} / ({pivot}) as a{i}_{j}"
             for i in range(k + 1, size - 1) for j in range(k + 1, size)
         )
-        text = f"select {keys}, {cells} from ({text}) e{k}"
+        text = f"select {keys}, {kept}, {cells} from ({text}) e{k}"
     last = size - 2
-    return f"select {keys}, a{last}_{last + 1} / a{last}_{last} as estimate from ({text}) z"
+    return (
+        f"select {keys}, case when a{last}_{last} > 1e-12 * d{last} then a{last}_{last + 1} / a{last}_{last} end"
+        f" as estimate from ({text}) z"
+    )
 
 
 def _hex(text: str, start: int, length: int = 8) -> str:
@@ -679,7 +688,7 @@ _oracle("patient_slopes", "select study_id, patient_id, round(slope, 6) as slope
 _oracle("naive_effect", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive")
 _oracle("naive_panel", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive_panel")
 for _key, _prefix in (("by_arm", "ba"), ("rows", "br"), ("panel", "bp"), ("poisson", "bo")):
-    _oracle(f"bootstrap_{_key}", f"select study_id, rep, round(estimate, 4) as estimate from {_prefix}_est")
+    _oracle(f"bootstrap_{_key}", f"select study_id, rep, round(estimate, 6) as estimate from {_prefix}_est")
 _oracle("bootstrap_ci", "select study_id, round(estimate, 4) as estimate, n_reps, round(std_error, 4) as std_error,"
         f" round(ci_low, 4) as ci_low, round(ci_high, 4) as ci_high from ({_contrast('g_stratified', _DID)}) p"
         " join ba_ci using (study_id)")

@@ -512,25 +512,25 @@ def naive_panel(spark, sf_dir):
 @query
 def bootstrap_by_arm(spark, sf_dir):
     matched = stage(matching.match_stratified(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "did", Bootstrap(seed=7, by_arm=True)))
+    return rounded(boot.replicates(matched, "did", Bootstrap(seed=7, by_arm=True)), 6)
 
 
 @query
 def bootstrap_rows(spark, sf_dir):
     matched = stage(matching.match_exact(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "att", Bootstrap(seed=0, by_arm=False)))
+    return rounded(boot.replicates(matched, "att", Bootstrap(seed=0, by_arm=False)), 6)
 
 
 @query
 def bootstrap_panel(spark, sf_dir):
     matched = matched_panel(spark, sf_dir)
-    return rounded(boot.replicates(matched, "lme_growth", Bootstrap(seed=0, by_arm=False)))
+    return rounded(boot.replicates(matched, "lme_growth", Bootstrap(seed=0, by_arm=False)), 6)
 
 
 @query
 def bootstrap_poisson(spark, sf_dir):
     matched = stage(matching.match_exact(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "att", Bootstrap(seed=11, scheme="poisson")))
+    return rounded(boot.replicates(matched, "att", Bootstrap(seed=11, scheme="poisson")), 6)
 
 
 @query
