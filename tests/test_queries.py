@@ -10,7 +10,7 @@ CHOSEN = (
     "config_scan", "sink_overwrite", "results_union", "assign_ids", "data_stamp", "select_subset",
     "family_split", "gate_fail", "phase_trace", "quality_score", "impute_arm", "panel_features",
     "common_strata", "match_knn", "match_ipw", "effect_mixed", "effect_lme_growth",
-    "bootstrap_by_arm", "rank_or_sign", "wilcoxon", "headline", "interpretation", "step_log",
+    "bootstrap_panel", "rank_or_sign", "wilcoxon", "headline", "interpretation", "step_log",
 )
 
 
