@@ -39,13 +39,14 @@ def _nullable(kind: DataType) -> DataType:
     return kind
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a row-level table to the shared folder and read it back.
 
     Later passes scan only the columns they need, and a lost executor costs a re-read rather
-    than a recomputation.
+    than a recomputation.  ``by`` names a column of few values whose partitions a filter can
+    skip.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortlift.operators import bootstrap as boot
 from cohortlift.operators import estimators, features as feats
-from cohortlift.operators.pinning import pin
+from cohortlift.operators.pinning import pin, stage
 from cohortlift.operators.propensity import with_propensity
 from cohortlift.operators.selection import study_slice
 from cohortlift.plans.registry import IMPUTATIONS, Registry
@@ -49,23 +49,41 @@ def dispatch_features(
 
 
 def dispatch_matching(features: DataFrame, methods: DataFrame, registry: Registry) -> DataFrame:
-    """Matched rows of all studies; knn and ipw share one propensity fit."""
+    """Matched rows of all studies; knn and ipw share one propensity fit.
+
+    Features staged with their ``matching_method`` are read once in total: each method scans
+    only its own partitions.
+    """
     names = _names(methods, "matching_method")
     registry.reject_unknown("matching", names)
-    scored = None
-    if set(names) & set(_SCORED):
-        users = methods.filter(F.col("matching_method").isin(*_SCORED))
-        scored = with_propensity(study_slice(features, users))
+
+    def rows_of(table: DataFrame, *wanted: str) -> DataFrame:
+        if "matching_method" in table.columns:
+            return table.filter(F.col("matching_method").isin(*wanted)).drop("matching_method")
+        return study_slice(table, methods.filter(F.col("matching_method").isin(*wanted)))
+
+    users = [name for name in names if name in _SCORED]
+    scored = with_propensity(rows_of(features, *users)) if users else None
     parts = []
     for name in names:
-        source = scored if name in _SCORED else features
-        chosen = methods.filter(F.col("matching_method") == name)
-        parts.append(registry.run("matching", name, study_slice(source, chosen)))
+        if name not in users:
+            source = rows_of(features, name)
+        elif len(users) == 1:
+            source = scored
+        else:
+            source = study_slice(scored, methods.filter(F.col("matching_method") == name))
+        parts.append(registry.run("matching", name, source))
     if not parts:
-        parts.append(registry.run("matching", "none", features.limit(0)))
+        parts.append(registry.run("matching", "none", features.limit(0).drop("matching_method")))
     return _union(parts)
 
 
+def stage_features(features: DataFrame, methods: DataFrame) -> DataFrame:
+    """Feature rows as a table partitioned by the matching method of their study."""
+    labelled = features.join(methods.select("study_id", "matching_method"), "study_id")
+    return stage(labelled, "features", by="matching_method")
+
+
 def dispatch_model(
     matched: DataFrame, methods: DataFrame, registry: Registry, spec: boot.Bootstrap | None
 ) -> DataFrame:

@@ -10,7 +10,9 @@ from cohortlift.operators import quality, ranks, routing, selection
 from cohortlift.operators.bootstrap import Bootstrap
 from cohortlift.operators.matching import matched_counts
 from cohortlift.operators.pinning import pin, stage
-from cohortlift.plans.dispatch import dispatch_features, dispatch_matching, dispatch_model
+from cohortlift.plans.dispatch import (
+    dispatch_features, dispatch_matching, dispatch_model, stage_features,
+)
 from cohortlift.plans.registry import Registry
 from cohortlift.schemas import (
     EVALUATION_RESULTS, EVALUATION_RESULTS_BASE, PE_EVALUATION_RESULTS, PE_STEP_LOG,
@@ -60,8 +62,8 @@ def prepare(
     status = build_status(cohort, panel, config)
     methods = status.filter("quality_passed")
     clean_panel = None if panel is None else quality.clean(panel)
-    features = stage(
-        dispatch_features(quality.clean(cohort), clean_panel, methods, registry), "features"
+    features = stage_features(
+        dispatch_features(quality.clean(cohort), clean_panel, methods, registry), methods
     )
     matched = stage(dispatch_matching(features, methods, registry), "matched")
     return Run(status, features, matched)
@@ -112,7 +114,9 @@ def evaluate_before(
     # This track always fills with the study median, whatever the configured feature method.
     status = build_status(cohort, None, config).withColumn("feature_method", F.lit("standard"))
     methods = pin(routing.route_before(status).filter("branch is not null"))
-    features = stage(dispatch_features(quality.clean(cohort), None, methods, registry), "features")
+    features = stage_features(
+        dispatch_features(quality.clean(cohort), None, methods, registry), methods
+    )
     matched = stage(dispatch_matching(features, methods, registry), "matched")
     rows = (
         dispatch_model(matched, methods, registry, None)
@@ -147,16 +151,13 @@ def evaluate_phases(
         raise ValueError("Unknown model_type in config")
     status = pin(routing.next_phase(build_status(cohort, None, config)))
     passed = status.filter("quality_passed")
-    features = stage(
-        dispatch_features(quality.clean(cohort), None, passed, registry), "features"
+    features = stage_features(
+        dispatch_features(quality.clean(cohort), None, passed, registry), passed
     )
     effects_of = passed.filter("model_type in ('att', 'did')")
+    to_match = passed.filter("nextphase = 'matching' or model_type in ('att', 'did')")
     matched = stage(
-        dispatch_matching(
-            selection.study_slice(features, passed.filter("nextphase = 'matching' or model_type in ('att', 'did')")),
-            passed.filter("nextphase = 'matching' or model_type in ('att', 'did')"), registry,
-        ),
-        "matched",
+        dispatch_matching(selection.study_slice(features, to_match), to_match, registry), "matched"
     )
     counts = pin(matched_counts(matched))
     effects = pin(
