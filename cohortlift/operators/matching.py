@@ -90,7 +90,8 @@ def match_knn(features: DataFrame) -> DataFrame:
     in_shard = Window.partitionBy("study_id", "_shard")
     upto = (Window.unboundedPreceding, Window.currentRow)
     nearest = (
-        sharded
+        # Shuffled before the candidates are built: they repeat the row twice over.
+        sharded.repartition("study_id", "_shard")
         .withColumn("lower", F.expr(below)).withColumn("upper", F.expr(above))
         .withColumn("lower", F.max("lower").over(in_shard.orderBy("ps").rangeBetween(*upto)))
         .withColumn("upper", F.min("upper").over(in_shard.orderBy(F.desc("ps")).rangeBetween(*upto)))
