@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlift.llm import ngram_join
+from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source_mix, token_store
+from cohortlift.llm.shipping import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,55 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    model = quality_mil.train(quality_mil.training_rows(docs, labels, "quality", 3, 1))
+    return quality_mil.score(docs, model).select(
+        "doc_id", quality_mil.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return source_mix.plan_mix(docs, keep_text=False).select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"), (F.col("_size") * F.size("_shards")).alias("taken"),
+    )
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = secret_scan.base_spans(F.col("spans"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secret_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.store_path(spark)
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=2)
+    return token_store.token_index(spark, path)
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        _table(spark, sf_dir, "documents"), capacity=4096, tokenizer_path=tokenizer_file(), end_id=1
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()
