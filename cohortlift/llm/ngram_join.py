@@ -8,7 +8,8 @@ by a sketch is still one order for all, so its errors cost time only.  Candidate
 the first order, kept where the other orders' prefixes meet too, and then verified on whole texts.
 
 Groups of documents under one prefix token are never expanded into all pairs.  A few pivots of each
-group are compared with its members; verified links are merged into components; a group whose
+group, those that share the most with others, are compared with its members; verified links are merged
+into components; members that no position of the token allows a link are left out; a group whose
 remaining members are of one component is done, and the others get more pivots.  At the end every
 candidate pair has been compared or lies within one component, so components are exact.
 """
@@ -26,20 +27,18 @@ from cohortlift.llm.components import components
 from cohortlift.llm.words import mix, shingle_sets, text_slices
 from cohortlift.operators.pinning import stage
 
-SKETCH_SLOTS = 1 << 20
-_SKETCH_BLOCK = 1 << 14
+SKETCH_SLOTS = 1 << 22
+_SKETCH_BLOCK = 1 << 16
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 
 _SKETCH_SCHEMA = "block int, counts binary"
-_FEATURE_SCHEMA = (
-    "doc_id long, n_shingles long, key_a long, key_b long, prefix array<long>, "
-    "second array<int>, third array<int>"
-)
+_FEATURE_SCHEMA = "doc_id long, n_shingles long, key_a long, key_b long, prefix array<long>"
+_BODY_SCHEMA = "doc_id long, second array<int>, third array<int>, text string"
 
 
 def _sketch_part(width: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH_SLOTS, dtype=np.int64)
+        counts = np.zeros(SKETCH_SLOTS, dtype=np.int32)
         for batch in batches:
             for texts in text_slices(batch.column("text")):
                 sets = list(shingle_sets(texts, width))
@@ -63,11 +62,11 @@ def _sketch_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-            part = np.frombuffer(zlib.decompress(counts), dtype=np.int64)
+            part = np.frombuffer(zlib.decompress(counts), dtype=np.int32).astype(np.int64)
             sums[block] = sums[block] + part if block in sums else part
     yield pa.RecordBatch.from_pydict({
         "block": pa.array(sums, pa.int32()),
-        "counts": pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary()),
+        "counts": pa.array([zlib.compress(np.minimum(v, 2**31 - 1).astype(np.int32).tobytes(), 1) for v in sums.values()], pa.binary()),
     })
 
 
@@ -80,7 +79,7 @@ def frequency_classes(docs: DataFrame, width: int) -> np.ndarray:
     sums = parts.repartition("block").mapInArrow(_sketch_sum, _SKETCH_SCHEMA)
     counts = np.zeros((SKETCH_SLOTS // _SKETCH_BLOCK, _SKETCH_BLOCK), dtype=np.int64)
     for row in sums.collect():
-        counts[row.block] = np.frombuffer(zlib.decompress(row.counts), dtype=np.int64)
+        counts[row.block] = np.frombuffer(zlib.decompress(row.counts), dtype=np.int32)
     counts = counts.reshape(-1)
     mean = max(float(counts.mean()), 1.0)
     return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, 63).astype(np.uint8)
@@ -115,20 +114,47 @@ def _features(width: int, num: int, den: int, shared):
                     at = (ends - sizes)[filled]
                     low[filled] = np.add.reduceat(mix(tokens ^ np.uint64(0x452821E638D01377)), at)
                     high[filled] = np.add.reduceat(mix(tokens ^ np.uint64(0xBE5466CF34E90C6C)), at)
-                take = np.where(sizes > 0, sizes - (num * sizes + den - 1) // den + 1, 0)
-                columns = []
-                for order in range(3):
-                    keys = _ordered(tokens, classes, order).astype(np.int64)
-                    parts = []
-                    for end, size, few in zip(ends, sizes, take):
-                        part = keys[end - size : end]
-                        part = np.sort(np.partition(part, few - 1)[:few]) if 0 < few < size else np.sort(part)
-                        parts.append(part if order == 0 else (part & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
-                    columns.append(_lists(parts, pa.int64() if order == 0 else pa.int32()))
+                prefixes = _prefixes(tokens, sizes, classes, 0, num, den)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(texts.first, texts.rows), pa.array(sizes), pa.array(low.view(np.int64)),
-                     pa.array(high.view(np.int64)), *columns],
-                    names=["doc_id", "n_shingles", "key_a", "key_b", "prefix", "second", "third"],
+                     pa.array(high.view(np.int64)), _lists(prefixes, pa.int64())],
+                    names=["doc_id", "n_shingles", "key_a", "key_b", "prefix"],
+                )
+
+    return run
+
+
+def _prefixes(
+    tokens: np.ndarray, sizes: np.ndarray, classes: np.ndarray, order: int, num: int, den: int
+) -> list[np.ndarray]:
+    """The first ``n - ceil(t n) + 1`` keys of each set, ascending under the given order."""
+    keys = _ordered(tokens, classes, order).astype(np.int64)
+    take = np.where(sizes > 0, sizes - (num * sizes + den - 1) // den + 1, 0)
+    parts = []
+    for end, size, few in zip(np.cumsum(sizes).tolist(), sizes.tolist(), take.tolist()):
+        part = keys[end - size : end]
+        parts.append(np.sort(np.partition(part, few - 1)[:few]) if 0 < few < size else np.sort(part))
+    return parts
+
+
+def _bodies(width: int, num: int, den: int, shared):
+    """The texts of candidate documents with their prefixes under the second and third order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
+        for batch in batches:
+            for texts in text_slices(batch.column("text")):
+                sets = list(shingle_sets(texts, width))
+                sizes = np.array([len(s) for s in sets], dtype=np.int64)
+                tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+                others = [
+                    _lists([(p & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+                            for p in _prefixes(tokens, sizes, classes, order, num, den)], pa.int32())
+                    for order in (1, 2)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(texts.first, texts.rows), *others,
+                     batch.column("text").slice(texts.first, texts.rows)],
+                    names=["doc_id", "second", "third", "text"],
                 )
 
     return run
@@ -154,10 +180,10 @@ def _verify(width: int, num: int, den: int):
 
 
 def _pairs(rows: DataFrame, spread: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Pivots of each group (the least node under each of ``spread`` salts), and their pairs with
-    members of other components that the positions of the shared token do not rule out."""
+    """Pivots of each group (the highest-ranked node under each of ``spread`` salts), and their pairs
+    with members of other components that the positions of the shared token do not rule out."""
     salt = F.pmod(F.xxhash64("node"), F.lit(spread))
-    pivots = rows.groupBy("token", salt.alias("salt")).agg(F.min("node").alias("node")).drop("salt")
+    pivots = rows.groupBy("token", salt.alias("salt")).agg(F.max_by("node", "rank").alias("node")).drop("salt")
     left = rows.join(pivots, ["token", "node"]).select(
         "token", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("pos").alias("pp"),
         F.col("component").alias("pc"),
@@ -170,6 +196,28 @@ def _pairs(rows: DataFrame, spread: int, num: int, den: int) -> tuple[DataFrame,
     return pivots, pairs
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Rows with ``rank``: how many documents a node's prefix tokens are shared with on average, so
+    that the least edited of a group of near copies comes first; a hash breaks ties."""
+    length = F.max("n") - F.max("floor") + 1
+    hubs = rows.groupBy("node").agg(
+        (F.sum("holders") / length + F.pmod(F.xxhash64("node"), F.lit(1 << 20)) * 1e-9).alias("rank")
+    )
+    return rows.join(hubs, "node").drop("holders", "floor")
+
+
+def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows that may still link: of groups with more than one component, once members are left out
+    whose token lies too far behind even for the group's smallest set."""
+    least = rows.groupBy("token").agg(F.min("n").alias("least"))
+    allowed = (F.col("n") - F.col("pos")) * (num + den) >= (F.col("n") + F.col("least")) * num
+    rows = stage(rows.join(least, "token").where(allowed).drop("least"), "allowed")
+    several = rows.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low < high").select("token")
+    return stage(rows.join(several, "token"), "open")
+
+
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row of ``docs``.
 
@@ -205,55 +253,49 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     tokens = heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"),
                           F.posexplode("prefix").alias("pos", "token"))
     shared_tokens = tokens.groupBy("token").agg(
-        F.min("node").alias("low"), F.max("node").alias("high")
-    ).where("low < high").select("token")
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("holders")
+    ).where("low < high").select("token", "holders")
+    floor = F.ceil(F.col("n") * num / den)
     rows = stage(
-        tokens.join(shared_tokens, "token").select("token", "node", "n", "pos", F.col("node").alias("component")),
-        "prefixes",
+        tokens.join(shared_tokens, "token").select(
+            "token", "node", "n", "pos", F.col("node").alias("component"), "holders", floor.alias("floor")
+        ), "prefixes",
+    )
+    rows = stage(_ranked(rows), "ranked")
+    bodies = stage(
+        docs.join(rows.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        .mapInArrow(_bodies(width, num, den, shared), _BODY_SCHEMA), "bodies",
     )
     # Rows of one doc_id with different texts are links by definition.
     mixed = members.groupBy("doc_id").agg(
         F.min("class_id").alias("v"), F.max("class_id").alias("high")
     ).where("v < high")
     edges = members.join(mixed, "doc_id").select(F.col("class_id").alias("u"), "v")
-    filters = heads.select("doc_id", "second", "third")
     found = components(edges)
     checked, spread = None, 1
     while not rows.isEmpty():
         pivots, pairs = _pairs(rows, spread, num, den)
         pairs = stage(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "candidates")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        links = stage(_links(pairs, filters, docs, width, num, den), "verified")
-        edges = edges.unionByName(links)
+        edges = edges.unionByName(stage(_links(pairs, bodies, width, num, den), "verified"))
         found = components(edges)
         left = rows.drop("component").join(pivots, ["token", "node"], "left_anti").join(
             found.withColumnRenamed("component", "root"), "node", "left"
-        ).select("token", "node", "n", "pos", F.coalesce("root", "node").alias("component"))
-        left = stage(left, "remaining")
-        open_tokens = left.groupBy("token").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).where("low < high").select("token")
-        rows = stage(left.join(open_tokens, "token"), "open")
+        ).withColumn("component", F.coalesce("root", "node")).drop("root")
+        rows = _open(left, num, den)
         spread *= 4
     return members.join(
         found.select(F.col("node").alias("class_id"), F.col("component").alias("root")), "class_id", "left"
     ).select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
 
 
-def _links(
-    pairs: DataFrame, filters: DataFrame, docs: DataFrame, width: int, num: int, den: int
-) -> DataFrame:
+def _links(pairs: DataFrame, bodies: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Pairs whose prefixes meet under the other orders too and whose whole texts are alike."""
-    def side(name: str) -> DataFrame:
-        return filters.select(
-            F.col("doc_id").alias(name), F.col("second").alias(f"second_{name}"), F.col("third").alias(f"third_{name}")
-        )
-
-    def text(name: str) -> DataFrame:
-        return docs.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
+    def side(name: str, *columns: str) -> DataFrame:
+        return bodies.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
-    kept = pairs.join(side("u"), "u").join(side("v"), "v").where(
+    kept = pairs.join(side("u", "second", "third"), "u").join(side("v", "second", "third"), "v").where(
         F.arrays_overlap("second_u", "second_v") & F.arrays_overlap("third_u", "third_v")
-    ).select("u", "v")
-    texts = kept.join(text("u"), "u").join(text("v"), "v").select("u", "v", "text_u", "text_v")
+    ).select("u", "v").distinct()
+    texts = kept.join(side("u", "text"), "u").join(side("v", "text"), "v").select("u", "v", "text_u", "text_v")
     return texts.mapInArrow(_verify(width, num, den), "u long, v long").distinct()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source_mix, token_store
+from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source_mix, token_store, toxicity, weighted_sampling
 from cohortlift.llm.shipping import ship
 
 
@@ -58,6 +58,20 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels")
+    model = toxicity.train(quality_mil.training_rows(docs, labels, "toxic", 5, 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", quality_mil.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.store_path(spark)
     token_store.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=2)
