@@ -2,9 +2,9 @@
 
 Two models, toxic and ordinary, give every byte of a word (and the word's end) a probability after up to
 ``ORDER - 1`` bytes of the word before it: discounted counts of the class, the rest of the mass handed to
-the next shorter context, whose counts are those of distinct left neighbours.  Contexts of one byte and
-none are shared by both classes, so that what one class never met is judged by counts of both.
-A document's score is the difference of its log-likelihoods per byte, put on a scale of 0
+a model that both share.  The shared model is an interpolated Kneser-Ney model of the pooled rows: its
+shorter contexts count distinct left neighbours.  So what one class has hardly met is judged by
+what both have met, and differences come from contexts that a class knows well.  A document's score is the difference of its log-likelihoods per byte, put on a scale of 0
 to 1 by a logistic fit on labelled rows that the counts have not seen.
 """
 
@@ -15,16 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlift.llm.words import Texts, text_slices
 from cohortlift.operators.pinning import stage
 
-ORDER = 6
-SHARED_ORDERS = 2
+ORDER = 5
 DISCOUNT = 0.75
-#: Table slots of each order; keys that fall in one slot share its greatest value.
-SLOTS = 1 << 20
+#: Table slots of n-grams up to three bytes, and of longer ones; keys that fall in one slot share its
+#: greatest value.  A model's size is bounded by them whatever the corpus.
+SHORT_SLOTS, LONG_SLOTS = 1 << 18, 1 << 21
+#: A word whose two log-likelihoods differ by more nats than this is told apart.  Most words are not,
+#: and their many small differences would drown the few that are.
+MARGIN = 4.0
 #: The scale is fitted on about this many labelled documents at most, chosen by a hash; counts use all others.
 MAX_SCALE_DOCS = 20_000
 _SCALE_TENTHS = 2
@@ -33,6 +36,7 @@ _BEGIN, _END = 1, 2  # bytes that do not occur in words
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
 _CACHE = 1 << 20
+_CLASS_PART = 2 * ORDER + 2
 
 
 def _events(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,43 +89,55 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _levels(grams: DataFrame) -> list[DataFrame]:
-    """(label, gram, times) for each order from the longest: raw counts of the longest n-grams and of
-    those at a word's start, numbers of distinct left neighbours otherwise."""
-    body = F.col("gram").bitwiseAND(F.lit((1 << 56) - 1))
-    order = F.shiftright("gram", 56)
-    grams = grams.select("label", body.alias("gram"), order.alias("order"), "times")
-    levels = [stage(grams.where(F.col("order") == ORDER).drop("order"), "grams")]
+    """(gram, times) of the pooled rows for each order from the longest: raw counts of the longest
+    n-grams and of those at a word's start, numbers of distinct left neighbours otherwise."""
+    pooled = stage(grams.groupBy("gram", "order").agg(F.sum("times").alias("times")), "pooled")
+    levels = [pooled.where(F.col("order") == ORDER).select("gram", "times")]
     for size in range(ORDER - 1, 0, -1):
         shorter = levels[-1].select(
-            "label", F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1)).alias("gram"), F.lit(1).cast("long").alias("times")
+            F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1)).alias("gram"), F.lit(1).cast("long").alias("times")
         )
-        anchored = grams.where(F.col("order") == size).drop("order")
-        levels.append(stage(shorter.unionByName(anchored).groupBy("label", "gram").agg(F.sum("times").alias("times")), "grams"))
+        anchored = pooled.where(F.col("order") == size).select("gram", "times")
+        levels.append(shorter.unionByName(anchored).groupBy("gram").agg(F.sum("times").alias("times")))
     return levels
 
 
-def _slot(column) -> object:
-    return F.xxhash64(column).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+def _slots(part: int) -> int:
+    return SHORT_SLOTS if part <= 7 else LONG_SLOTS
 
 
-def _tables(grams: DataFrame) -> DataFrame:
-    """(part, slot, value): discounted shares by n-gram and left-over mass by context, each in slots."""
-    parts = []
-    for size, level in zip(range(ORDER, 0, -1), _levels(grams)):
-        if size <= SHARED_ORDERS:
-            level = level.groupBy("gram").agg(F.sum("times").alias("times")).withColumn(
-                "label", F.explode(F.array(F.lit(0), F.lit(1))))
-        level = level.withColumn("context", F.shiftright("gram", 8))
-        totals = level.groupBy("label", "context").agg(F.sum("times").alias("total"), F.count("*").alias("kinds"))
-        shares = level.join(totals, ["label", "context"]).select(
-            (F.lit(4 * size) + F.col("label")).alias("part"), _slot("gram").alias("slot"),
+def _slot(column: str, slots: int) -> Column:
+    return F.xxhash64(column).bitwiseAND(F.lit(slots - 1)).cast("int")
+
+
+def _shares(level: DataFrame, by: list[str], part: Column, rest_part: Column, slots: int) -> list[DataFrame]:
+    """Discounted share of each n-gram after its context, and each context's left-over mass."""
+    level = level.withColumn("context", F.shiftright("gram", 8))
+    totals = level.groupBy(*by, "context").agg(F.sum("times").alias("total"), F.count("*").alias("kinds"))
+    return [
+        level.join(totals, [*by, "context"]).select(
+            part.alias("part"), _slot("gram", slots).alias("slot"),
             (F.greatest(F.col("times") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("value"),
-        )
-        rest = totals.select(
-            (F.lit(4 * size + 2) + F.col("label")).alias("part"), _slot("context").alias("slot"),
+        ),
+        totals.select(
+            rest_part.alias("part"), _slot("context", slots).alias("slot"),
             (F.lit(DISCOUNT) * F.col("kinds") / F.col("total")).alias("value"),
-        )
-        parts += [shares, rest]
+        ),
+    ]
+
+
+def _tables(grams: DataFrame) -> DataFrame:
+    """(part, slot, value).  Part ``2 * size`` holds the pooled model's shares of that order and the
+    part after it the left-over masses; from ``_CLASS_PART`` on come both classes' shares and masses."""
+    body = F.col("gram").bitwiseAND(F.lit((1 << 56) - 1)).alias("gram")
+    grams = grams.select("label", body, F.shiftright("gram", 56).alias("order"), "times")
+    parts = _shares(
+        # Contexts of one n-gram differ by order only through their first byte, so one table holds all.
+        grams.select("label", "gram", "times"), ["label"],
+        F.lit(_CLASS_PART) + F.col("label"), F.lit(_CLASS_PART + 2) + F.col("label"), LONG_SLOTS,
+    )
+    for size, level in zip(range(ORDER, 0, -1), _levels(grams)):
+        parts += _shares(level, [], F.lit(2 * size), F.lit(2 * size + 1), _slots(2 * size))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -136,8 +152,9 @@ class Model:
             part, slot, value = held["part"], held["slot"], held["value"]
             self.scale = held["scale"]
         self.tables = {}
-        for number in range(4, 4 * ORDER + 4):
-            table = np.full(SLOTS, 1.0 if number % 4 >= 2 else 0.0, dtype=np.float32)
+        for number in range(2, _CLASS_PART + 4):
+            holds_mass = number >= _CLASS_PART + 2 if number >= _CLASS_PART else number % 2 == 1
+            table = np.full(_slots(number), 1.0 if holds_mass else 0.0, dtype=np.float32)
             mine = part == number
             table[slot[mine]] = value[mine]
             self.tables[number] = table
@@ -147,22 +164,28 @@ class Model:
     def _words(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Log-likelihood under the toxic model less that under the ordinary one, of each word."""
         codes, place, first = _events(texts, starts, ends)
-        slots, chance = {}, np.full((2, len(codes)), 1 / 256)
-        for size in range(0, ORDER + 1):
-            slots[size] = _spark_slots(_grams(codes, size)) if size else _spark_slots(np.zeros(1, dtype=np.uint64)).repeat(len(codes))
+        chance = np.full(len(codes), 1 / 256)
+        context = _xxhash64(np.zeros(1, dtype=np.uint64)).repeat(len(codes))
+        top, top_context = context, context
         for size in range(1, ORDER + 1):
-            known = place + 1 >= size
-            context = np.roll(slots[size - 1], 1)
-            for label in (0, 1):
-                share = self.tables[4 * size + label][slots[size]]
-                rest = self.tables[4 * size + 2 + label][context]
-                chance[label] = np.where(known, share + rest * chance[label], chance[label])
-        gain = np.log(chance[1]) - np.log(chance[0])
+            grams = _xxhash64(_grams(codes, size))
+            share, mass = self.tables[2 * size], self.tables[2 * size + 1]
+            known, mask = place + 1 >= size, np.uint64(len(share) - 1)
+            chance = np.where(known, share[grams & mask] + mass[context & mask] * chance, chance)
+            top, top_context = np.where(known, grams, top), np.where(known, context, top_context)
+            context = np.roll(grams, 1)
+        top, top_context = top & np.uint64(LONG_SLOTS - 1), top_context & np.uint64(LONG_SLOTS - 1)
+        toxic, ordinary = (
+            self.tables[_CLASS_PART + label][top] + self.tables[_CLASS_PART + 2 + label][top_context] * chance
+            for label in (1, 0)
+        )
+        gain = np.log(toxic) - np.log(ordinary)
         gain[first] = 0
         return np.add.reduceat(gain, first) if len(first) else np.zeros(0)
 
-    def differences(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """Each row's summed difference, and how many bytes and word ends it is summed over."""
+    def differences(self, texts: Texts) -> np.ndarray:
+        """For each row: the summed difference, that of the words told apart, and how many bytes and word
+        ends the sums are over."""
         starts, ends, first_word = texts.spans()
         hashes = texts.word_hashes(starts, ends)
         at = (hashes & np.uint64(_CACHE - 1)).astype(np.int64)
@@ -174,12 +197,13 @@ class Model:
             gain[missing] = found[back]
             into = (fresh & np.uint64(_CACHE - 1)).astype(np.int64)
             self.keys[into], self.values[into] = fresh, found
-        sums = np.concatenate([[0], np.cumsum(gain)])[first_word]
-        sizes = np.concatenate([[0], np.cumsum(ends - starts + 1)])[first_word]
-        return np.diff(sums), np.diff(sizes)
+        clear = np.where(gain > MARGIN, gain, 0)
+        return np.stack([
+            np.diff(np.concatenate([[0], np.cumsum(part)])[first_word]) for part in (gain, clear, ends - starts + 1)
+        ])
 
-    def scores(self, sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        z = _scale_terms(sums, sizes) @ self.scale
+    def scores(self, differences: np.ndarray) -> np.ndarray:
+        z = _scale_terms(*differences) @ self.scale
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -198,8 +222,8 @@ _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
     0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
-def _spark_slots(values: np.ndarray) -> np.ndarray:
-    """Table slots of n-grams: the public 64-bit xxHash of one long with seed 42, as Spark's xxhash64 gives it."""
+def _xxhash64(values: np.ndarray) -> np.ndarray:
+    """The public 64-bit xxHash of single longs with seed 42, as Spark's xxhash64 gives it."""
     def rotate(x: np.ndarray, by: int) -> np.ndarray:
         return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
 
@@ -210,20 +234,19 @@ def _spark_slots(values: np.ndarray) -> np.ndarray:
     h *= _P2
     h ^= h >> np.uint64(29)
     h *= _P3
-    h ^= h >> np.uint64(32)
-    return (h & np.uint64(SLOTS - 1)).astype(np.int64)
+    return h ^ (h >> np.uint64(32))
 
 
-def _scale_terms(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _scale_terms(sums: np.ndarray, clear: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     size = np.maximum(sizes, 1)
-    mean = 100 * sums / size
-    length = np.log(size) / 5
-    return np.stack([mean, mean * length, length, np.ones(len(mean))], axis=1)
+    return np.stack([
+        10 * sums / size, np.log1p(1000 * clear / size), np.log1p(clear), np.log(size) / 5, np.ones(len(size)),
+    ], axis=1)
 
 
-def _fit_scale(sums: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def _fit_scale(differences: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Logistic weights by Newton steps with a small ridge."""
-    x = _scale_terms(sums, sizes)
+    x = _scale_terms(*differences)
     weights = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
@@ -245,21 +268,21 @@ def _pack(tables: pa.Table, scale: np.ndarray) -> bytes:
 
 
 def _with_differences(docs: DataFrame, packed: bytes, schema: str, columns: list[str]) -> DataFrame:
-    """``columns`` with the summed difference, its length, and the score, as the model gives them."""
+    """``columns`` with the summed differences, their length, and the score, as the model gives them."""
     shared, key = docs.sparkSession.sparkContext.broadcast(packed), hash(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(key, shared.value)
         for batch in batches:
             for texts in text_slices(batch.column("text")):
-                sums, sizes = model.differences(texts)
+                found = model.differences(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(texts.first, texts.rows) for c in columns), pa.array(sums),
-                     pa.array(sizes, pa.int64()), pa.array(model.scores(sums, sizes))],
-                    names=[*columns, "difference", "length", "score"],
+                    [*(batch.column(c).slice(texts.first, texts.rows) for c in columns), pa.array(found[0]), pa.array(found[1]),
+                     pa.array(found[2].astype(np.int64)), pa.array(model.scores(found))],
+                    names=[*columns, "difference", "clear", "length", "score"],
                 )
 
-    return docs.mapInArrow(run, f"{schema}, difference double, length long, score double")
+    return docs.mapInArrow(run, f"{schema}, difference double, clear double, length long, score double")
 
 
 def train(labelled: DataFrame) -> bytes | None:
@@ -280,21 +303,22 @@ def train(labelled: DataFrame) -> bytes | None:
     grams = counted.mapInArrow(_counts, "label int, gram long, times long").groupBy("label", "gram").agg(
         F.sum("times").alias("times"))
     tables = _tables(stage(grams, "counts")).toArrow()
-    plain = _pack(tables, np.zeros(4))
+    plain = _pack(tables, np.zeros(5))
     seen = _with_differences(rows.where(draw < share), plain, "doc_id long, label int", ["doc_id", "label"]).toArrow()
     if seen.num_rows == 0:
-        return _pack(tables, np.array([1.0, 0.0, 0.0, 0.0]))
+        return _pack(tables, np.array([1.0, 0.0, 0.0, 0.0, 0.0]))
     seen = seen.sort_by("doc_id")
-    scale = _fit_scale(*(seen.column(c).to_numpy().astype(float) for c in ("difference", "length", "label")))
+    found = np.stack([seen.column(c).to_numpy().astype(float) for c in ("difference", "clear", "length")])
+    scale = _fit_scale(found, seen.column("label").to_numpy().astype(float))
     return _pack(tables, scale)
 
 
 def score(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """(doc_id, difference, length, score) of every row; score 0.5 without a model.
+    """(doc_id, difference, clear, length, score) of every row; score 0.5 without a model.
 
     Null texts are scored as empty ones; any doc_id, null or repeated, keeps its row; extra columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("difference"), F.lit(0).cast("long").alias("length"), F.lit(0.5).alias("score"))
+        return docs.select("doc_id", F.lit(0.0).alias("difference"), F.lit(0.0).alias("clear"), F.lit(0).cast("long").alias("length"), F.lit(0.5).alias("score"))
     return _with_differences(docs, model, "doc_id long", ["doc_id"])
