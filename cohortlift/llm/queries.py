@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source_mix, token_store, toxicity, weighted_sampling
+from cohortlift.llm import (
+    ball_tree, html_text, ngram_join, packing, quality_mil, secret_scan, source_mix, token_store, toxicity,
+    weighted_sampling,
+)
 from cohortlift.llm.shipping import ship
 
 
@@ -37,6 +40,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("double"))
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.when(finite, whole).alias("vector"))
+    return ball_tree.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return source_mix.plan_mix(docs, keep_text=False).select(
@@ -84,6 +94,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()
