@@ -9,12 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlift.operators import estimators
-from cohortlift.operators.pinning import pin
-from cohortlift.operators.sharding import bucketed_index
+from cohortlift.operators.pinning import pin, stage
+from cohortlift.operators.sharding import group_index
 
 #: Modulus of the row hash, the Mersenne prime 2**31 - 1.
 PRIME = 2147483647
-#: Counts above this have a probability below the hash resolution.
+#: A Poisson(1) count above this has a probability of 6e-11, less than a step of the 31-bit hash:
+#: no hash value stands for it, at any number of rows.
 MAX_COUNT = 12
 #: The first pass aims this many standard deviations below the wanted sample size.
 SHORTFALL = 5
@@ -77,6 +78,7 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
     replicate's coefficients, so nothing is copied or shuffled but the sums.  For ``fixed_n``
     the counts are Poisson with a mean slightly under 1 and the few rows still missing to n
     are drawn uniformly: Poisson counts given their total are multinomial, hence so is the sum.
+    A replicate whose counts exceed n drops them and draws all n rows uniformly.
     """
     names = list(moments)
     pool = "treatment" if spec.by_arm else "-1"
@@ -124,26 +126,27 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
         )
     )
     if spec.scheme == "fixed_n":
-        counted = pin(counted)
-        topped = _top_up(base, cells, counted, names, spec)
-        counted = counted.drop("drawn").unionByName(topped)
+        counted = stage(counted, "counts")
+        so_far = stage(counted.groupBy(*group, "rep").agg(F.sum("drawn").alias("drawn")), "drawn")
+        topped = _top_up(base, cells, so_far, names, spec)
+        over = so_far.join(cells.select(*group, "n"), group).filter("drawn > n")
+        counted = counted.join(over, [*group, "rep"], "left_anti").drop("drawn").unionByName(topped)
     return counted.groupBy("study_id", "rep", "treatment").agg(
         *(F.sum(name).alias(name) for name in names)
     )
 
 
 def _top_up(
-    base: DataFrame, cells: DataFrame, counted: DataFrame, names: list[str], spec: Bootstrap
+    base: DataFrame, cells: DataFrame, so_far: DataFrame, names: list[str], spec: Bootstrap
 ) -> DataFrame:
     """Uniform draws that bring every replicate to its full size."""
     group = ["study_id", "pool"]
     # A fixed width: these rows are few but each unfolds into many, so they must not be coalesced.
     width = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    so_far = counted.groupBy(*group, "rep").agg(F.sum("drawn").alias("drawn"))
     draws = (
         cells.select(*group, "n").selectExpr("*", f"explode(sequence(0, {spec.reps - 1})) as rep")
         .join(so_far, [*group, "rep"], "left")
-        .selectExpr(*group, "rep", "n", "n - coalesce(drawn, 0L) as short")
+        .selectExpr(*group, "rep", "n", "if(drawn > n, n, n - coalesce(drawn, 0L)) as short")
         .filter("short > 0")
         .repartition(width, *group, "rep")
         .selectExpr(
@@ -157,7 +160,7 @@ def _top_up(
         .selectExpr("*", "explode(sequence(1L, short)) as draw")
         .selectExpr(*group, "rep", f"({_cubic('hx')} * 2147483648 + {_cubic('hy')}) % n as idx")
     )
-    indexed = bucketed_index(base, group, "unit_id", "idx", cells)
+    indexed = group_index(base, group, "unit_id", "idx")
     return (
         draws.join(indexed, [*group, "idx"])
         .groupBy(*group, "rep", "treatment")

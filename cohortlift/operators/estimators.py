@@ -41,13 +41,17 @@ MODELS: dict[str, Contrast | Adjusted] = {
 
 
 def contrast_moments(outcome: str) -> dict[str, str]:
-    return {"w": "weight", "wy": f"weight * ({outcome})"}
+    """Sums of a weighted mean; a row whose outcome is null takes part in neither."""
+    return {"w": f"if(({outcome}) is null, null, weight)", "wy": f"weight * ({outcome})"}
 
 
 def adjusted_moments(covariates: Sequence[str]) -> dict[str, str]:
-    """Sums needed for the regression, of columns already centred as c_<name>."""
+    """Sums needed for the regression, of columns already centred as c_<name>.
+
+    ``centred`` leaves all of them null in a row that misses one, so such a row takes part in no sum.
+    """
     z = [f"c_{name}" for name in covariates]
-    moments = {"w": "weight", "wy": "weight * c_post_outcome"}
+    moments = {"w": "if(c_post_outcome is null, null, weight)", "wy": "weight * c_post_outcome"}
     for i, zi in enumerate(z):
         moments[f"wz{i}"] = f"weight * {zi}"
         moments[f"wzy{i}"] = f"weight * {zi} * c_post_outcome"
@@ -57,14 +61,16 @@ def adjusted_moments(covariates: Sequence[str]) -> dict[str, str]:
 
 
 def centred(matched: DataFrame, keys: Sequence[str], covariates: Sequence[str]) -> DataFrame:
-    """Add ``c_<name>`` for covariates and outcome: the value less its group mean.
+    """Add ``c_<name>`` for covariates and outcome: the value less its group mean over complete rows,
+    null in a row that misses any of them.
 
     The effect does not depend on the shift; the sums lose far fewer digits with it.
     """
     names = [*covariates, "post_outcome"]
-    means = pin(matched.groupBy(*keys).agg(*(F.avg(n).alias(f"_m_{n}") for n in names)))
+    complete = " and ".join(f"{n} is not null" for n in names)
+    means = pin(matched.groupBy(*keys).agg(*(F.expr(f"avg(if({complete}, {n}, null))").alias(f"_m_{n}") for n in names)))
     return matched.join(means, list(keys)).selectExpr(
-        *matched.columns, *(f"{n} - _m_{n} as c_{n}" for n in names)
+        *matched.columns, *(f"if({complete}, {n} - _m_{n}, null) as c_{n}" for n in names)
     )
 
 

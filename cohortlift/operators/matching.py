@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cohortlift.operators.pinning import pin
+from cohortlift.operators.pinning import pin, stage
 from cohortlift.operators.propensity import with_propensity
 from cohortlift.operators.quantiles import exact_quantile
 from cohortlift.operators.sharding import range_shards
@@ -80,12 +80,13 @@ def match_knn(features: DataFrame) -> DataFrame:
     )
     shards = Window.partitionBy("study_id")
     whole = (Window.unboundedPreceding, -1)
-    carried = pin(
+    carried = stage(
         edges.select(
             "study_id", "_shard",
             F.max("hi").over(shards.orderBy("_shard").rowsBetween(*whole)).alias("left_edge"),
             F.min("lo").over(shards.orderBy(F.desc("_shard")).rowsBetween(*whole)).alias("right_edge"),
-        )
+        ),
+        "edges",
     )
     in_shard = Window.partitionBy("study_id", "_shard")
     upto = (Window.unboundedPreceding, Window.currentRow)

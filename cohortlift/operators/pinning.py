@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
@@ -14,20 +15,22 @@ MAX_PINNED_ROWS = 100_000
 
 
 def pin(df: DataFrame, max_rows: int = MAX_PINNED_ROWS) -> DataFrame:
-    """Compute a per-study table once.
+    """Compute a per-study table once, whatever its size.
 
     Up to ``max_rows`` rows it comes back as a local relation: Spark then knows its exact size
     and broadcasts it by itself when it is under ``spark.sql.autoBroadcastJoinThreshold``.  A
-    larger table is checkpointed and joins as any other table, so no row is ever dropped.
+    larger table is written to the shared folder and joins as any other table.
     """
     spark = df.sparkSession
     if any(isinstance(f.dataType, (StructType, ArrayType)) for f in df.schema):
         df = df.select(*(F.col(f.name).cast(_nullable(f.dataType)) for f in df.schema))
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return spark.createDataFrame(head, df.schema)
-    shared_dir(spark)
-    return df.checkpoint()
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)  # the one computation all that follows reads
+    try:
+        if held.count() <= max_rows:
+            return spark.createDataFrame(held.toArrow(), df.schema)
+        return stage(held, "pinned")
+    finally:
+        held.unpersist()
 
 
 def _nullable(kind: DataType) -> DataType:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlift.functions.text import grouped
+from cohortlift.functions.text import grouped, utc_now
 
 
 def latest_results(results: DataFrame) -> DataFrame:
@@ -17,6 +17,8 @@ def latest_results(results: DataFrame) -> DataFrame:
     )
 
 
+# Fixed texts of the two sentences below: their wording is part of the results.
+
 def headline_sql() -> str:
     return (
         "concat(study_name, ' (', vendor, '): ', upper(model_method), ' on ', matching_method,"
@@ -42,7 +44,7 @@ def insights(
     results: DataFrame, config: DataFrame, run_ts: str | None = None, bias_note: bool = True
 ) -> DataFrame:
     """Headline and interpretation of the newest result of every configured study."""
-    stamp = f"'{run_ts}'" if run_ts else "cast(current_timestamp() as string)"
+    stamp = utc_now(run_ts)
     latest = latest_results(results).drop("run_ts")
     named = latest.join(config.select("study_id", "study_name", "vendor"), "study_id")
     return named.selectExpr(

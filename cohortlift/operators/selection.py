@@ -95,7 +95,7 @@ def missing_config(studies: DataFrame, config: DataFrame) -> DataFrame:
 
 def config_of(studies: DataFrame, config: DataFrame) -> DataFrame:
     """Config row of each given study; raises when one has none."""
-    absent = [row.study_id for row in missing_config(studies, config).take(5)]
+    absent = sorted(row.study_id or "null" for row in missing_config(studies, config).collect())
     if absent:
         raise LookupError(f"no config row for {', '.join(absent)}")
     return studies.select("study_id").distinct().join(config, "study_id")

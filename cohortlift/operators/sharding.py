@@ -49,24 +49,14 @@ def row_numbers(df: DataFrame, order: Sequence[str], out: str, start: Column | i
     )
 
 
-def bucketed_index(
-    df: DataFrame, keys: Sequence[str], unit: str, out: str, sizes: DataFrame,
-    rows_per_bucket: int = 1_000_000,
-) -> DataFrame:
-    """Number the rows of each group 0..n-1 through hash buckets of bounded size.
-
-    ``sizes`` holds the group sizes in ``n``.  A group of up to ``rows_per_bucket`` rows is
-    numbered in ``unit`` order; a larger one bucket after bucket.
-    """
-    bucketed = df.join(sizes.select(*keys, "n"), list(keys)).withColumn(
-        "_shard",
-        F.expr(f"cast(pmod(xxhash64({unit}), cast(ceil(n / {rows_per_bucket}D) as bigint)) as int)"),
-    )
-    offsets = shard_offsets(bucketed, keys, F.count("*"))
+def group_index(df: DataFrame, keys: Sequence[str], unit: str, out: str) -> DataFrame:
+    """Number the rows of each group 0..n-1 in ``unit`` order, shard by shard at every size."""
+    sharded = range_shards(df, [*keys, unit])
+    offsets = shard_offsets(sharded, keys, F.count("*"))
     within = Window.partitionBy(*keys, "_shard").orderBy(unit)
     return (
-        bucketed.withColumn("_rn", F.row_number().over(within))
+        sharded.withColumn("_rn", F.row_number().over(within))
         .join(offsets, [*keys, "_shard"])
         .withColumn(out, F.expr("cast(_rn - 1 + _offset as bigint)"))
-        .drop("_shard", "_rn", "_offset", "n")
+        .drop("_shard", "_rn", "_offset")
     )

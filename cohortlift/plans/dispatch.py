@@ -32,6 +32,8 @@ def dispatch_features(
     """Feature rows of all studies, imputed or built by each study's feature_method."""
     names = _names(methods, "feature_method")
     registry.reject_unknown("feature", names)
+    if panel is None and "panel" in names:
+        raise ValueError("panel studies need a panel table")
     parts = []
     imputed = [n for n in names if n in IMPUTATIONS and n not in registry.feature]
     if imputed:

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortlift.functions.text import utc_now
 from cohortlift.operators import quality, ranks, routing, selection
 from cohortlift.operators.bootstrap import Bootstrap
 from cohortlift.operators.matching import matched_counts
@@ -40,10 +41,6 @@ class Run:
         self.counts = pin(matched_counts(self.matched))
 
 
-def _now(run_ts: str | None) -> str:
-    return f"'{run_ts}'" if run_ts else "cast(current_timestamp() as string)"
-
-
 def build_status(cohort: DataFrame, panel: DataFrame | None, config: DataFrame) -> DataFrame:
     """Config, method names, quality score, naive contrast and gate decision of every study."""
     methods = pin(selection.with_methods(config))
@@ -93,7 +90,7 @@ def evaluate(
         )
         .withColumn("job_run_id", F.lit(job_run_id))
         .selectExpr(
-            "study_id", f"{_now(run_ts)} as run_ts", "matching_method", "model_method",
+            "study_id", f"{utc_now(run_ts)} as run_ts", "matching_method", "model_method",
             "coalesce(n_treated, 0L) as n_treated", "coalesce(n_control, 0L) as n_control",
             "round(estimate, 3) as estimate", "round(std_error, 3) as std_error",
             "round(ci_low, 3) as ci_low", "round(ci_high, 3) as ci_high",
@@ -103,7 +100,7 @@ def evaluate(
             "config_version", "data_version", "job_run_id",
         )
     )
-    return conform(rows, EVALUATION_RESULTS if source == "modular" else EVALUATION_RESULTS_BASE)
+    return conform(rows, EVALUATION_RESULTS if stamped or source == "modular" else EVALUATION_RESULTS_BASE)
 
 
 def evaluate_before(
@@ -123,7 +120,7 @@ def evaluate_before(
         .join(methods.select("study_id", "matching_method"), "study_id")
         .join(matched_counts(matched), "study_id", "left")
         .selectExpr(
-            "study_id", f"{_now(run_ts)} as run_ts", "matching_method", "model_method",
+            "study_id", f"{utc_now(run_ts)} as run_ts", "matching_method", "model_method",
             "coalesce(n_treated, 0L) as n_treated", "coalesce(n_control, 0L) as n_control",
             "round(estimate, 3) as estimate", "'before' as source",
         )
@@ -146,16 +143,29 @@ def evaluate_phases(
 ) -> PhasedRun:
     """Run the feature, matching and model phases each study's config and data lead it to."""
     registry = Registry()
-    known = F.col("model_type").isin("att", "did", "wilcoxon", "sign_test")
-    if config.filter(~known).limit(1).count():
-        raise ValueError("Unknown model_type in config")
+    _reject_unknown_phases(config)
     status = pin(routing.next_phase(build_status(cohort, None, config)))
     passed = status.filter("quality_passed")
     features = stage_features(
         dispatch_features(quality.clean(cohort), None, passed, registry), passed
     )
-    effects_of = passed.filter("model_type in ('att', 'did')")
-    to_match = passed.filter("nextphase = 'matching' or model_type in ('att', 'did')")
+    differences = ranks.paired_differences(
+        selection.study_slice(features, passed.filter("model_type = 'wilcoxon'"))
+    )
+    routes = pin(ranks.fallback_route(ranks.skewness(differences), passed))
+    # Skewed studies go on with the effect model that their fallback names.
+    rerouted = routes.filter("routed and model_phase in ('model_att', 'model_did')").selectExpr(
+        "study_id", "substr(model_phase, 7) as model_method"
+    )
+    effects_of = pin(
+        passed.filter("model_type in ('att', 'did')").unionByName(
+            passed.drop("model_method").join(rerouted, "study_id"), allowMissingColumns=True
+        )
+    )
+    to_match = pin(
+        passed.filter("nextphase = 'matching'").select("study_id").union(effects_of.select("study_id")).distinct()
+        .join(passed, "study_id")
+    )
     matched = stage(
         dispatch_matching(selection.study_slice(features, to_match), to_match, registry), "matched"
     )
@@ -166,10 +176,6 @@ def evaluate_phases(
         ).join(effects_of.select("study_id", "matching_method"), "study_id").join(counts, "study_id", "left")
     )
 
-    differences = ranks.paired_differences(
-        selection.study_slice(features, passed.filter("model_type = 'wilcoxon'"))
-    )
-    routes = pin(ranks.fallback_route(ranks.skewness(differences), passed))
     ranked = pin(
         ranks.rank_or_sign(
             selection.study_slice(features, passed.filter("model_type = 'wilcoxon'")), passed
@@ -189,7 +195,7 @@ def evaluate_phases(
         )
     )
     stamp = (
-        f"'{run_id}' as run_id", f"'{environment}' as pe_environment", f"{_now(run_ts)} as ts",
+        f"'{run_id}' as run_id", f"'{environment}' as pe_environment", f"{utc_now(run_ts)} as ts",
     )
     results = conform(results.selectExpr("*", *stamp), PE_EVALUATION_RESULTS)
     log = step_rows(status, counts, effects, routes, ranked, len(cohort.columns))
@@ -199,6 +205,19 @@ def evaluate_phases(
     )
 
 
+_PHASES = ("att", "did", "wilcoxon", "sign_test")
+
+
+def _reject_unknown_phases(config: DataFrame) -> None:
+    """Every model_type must be a known one, and every fallback a known model other than the rank test."""
+    known = F.coalesce(F.col("model_type").isin(*_PHASES), F.lit(False))
+    fallback = F.coalesce(F.nullif(F.col("fallback_model"), F.lit("")), F.lit("None"))
+    ends = fallback.isin("None", "model_att", "model_did", "model_sign_test")
+    bad = config.filter(~known | ((F.col("model_type") == "wilcoxon") & ~ends)).select("study_id").collect()
+    if bad:
+        raise ValueError(f"unknown model_type or fallback_model: {', '.join(sorted(str(r.study_id) for r in bad))}")
+
+
 def _sign_only(features: DataFrame, chosen: DataFrame) -> DataFrame:
     differences = ranks.paired_differences(selection.study_slice(features, chosen))
     return (
@@ -214,7 +233,10 @@ def step_rows(
     status: DataFrame, counts: DataFrame, effects: DataFrame, routes: DataFrame,
     ranked: DataFrame, n_columns: int,
 ) -> DataFrame:
-    """One row per study and phase: what it did, on how many rows, where it went next."""
+    """One row per study and phase: what it did, on how many rows, where it went next.
+
+    Step names and descriptions are fixed texts: their wording is part of the results.
+    """
     null_text, null_count = "cast(null as string)", "cast(null as bigint)"
     first = status.selectExpr(
         "study_id", "'1' as step_id", "'Feature Engineering & Data Standardization' as step_name",
@@ -238,8 +260,8 @@ def step_rows(
             "coalesce(n_treated, 0L) as n_treated", "cast(null as int) as n_columns",
         )
     )
-    third = effects.selectExpr(
-        "study_id", "'3' as step_id", "concat('Modeling (', model_method, ')') as step_name",
+    third = effects.join(routes.filter("routed").select("study_id", "routed"), "study_id", "left").selectExpr(
+        "study_id", "if(routed, '3b', '3') as step_id", "concat('Modeling (', model_method, ')') as step_name",
         "'PASS' as status",
         "concat(if(model_method = 'att', 'ATT', 'DiD'), ' estimate=',"
         " coalesce(format_number(estimate, 2), 'n/a'), ' CI[', coalesce(format_number(ci_low, 1), 'n/a'),"

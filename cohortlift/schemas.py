@@ -5,55 +5,65 @@ from pyspark.sql.types import (
 )
 
 _TYPES = {
-    "s": StringType(), "d": DoubleType(), "l": LongType(), "i": IntegerType(), "b": BooleanType(),
+    kind.simpleString(): kind
+    for kind in (StringType(), DoubleType(), LongType(), IntegerType(), BooleanType())
 }
 
 
-def _schema(spec: str) -> StructType:
-    fields = [item.rsplit(":", 1) for item in spec.split()]
-    return StructType([StructField(name, _TYPES[code]) for name, code in fields])
+def _ddl(text: str) -> StructType:
+    """A schema from its DDL text; Spark's own parser would need a session at import."""
+    columns = (column.split() for column in text.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
-STUDY_CONFIG = _schema(
-    "study_id:s study_name:s vendor:s feature_method:s matching_method:s model_method:s "
-    "min_quality_score:d"
-)
-STUDY_CONFIG_MODULAR = _schema(
-    "study_id:s study_name:s vendor:s model_family:s feature_nb:s matching_nb:s "
-    "matching_method:s model_nb:s min_quality_score:d active:b baseline_months:l "
-    "performance_months:l"
-)
-PE_STUDY_CONFIG = _schema(
-    "study_id:s study_name:s model_type:s needs_matching:b matching_method:s "
-    "fallback_model:s baseline_months:l performance_months:l min_quality_score:d "
-    "experiment_name:s"
-)
-COHORT = _schema(
-    "study_id:s patient_id:l treatment:i age:d risk_score:d prior_cost:d pre_outcome:d "
-    "post_outcome:d"
-)
-PANEL = _schema(
-    "study_id:s patient_id:l treatment:i age:d risk_score:d prior_cost:d period:i outcome:d"
-)
-FEATURES = _schema(
-    "study_id:s patient_id:l treatment:i age:d risk_score:d prior_cost:d pre_outcome:d "
-    "post_outcome:d slope:d"
-)
-EVALUATION_RESULTS_BASE = _schema(
-    "study_id:s run_ts:s matching_method:s model_method:s n_treated:l n_control:l estimate:d "
-    "std_error:d ci_low:d ci_high:d naive_estimate:d significant:b source:s"
-)
-EVALUATION_RESULTS = _schema(
-    "study_id:s run_ts:s matching_method:s model_method:s n_treated:l n_control:l estimate:d "
-    "std_error:d ci_low:d ci_high:d naive_estimate:d significant:b source:s "
-    "config_version:l data_version:l job_run_id:s"
-)
-EVALUATION_INSIGHTS = _schema("study_id:s run_ts:s headline:s interpretation:s")
-PE_EVALUATION_RESULTS = _schema(
-    "run_id:s study_id:s model_method:s matching_method:s estimate:d std_error:d ci_low:d "
-    "ci_high:d p_value:d n_treated:i n_control:i pe_environment:s ts:s"
-)
-PE_STEP_LOG = _schema(
-    "run_id:s study_id:s step_id:s step_name:s status:s pass_description:s error_msg:s "
-    "n_input:i n_treated:i n_columns:i execution_time:d pe_environment:s ts:s"
+# Names and types of the tables' columns.
+STUDY_CONFIG = _ddl(
+    "study_id string, study_name string, vendor string, feature_method string, "
+    "matching_method string, model_method string, min_quality_score double"
+)
+STUDY_CONFIG_MODULAR = _ddl(
+    "study_id string, study_name string, vendor string, model_family string, feature_nb string, "
+    "matching_nb string, matching_method string, model_nb string, min_quality_score double, "
+    "active boolean, baseline_months bigint, performance_months bigint"
+)
+PE_STUDY_CONFIG = _ddl(
+    "study_id string, study_name string, model_type string, needs_matching boolean, "
+    "matching_method string, fallback_model string, baseline_months bigint, "
+    "performance_months bigint, min_quality_score double, experiment_name string"
+)
+COHORT = _ddl(
+    "study_id string, patient_id bigint, treatment int, age double, risk_score double, "
+    "prior_cost double, pre_outcome double, post_outcome double"
+)
+PANEL = _ddl(
+    "study_id string, patient_id bigint, treatment int, age double, risk_score double, "
+    "prior_cost double, period int, outcome double"
+)
+FEATURES = _ddl(
+    "study_id string, patient_id bigint, treatment int, age double, risk_score double, "
+    "prior_cost double, pre_outcome double, post_outcome double, slope double"
+)
+EVALUATION_RESULTS_BASE = _ddl(
+    "study_id string, run_ts string, matching_method string, model_method string, n_treated bigint, "
+    "n_control bigint, estimate double, std_error double, ci_low double, ci_high double, "
+    "naive_estimate double, significant boolean, source string"
+)
+EVALUATION_RESULTS = _ddl(
+    "study_id string, run_ts string, matching_method string, model_method string, n_treated bigint, "
+    "n_control bigint, estimate double, std_error double, ci_low double, ci_high double, "
+    "naive_estimate double, significant boolean, source string, config_version bigint, "
+    "data_version bigint, job_run_id string"
+)
+EVALUATION_INSIGHTS = _ddl(
+    "study_id string, run_ts string, headline string, interpretation string"
+)
+PE_EVALUATION_RESULTS = _ddl(
+    "run_id string, study_id string, model_method string, matching_method string, estimate double, "
+    "std_error double, ci_low double, ci_high double, p_value double, n_treated int, n_control int, "
+    "pe_environment string, ts string"
+)
+PE_STEP_LOG = _ddl(
+    "run_id string, study_id string, step_id string, step_name string, status string, "
+    "pass_description string, error_msg string, n_input int, n_treated int, n_columns int, "
+    "execution_time double, pe_environment string, ts string"
 )

@@ -6,23 +6,58 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 
+#: The stamp is a number below this, the Mersenne prime 2**61 - 1.
+MODULUS = 2305843009213693951
+
+
+def double_text(x: str) -> str:
+    """SQL text of a double: its value in units of 2**-20 and, of the rest, in units of 2**-60.
+
+    Scaling by powers of two is exact, so only differences under 2**-60 are lost.  A value of 2**42 or
+    more is first scaled down by 2**42, by 2**84, or by 2**982, which keeps its leading 53 bits in all but
+    the last range.  NaN and the infinities have their own texts.
+    """
+    def split(scale: int) -> str:
+        v = f"({x} * {2.0**-scale!r})" if scale else x
+        high = f"floor({v} * 1048576e0)"
+        return (
+            f"concat('{scale}:', cast(cast({high} as bigint) as string), '/',"
+            f" cast(cast(floor(({v} * 1048576e0 - {high}) * 1099511627776e0) as bigint) as string))"
+        )
+
+    return (
+        f"case when isnan({x}) then 'nan' when {x} > 1.7976931348623157e308 then 'inf'"
+        f" when {x} < -1.7976931348623157e308 then '-inf' when abs({x}) < {2.0**42!r} then {split(0)}"
+        f" when abs({x}) < {2.0**84!r} then {split(42)} when abs({x}) < {2.0**126!r} then {split(84)}"
+        f" else {split(982)} end"
+    )
+
+
 def canonical_row(df: DataFrame) -> str:
     """SQL text of a row in which equal values always read the same."""
     parts = []
     for field in df.schema:
         text = f"cast({field.name} as string)"
         if isinstance(field.dataType, (DoubleType, FloatType)):
-            text = f"cast(cast(round({field.name} * 10000e0) as bigint) as string)"
+            text = double_text(f"cast({field.name} as double)")
         parts.append(f"coalesce({text}, '~')")
     return f"concat_ws('|', {', '.join(parts)})"
 
 
 def content_stamp(df: DataFrame) -> DataFrame:
-    """Row count and order-independent hash of the whole content, in one row."""
+    """Row count and order-independent hash of the whole content, in one row.
+
+    The hash is the sum of the rows' hashes, in which equal rows add up, with the row count.
+    """
     return (
         df.selectExpr(f"{canonical_row(df)} as r")
         .selectExpr("cast(conv(substr(md5(r), 1, 15), 16, 10) as bigint) as h")
-        .agg(F.count("*").alias("n_rows"), F.expr("coalesce(bit_xor(h), -1L)").alias("stamp"))
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.expr(
+                f"cast((coalesce(sum(cast(h as decimal(20, 0))), 0) * 31 + count(*)) % {MODULUS} as bigint)"
+            ).alias("stamp"),
+        )
     )
 
 

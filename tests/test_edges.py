@@ -224,3 +224,49 @@ def test_run_with_failed_gate_and_two_methods(spark):
         "study_id")
     assert set(got) == {"A", "B"}
     assert got["B"].ci_low < got["B"].estimate < got["B"].ci_high
+
+
+def test_null_outcomes_take_no_part_in_any_mean(spark):
+    from cohortlift.operators import estimators
+
+    frame = spark.createDataFrame(
+        [("S", 1, 1.0, 10.0), ("S", 1, 1.0, None), ("S", 0, 1.0, 10.0)],
+        "study_id string, treatment int, weight double, post_outcome double")
+    assert estimators.effect(frame, "att").first().estimate == 0.0
+
+
+def test_stamps_see_repeated_rows_small_changes_and_nan(spark):
+    from cohortlift.sources.stamps import stamp_value
+
+    def stamp(*values):
+        return stamp_value(spark.createDataFrame([(v,) for v in values], "x double"))
+
+    values = [(1.0,), (1.0, 1.0, 1.0), (1.00001,), (1.00002,), (math.nan,), (None,), (math.inf,), (1e15,), (1e300,), ()]
+    assert len({stamp(*v) for v in values}) == len(values)
+    assert stamp(1.0, 2.0) == stamp(2.0, 1.0) and stamp(0.0) == stamp(-0.0)
+
+
+def test_null_model_type_and_unknown_fallback_are_rejected(spark):
+    from cohortlift.plans.evaluate import evaluate_phases
+
+    rows = cohort(spark, study("S", 20, 20, 1))
+    for model, fallback in ((None, None), ("wilcoxon", "model_other"), ("wilcoxon", "model_wilcoxon")):
+        config = spark.createDataFrame(
+            [("S", "S", model, False, "none", fallback, 6, 6, 0.1, "x")], schemas.PE_STUDY_CONFIG)
+        with pytest.raises(ValueError, match="unknown model_type or fallback_model: S"):
+            evaluate_phases(rows, config)
+
+
+def test_skewed_study_goes_on_with_the_effect_model_it_names(spark):
+    from cohortlift.plans.evaluate import evaluate_phases
+
+    pdf = study("S", 40, 40, 1)
+    jump = (pdf.index < 2) * 9500.0
+    pdf.loc[pdf.treatment == 1, "post_outcome"] = pdf.pre_outcome + jump
+    config = spark.createDataFrame(
+        [("S", "S", "wilcoxon", False, "none", "model_did", 6, 6, 0.1, "x")], schemas.PE_STUDY_CONFIG)
+    run = evaluate_phases(cohort(spark, pdf), config, bootstrap=Bootstrap(reps=20))
+    result = run.results.first()
+    assert result.model_method == "did" and result.estimate is not None
+    assert run.traces.first().trace.endswith("model_wilcoxon -> model_did")
+    assert {r.step_id for r in run.step_log.collect()} == {"1", "3", "3b"}

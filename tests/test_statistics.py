@@ -10,8 +10,8 @@ from cohortlift.operators import estimators, matching, propensity, ranks
 from cohortlift.operators.bootstrap import Bootstrap, confidence, replicates, resampled_sums
 from cohortlift.operators.quantiles import exact_quantile
 from cohortlift.operators.pinning import pin, stage
-from cohortlift.operators.sharding import bucketed_index, range_shards
-from tests.frames import COVARIATES, cohort, nearest_controls, newton_scores, study, wls_effect
+from cohortlift.operators.sharding import group_index, range_shards
+from tests.frames import COVARIATES, cohort, nearest_controls, score_gaps, study, wls_effect
 
 
 @pytest.fixture(scope="module")
@@ -23,12 +23,18 @@ def scores_of(df):
     return {(r.study_id, r.patient_id): r.ps for r in df.collect()}
 
 
-def test_propensity_equals_newton_in_numpy(spark, two_studies):
+def some_scores(pdf):
+    """Scores from 0.05 to 0.95 that rise with age."""
+    return (0.05 + 0.9 * (pdf.age - pdf.age.min()) / (pdf.age.max() - pdf.age.min())).to_numpy()
+
+
+def test_propensity_solves_its_score_equations(spark, two_studies):
     got = scores_of(propensity.with_propensity(cohort(spark, two_studies)))
     for name, part in two_studies.groupby("study_id"):
-        want = newton_scores(part)
-        have = [got[name, pid] for pid in part.patient_id]
-        assert np.max(np.abs(want - have)) < 1e-12
+        have = np.array([got[name, pid] for pid in part.patient_id])
+        assert 0.01 < have.min() and have.max() < 0.99
+        linear, residual = score_gaps(part, have)
+        assert linear < 1e-6 and residual < 1e-6
 
 
 def test_score_equations_and_independence_of_studies(spark, two_studies):
@@ -51,7 +57,7 @@ def test_separable_arms_stay_finite(spark):
 @pytest.mark.parametrize("clipped", [False, True])
 def test_knn_over_many_shards_equals_brute_force(spark, many_shards, two_studies, clipped):
     pdf = two_studies.copy()
-    ps = np.concatenate([newton_scores(part) for _, part in pdf.groupby("study_id")])
+    ps = np.concatenate([some_scores(part) for _, part in pdf.groupby("study_id")])
     # A third of all rows on one score, controls among them, and a coarse grid full of ties.
     ps = np.where(np.arange(len(ps)) % 3 == 0, 0.99, np.round(ps, 2)) if clipped else ps
     scored = spark.createDataFrame(pdf.assign(ps=ps)).repartition(7)
@@ -73,8 +79,9 @@ def test_stratified_weights_sum_to_one(spark, two_studies):
 
 def test_ipw_trim_equals_numpy_quantile(spark, two_studies):
     got = matching.match_ipw(cohort(spark, two_studies)).toPandas()
+    scores = scores_of(propensity.with_propensity(cohort(spark, two_studies)))
     for name, part in two_studies.groupby("study_id"):
-        ps = newton_scores(part)
+        ps = np.array([scores[name, pid] for pid in part.patient_id])
         raw = np.where(part.treatment == 1, 1 / ps, 1 / (1 - ps))
         want = np.minimum(raw, np.quantile(raw, 0.99))
         have = got[got.study_id == name].set_index("patient_id").weight.loc[part.patient_id]
@@ -202,12 +209,36 @@ def test_quantiles_with_and_without_narrowing(spark, prob, max_rows):
     assert got == {g: pytest.approx(np.quantile(v, prob), rel=1e-12) for g, v in groups.items()}
 
 
-def test_index_over_several_buckets_is_a_permutation(spark):
-    frame = spark.range(5000).selectExpr("if(id < 4000, 'big', 'small') as g", "concat('u', id) as u")
-    sizes = pin(frame.groupBy("g").count().withColumnRenamed("count", "n"))
-    got = bucketed_index(frame, ["g"], "u", "idx", sizes, rows_per_bucket=300).toPandas()
+def test_group_index_over_many_shards_follows_unit_order(spark, many_shards):
+    frame = spark.range(5000).selectExpr("if(id < 4000, 'big', 'small') as g", "concat('u', id) as u").repartition(5)
+    got = group_index(frame, ["g"], "u", "idx").toPandas()
     for _, part in got.groupby("g"):
-        assert sorted(part.idx) == list(range(len(part)))
+        assert part.sort_values("u").idx.tolist() == list(range(len(part)))
+
+
+def test_replicates_over_n_are_drawn_anew(spark, monkeypatch):
+    from cohortlift.operators import bootstrap
+
+    monkeypatch.setattr(bootstrap, "SHORTFALL", 0)  # about half of the first passes exceed n
+    rows = spark.range(40).selectExpr(
+        "'S' as study_id", "concat('t:', id) as unit_id", "cast(id % 2 as int) as treatment", "1D as weight")
+    sums = resampled_sums(rows, {"w": "weight"}, Bootstrap(reps=60, by_arm=True)).collect()
+    assert {r.w for r in sums} == {20.0} and len(sums) == 120
+
+
+def test_pin_computes_once_on_either_side_of_its_limit(spark):
+    for limit in (10, 1000):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        frame = spark.range(200).repartition(4).mapInArrow(count, "id long")
+        kept = pin(frame, max_rows=limit)
+        assert kept.count() == 200 and kept.count() == 200
+        assert seen.value == 200
 
 
 def test_pin_keeps_every_row_beyond_its_limit(spark):

@@ -84,7 +84,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             " and o_orderdate < timestamp '2001-01-01 00:00:00'"
         )
         .groupBy(F.col("o_custkey").alias("patient_id"), F.expr("year(o_orderdate) - 1997").alias("period"))
-        .agg(F.expr("sum(o_totalprice) / 100.0e0").alias("outcome"))
+        .agg(F.expr("cast(sum(cast(o_totalprice as decimal(18, 4))) as double) / 100.0e0").alias("outcome"))
     )
     return covariates(spark, sf_dir).join(yearly, "patient_id").selectExpr(
         "if(patient_id % 2 = 0, 'LME_MIXED', 'LME_GROWTH') as study_id", "patient_id", "treatment",

@@ -72,7 +72,7 @@ _CTES["x_panel"] = """
 select case when patient_id % 2 = 0 then 'LME_MIXED' else 'LME_GROWTH' end as study_id,
        patient_id, treatment, age,
        case when patient_id % 29 = 0 then null else risk_score end as risk_score, prior_cost,
-       cast(year(o_orderdate) - 1997 as int) as period, sum(o_totalprice) / 100.0e0 as outcome
+       cast(year(o_orderdate) - 1997 as int) as period, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) / 100.0e0 as outcome
 from x_covariates join orders on o_custkey = patient_id
 where year(o_orderdate) between 1997 and 2000
 group by patient_id, treatment, age, risk_score, prior_cost, year(o_orderdate)"""
@@ -359,12 +359,16 @@ def _bootstrap(
     )
     total = f"select study_id, rep, treatment, w, wy from {prefix}_drawn"
     if scheme == "fixed_n":
+        total += (
+            f" anti join (select study_id, pool, rep from {prefix}_short where drawn > n) o"
+            " using (study_id, pool, rep)"
+        )
         cubic = {
             h: f"((((({h}0 * draw + {h}1) % {PRIME}) * draw + {h}2) % {PRIME}) * draw + {h}3) % {PRIME}"
             for h in ("hx", "hy")
         }
         _CTES[f"{prefix}_short"] = (
-            f"select c.study_id, c.pool, r.rep, n, n - coalesce(d.drawn, 0) as short from {prefix}_cells c"
+            f"select c.study_id, c.pool, r.rep, n, d.drawn, case when d.drawn > n then n else n - coalesce(d.drawn, 0) end as short from {prefix}_cells c"
             f" cross join {prefix}_reps r left join (select study_id, pool, rep, cast(sum(drawn) as bigint) as drawn"
             f" from {prefix}_drawn group by study_id, pool, rep) d"
             " on d.study_id = c.study_id and d.pool = c.pool and d.rep = r.rep"
@@ -411,8 +415,8 @@ _bootstrap("bo", "g_exact", "post_outcome", by_arm=True, seed=11, scheme="poisso
 _bootstrap("be", "x_outcomes", "y", by_arm=False, seed=0)
 _CTES["x_after_outcomes"] = "select * from x_outcomes where study_id like 'SEG%'"
 _bootstrap("bf", "x_after_outcomes", "y", by_arm=True, seed=7)
-_bootstrap("s1", "x_none", "post_outcome", by_arm=True, seed=3, reps=40, scheme="poisson")
-_bootstrap("s2", "x_none", _DID, by_arm=True, seed=3, reps=40, scheme="poisson")
+_bootstrap("s1", "x_none", "post_outcome", by_arm=True, seed=3, reps=300, scheme="poisson")
+_bootstrap("s2", "x_none", _DID, by_arm=True, seed=3, reps=300, scheme="poisson")
 _CTES["x_pe_att"] = "select * from q_exact where study_id = 'PE_ATT'"
 _bootstrap("bq", "x_pe_att", "post_outcome", by_arm=False, seed=0)
 
@@ -449,13 +453,21 @@ select * from x_results qualify row_number() over (partition by study_id order b
 
 
 def _stamp(source: str, columns: dict[str, str]) -> str:
+    def split(x: str) -> str:
+        high = f"floor({x} * 1048576e0)"
+        return (
+            f"case when isnan({x}) then 'nan' else concat('0:', cast({high} as bigint), '/',"
+            f" cast(floor(({x} * 1048576e0 - {high}) * 1099511627776e0) as bigint)) end"
+        )
+
     parts = ", ".join(
-        "coalesce(cast(cast(round({0} * 10000e0) as bigint) as varchar), '~')".format(name)
+        f"case when {name} is null then '~' else {split(f'cast({name} as double)')} end"
         if kind == "d" else f"coalesce(cast({name} as varchar), '~')"
         for name, kind in columns.items()
     )
     return (
-        "select count(*) as n_rows, coalesce(bit_xor(h), -1) as stamp from"
+        "select count(*) as n_rows,"
+        " cast((coalesce(sum(h), 0) * 31 + count(*)) % 2305843009213693951 as bigint) as stamp from"
         f" (select {_hex('md5(r)', 1, 15)} as h from (select concat_ws('|', {parts}) as r from {source}) a) b"
     )
 

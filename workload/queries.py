@@ -104,7 +104,7 @@ def simple_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over all segment studies without matching: att first, did a day later."""
     cohort = fx.cohorts(spark, sf_dir)
     matched = stage(matching.match_none(cohort), "unmatched")
-    spec = Bootstrap(reps=40, seed=3, by_arm=True, scheme="poisson")
+    spec = Bootstrap(reps=300, seed=3, by_arm=True, scheme="poisson")
     counts = matching.matched_counts(matched)
     naive = estimators.naive_effect(cohort)
     parts = [
