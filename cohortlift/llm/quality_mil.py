@@ -192,10 +192,10 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = pa.Table.from_batches(list(batches))
-    if table.num_rows == 0:
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
         return
-    table = table.sort_by([("doc_id", "ascending"), ("bag", "ascending")])
+    table = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("bag", "ascending")])
     bags = [np.frombuffer(b, dtype=np.float32).reshape(-1, N_FEATURES).astype(float) for b in table.column("bag").to_pylist()]
     labels = table.column("label").to_numpy().astype(float)
     yield pa.RecordBatch.from_pydict({"model": [_packed(fit(bags, labels))]})
