@@ -27,7 +27,9 @@ from cohortlift.llm.components import components
 from cohortlift.llm.words import mix, shingle_sets, text_slices
 from cohortlift.operators.pinning import stage
 
-SKETCH_SLOTS = 1 << 22
+#: Counters of the frequency sketch: 16 a document, so that its errors do not grow with the
+#: corpus, within these bounds.
+SKETCH_LEAST, SKETCH_MOST = 1 << 18, 1 << 25
 _SKETCH_BLOCK = 1 << 16
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 
@@ -36,14 +38,14 @@ _FEATURE_SCHEMA = "doc_id long, n_shingles long, key_a long, key_b long, prefix
 _BODY_SCHEMA = "doc_id long, second array<int>, third array<int>, text string"
 
 
-def _sketch_part(width: int):
+def _sketch_part(width: int, slots: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH_SLOTS, dtype=np.int32)
+        counts = np.zeros(slots, dtype=np.int32)
         for batch in batches:
             for texts in text_slices(batch.column("text")):
                 sets = list(shingle_sets(texts, width))
                 tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-                np.add.at(counts, (tokens & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64), 1)
+                np.add.at(counts, (tokens & np.uint64(slots - 1)).astype(np.int64), 1)
         yield from _blocks(counts)
 
     return count
@@ -70,24 +72,55 @@ def _sketch_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
+def _slots_for(n: int) -> int:
+    return min(max(1 << max(16 * n - 1, 1).bit_length(), SKETCH_LEAST), SKETCH_MOST)
+
+
+def _gathered(parts: DataFrame, slots: int) -> np.ndarray:
+    """The sum of all tasks' counters, summed block by block before they reach the driver."""
+    counts = np.zeros((slots // _SKETCH_BLOCK, _SKETCH_BLOCK), dtype=np.int32)
+    for row in parts.repartition("block").mapInArrow(_sketch_sum, _SKETCH_SCHEMA).toLocalIterator():
+        counts[row.block] = np.frombuffer(zlib.decompress(row.counts), dtype=np.int32)
+    return counts.reshape(-1)
+
+
+def _id_slots(ids: np.ndarray, slots: int) -> np.ndarray:
+    """The two filter slots of each doc_id, one row each."""
+    ids = ids.astype(np.int64).view(np.uint64)
+    return (np.stack([mix(ids ^ _SEEDS[0]), mix(ids ^ _SEEDS[1])]) & np.uint64(slots - 1)).astype(np.int64)
+
+
+def _node_filter(pairs: DataFrame) -> np.ndarray:
+    """A Bloom filter of the pairs' documents, of bounded size: it lets a scan of all texts pass on hardly
+    more than those wanted, without shuffling the others; the joins after it are exact."""
+    slots = _slots_for(pairs.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(slots, dtype=np.int32)
+        for batch in batches:
+            for name in ("u", "v"):
+                counts[_id_slots(batch.column(name).to_numpy(), slots)] = 1
+        yield from _blocks(counts)
+
+    return _gathered(pairs.select("u", "v").mapInArrow(run, _SKETCH_SCHEMA), slots) > 0
+
+
 def frequency_classes(docs: DataFrame, width: int) -> np.ndarray:
-    """For each sketch slot, how many doublings its document count lies above the mean count.
+    """For each sketch slot, how rare its tokens are: 0 up to the mean count of a slot, then a class for
+    every quarter of a doubling of the standard errors above it.
 
-    The sketch has ``SKETCH_SLOTS`` counters whatever the input, so it may pass through the driver.
+    The sketch is bounded by ``SKETCH_MOST`` counters whatever the input, so it may pass through the driver.
     """
-    parts = docs.select("text").mapInArrow(_sketch_part(width), _SKETCH_SCHEMA)
-    sums = parts.repartition("block").mapInArrow(_sketch_sum, _SKETCH_SCHEMA)
-    counts = np.zeros((SKETCH_SLOTS // _SKETCH_BLOCK, _SKETCH_BLOCK), dtype=np.int64)
-    for row in sums.collect():
-        counts[row.block] = np.frombuffer(zlib.decompress(row.counts), dtype=np.int32)
-    counts = counts.reshape(-1)
-    mean = max(float(counts.mean()), 1.0)
-    return np.clip(np.floor(np.log2(np.maximum(counts, 1) / mean)), 0, 63).astype(np.uint8)
+    slots = _slots_for(docs.select("doc_id").count())
+    counts = _gathered(docs.select("text").mapInArrow(_sketch_part(width, slots), _SKETCH_SCHEMA), slots)
+    mean = float(counts.mean())
+    above = np.maximum(counts - np.float32(mean), np.float32(0)) / np.float32((mean + 1) ** 0.5)
+    return np.minimum(np.floor(4 * np.log2(1 + above)), 63).astype(np.uint8)
 
 
 def _ordered(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
     """Tokens as keys that sort by the given global order: 6 bits of class, 57 bits of hash."""
-    level = classes[(tokens & np.uint64(SKETCH_SLOTS - 1)).astype(np.int64)].astype(np.uint64)
+    level = classes[(tokens & np.uint64(len(classes) - 1)).astype(np.int64)].astype(np.uint64)
     return (level << np.uint64(57)) | (mix(tokens ^ _SEEDS[order]) >> np.uint64(7))
 
 
@@ -137,11 +170,14 @@ def _prefixes(
     return parts
 
 
-def _bodies(width: int, num: int, den: int, shared):
-    """The texts of candidate documents with their prefixes under the second and third order."""
+def _bodies(width: int, num: int, den: int, shared, wanted):
+    """The texts of wanted documents with their prefixes under the second and third order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
+        held = np.unpackbits(np.frombuffer(zlib.decompress(wanted.value), dtype=np.uint8)).astype(bool)
         for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(held[_id_slots(ids, len(held))].all(axis=0)))
             for texts in text_slices(batch.column("text")):
                 sets = list(shingle_sets(texts, width))
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -262,10 +298,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         ), "prefixes",
     )
     rows = stage(_ranked(rows), "ranked")
-    bodies = stage(
-        docs.join(rows.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(_bodies(width, num, den, shared), _BODY_SCHEMA), "bodies",
-    )
     # Rows of one doc_id with different texts are links by definition.
     mixed = members.groupBy("doc_id").agg(
         F.min("class_id").alias("v"), F.max("class_id").alias("high")
@@ -277,13 +309,18 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         pivots, pairs = _pairs(rows, spread, num, den)
         pairs = stage(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "candidates")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        edges = edges.unionByName(stage(_links(pairs, bodies, width, num, den), "verified"))
-        found = components(edges)
+        wanted = spark.sparkContext.broadcast(zlib.compress(np.packbits(_node_filter(pairs)).tobytes(), 1))
+        bodies = docs.where("doc_id is not null").mapInArrow(_bodies(width, num, den, shared, wanted), _BODY_SCHEMA)
+        links = stage(_links(pairs, stage(bodies, "bodies"), width, num, den), "verified")
+        if not links.isEmpty():
+            # A node and its component are a link as good as those it was found by.
+            forest = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            found = components(forest.unionByName(links))
         left = rows.drop("component").join(pivots, ["token", "node"], "left_anti").join(
             found.withColumnRenamed("component", "root"), "node", "left"
         ).withColumn("component", F.coalesce("root", "node")).drop("root")
         rows = _open(left, num, den)
-        spread *= 4
+        spread *= 64
     return members.join(
         found.select(F.col("node").alias("class_id"), F.col("component").alias("root")), "class_id", "left"
     ).select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
