@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortlift.llm.components import components
 from cohortlift.llm.words import mix, shingle_sets, text_slices
+from cohortlift.llm.staging import Stages
 from cohortlift.operators.pinning import stage
 
 #: Counters of the frequency sketch: 16 a document, so that its errors do not grow with the
@@ -242,16 +243,16 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return rows.join(hubs, "node").drop("holders", "floor")
 
 
-def _open(rows: DataFrame, num: int, den: int) -> DataFrame:
+def _open(rows: DataFrame, num: int, den: int, tables: Stages) -> DataFrame:
     """Rows that may still link: of groups with more than one component, once members are left out
     whose token lies too far behind even for the group's smallest set."""
     least = rows.groupBy("token").agg(F.min("n").alias("least"))
     allowed = (F.col("n") - F.col("pos")) * (num + den) >= (F.col("n") + F.col("least")) * num
-    rows = stage(rows.join(least, "token").where(allowed).drop("least"), "allowed")
+    rows = tables.write(rows.join(least, "token").where(allowed).drop("least"), "allowed")
     several = rows.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low < high").select("token")
-    return stage(rows.join(several, "token"), "open")
+    return tables.write(rows.join(several, "token"), "open")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
@@ -267,9 +268,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     texts always share a class.  Extra columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
+    tables = Stages(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(zlib.compress(frequency_classes(docs, width).tobytes(), 1))
-    features = stage(docs.mapInArrow(_features(width, num, den, shared), _FEATURE_SCHEMA), "shingles")
+    features = tables.write(docs.mapInArrow(_features(width, num, den, shared), _FEATURE_SCHEMA), "shingles")
 
     # Copies are one node; the sets' sizes and two 64-bit sums tell them apart from all other sets.
     key = ["n_shingles", "key_a", "key_b"]
@@ -292,12 +294,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("holders")
     ).where("low < high").select("token", "holders")
     floor = F.ceil(F.col("n") * num / den)
-    rows = stage(
+    rows = tables.write(
         tokens.join(shared_tokens, "token").select(
             "token", "node", "n", "pos", F.col("node").alias("component"), "holders", floor.alias("floor")
         ), "prefixes",
     )
-    rows = stage(_ranked(rows), "ranked")
+    rows = tables.write(_ranked(rows), "ranked")
     # Rows of one doc_id with different texts are links by definition.
     mixed = members.groupBy("doc_id").agg(
         F.min("class_id").alias("v"), F.max("class_id").alias("high")
@@ -307,11 +309,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     checked, spread = None, 1
     while not rows.isEmpty():
         pivots, pairs = _pairs(rows, spread, num, den)
-        pairs = stage(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "candidates")
+        pairs = tables.write(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "candidates")
         checked = pairs if checked is None else checked.unionByName(pairs)
         wanted = spark.sparkContext.broadcast(zlib.compress(np.packbits(_node_filter(pairs)).tobytes(), 1))
         bodies = docs.where("doc_id is not null").mapInArrow(_bodies(width, num, den, shared, wanted), _BODY_SCHEMA)
-        links = stage(_links(pairs, stage(bodies, "bodies"), width, num, den), "verified")
+        links = tables.write(_links(pairs, tables.write(bodies, "bodies"), width, num, den), "verified")
+        tables.drop("bodies")
         if not links.isEmpty():
             # A node and its component are a link as good as those it was found by.
             forest = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
@@ -319,8 +322,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         left = rows.drop("component").join(pivots, ["token", "node"], "left_anti").join(
             found.withColumnRenamed("component", "root"), "node", "left"
         ).withColumn("component", F.coalesce("root", "node")).drop("root")
-        rows = _open(left, num, den)
+        rows = _open(left, num, den, tables)
         spread *= 64
+    tables.drop()  # the result reads the classes and components alone
     return members.join(
         found.select(F.col("node").alias("class_id"), F.col("component").alias("root")), "class_id", "left"
     ).select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))

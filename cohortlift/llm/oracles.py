@@ -1,7 +1,47 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+The others rest on learnt scores, tokenizers, hashed draws or match positions; tests/llm holds them
+against brute force.
+"""
 
 from __future__ import annotations
 
+_OP1 = r"""
+with recursive
+w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+g as (
+  select distinct doc_id, unnest(
+    case when len(ws) >= 3 then list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+         when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s
+  from w),
+n as (select doc_id, count(*) as n, list_sort(list(s)) as all_s from g group by doc_id),
+k as (select doc_id, n, min(doc_id) over (partition by all_s) as class_id from n),
+p as (select a.doc_id as u, b.doc_id as v, count(*) as c from g a join g b on a.s = b.s and a.doc_id < b.doc_id group by all),
+l as (
+  select u, v from p join n x on x.doc_id = u join n y on y.doc_id = v where 100 * c >= 90 * (x.n + y.n - c)),
+e as (select u, v from l union all select v, u from l),
+r(root, node) as (
+  select doc_id, doc_id from documents union select r.root, e.v from r join e on r.node = e.u)
+select d.doc_id, coalesce(k.n, 0) as n_shingles, m.component_id, coalesce(k.class_id, d.doc_id) as class_id
+from documents d left join k using (doc_id)
+join (select node as doc_id, min(root) as component_id from r group by node) m using (doc_id)
+"""
+
+_OP3 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(cast(x as double) * 64)) as e from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+select query_id, cast(n as int) as rank, vec_id, score from r where n <= 20
+"""
+
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op1_ngram_jaccard_join": _OP1, "op3_ball_tree_top_k": _OP3}

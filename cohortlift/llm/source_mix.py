@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortlift.llm.words import WORD_PATTERN, word_counts
-from cohortlift.operators.pinning import stage
+from cohortlift.operators.pinning import pin, stage
 
-BLOCK_WORDS = 100_000
+BLOCK_WORDS = 250_000
 SHARD_WORDS = 2_000_000
 MOST_REPEATS = 3
 
@@ -147,10 +147,12 @@ def plan_mix(
     owned = owned.groupBy("_source", "_rank").agg(
         F.sort_array(F.collect_list(F.struct("_repeat", "shard"))).alias("_owned")
     )
-    blocks = blocks.join(
+    # One row per block, computed once: Spark knows its size and broadcasts it if that is small, so
+    # that texts need not be shuffled to their blocks.
+    blocks = pin(blocks.join(
         owned.withColumnRenamed("_source", "_s").withColumnRenamed("_rank", "_r"),
         F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_rank") == F.col("_r")), "left",
-    ).select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_whole", "_room", "_words", "_owned")
+    ).select(F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_whole", "_room", "_words", "_owned"))
     joined = sized.join(blocks, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
 
     # Only a source's border block needs its documents' order: they are drawn while they fit, and
