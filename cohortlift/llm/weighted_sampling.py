@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortlift.operators.pinning import stage
+from cohortlift.operators.pinning import pin, stage
 
 SLOTS = 16
 #: Slots folded by one row of the generator.  More in one expression outgrow the JVM's compiler.
@@ -118,10 +118,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     ))
     heads = docs.groupBy("shard").agg(F.max("doc_id").alias("head"))
     around = Window.orderBy(F.col("shard").desc())
-    heads = heads.select(
+    heads = pin(heads.select(
         "shard", "head", F.lead("shard").over(around).alias("lower"),
         F.max("shard").over(Window.partitionBy(F.lit(0))).alias("top"),
-    ).select(F.coalesce("lower", "top").alias("next_shard"), "shard", "head")
+    ).select(F.coalesce("lower", "top").alias("next_shard"), "shard", "head"))
     texts = docs.join(
         heads.select(F.col("shard").alias("hs"), "head"),
         (F.col("shard") == F.col("hs")) & F.col("doc_id").eqNullSafe(F.col("head")),
