@@ -23,6 +23,8 @@ PASSAGE_WORDS = 64
 #: The fit uses about this many labelled documents at most, drawn by a hash of doc_id, with
 #: all their passages.
 MAX_FIT_DOCS = 6000
+#: Labels that may be broadcast, by their counted number.
+MOST_SENT = 1_000_000
 _HIDDEN, _GATE, _EPOCHS, _BATCH = 24, 12, 30, 64
 
 _CLASSES = 8
@@ -248,7 +250,12 @@ def held_out(doc_id: Column, divisor: int, remainder: int) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, divisor: int, remainder: int) -> DataFrame:
-    """doc_id, text and label of the labelled documents outside the held-out part."""
+    """doc_id, text and label of the labelled documents outside the held-out part.
+
+    Up to ``MOST_SENT`` labels are sent to all executors (some 30 MB); more are joined by shuffle.
+    """
     marked = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"), divisor, remainder)).groupBy(
         "doc_id").agg(F.max(label).alias("label"))
+    if marked.count() <= MOST_SENT:
+        marked = F.broadcast(marked)
     return docs.select("doc_id", "text").join(marked, "doc_id")
