@@ -6,12 +6,18 @@ a model that both share.  The shared model is an interpolated Kneser-Ney model o
 shorter contexts count distinct left neighbours.  So what one class has hardly met is judged by
 what both have met, and differences come from contexts that a class knows well.  A document's score is the difference of its log-likelihoods per byte, put on a scale of 0
 to 1 by a logistic fit on labelled rows that the counts have not seen.
+
+The models are Spark tables keyed by the exact n-gram, so they grow with the counts and share nothing.
+The scored documents' distinct n-grams are joined to them.  The differences of the most frequent
+ones go to the tasks; words that hold any other are exploded to n-grams, joined by shuffle, and summed
+by word, then by document.  Differences are whole multiples of 1 / ``UNIT``, so that sums do not
+depend on their order.
 """
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +28,6 @@ from cohortlift.operators.pinning import stage
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Table slots of n-grams up to three bytes, and of longer ones; keys that fall in one slot share its
-#: greatest value.  A model's size is bounded by them whatever the corpus.
-SHORT_SLOTS, LONG_SLOTS = 1 << 18, 1 << 21
 #: A word whose two log-likelihoods differ by more nats than this is told apart.  Most words are not,
 #: and their many small differences would drown the few that are.
 MARGIN = 4.0
@@ -35,6 +38,10 @@ _SCALE_TENTHS = 2
 _BEGIN, _END = 1, 2  # bytes that do not occur in words
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
+#: Parts of a nat in which differences are summed.
+UNIT = 1 << 24
+#: The most frequent n-grams, whose differences go to the tasks; all others are joined by shuffle.
+COMMON_GRAMS = 1 << 18
 _CACHE = 1 << 20
 _CLASS_PART = 2 * ORDER + 2
 
@@ -62,6 +69,15 @@ def _grams(codes: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def _longest_grams(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The longest n-gram up to each place but a word's first, its length in the top byte."""
+    top = np.zeros(len(codes), dtype=np.uint64)
+    for order in range(2, ORDER + 1):
+        mine = np.minimum(place + 1, ORDER) == order
+        top[mine] = _grams(codes, order)[mine] | np.uint64(order << 56)
+    return top
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each longest n-gram occurs by label; ``gram`` holds its length in the top byte."""
     for batch in batches:
@@ -74,10 +90,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, at, times = np.unique(hashes, return_index=True, return_counts=True)
             codes, place, first = _events(texts, starts[at], ends[at])
             word = np.repeat(np.arange(len(at)), np.diff(np.append(first, len(codes))))
-            top = np.zeros(len(codes), dtype=np.uint64)
-            for order in range(2, ORDER + 1):
-                mine = np.minimum(place + 1, ORDER) == order
-                top[mine] = _grams(codes, order)[mine] | np.uint64(order << 56)
+            top = _longest_grams(codes, place)
             use = place > 0
             key = (top[use] << np.uint64(1)) | label[at][word[use]]
             key, back = np.unique(key, return_inverse=True)
@@ -102,120 +115,186 @@ def _levels(grams: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def _slots(part: int) -> int:
-    return SHORT_SLOTS if part <= 7 else LONG_SLOTS
-
-
-def _slot(column: str, slots: int) -> Column:
-    return F.xxhash64(column).bitwiseAND(F.lit(slots - 1)).cast("int")
-
-
-def _shares(level: DataFrame, by: list[str], part: Column, rest_part: Column, slots: int) -> list[DataFrame]:
+def _shares(level: DataFrame, by: list[str], part: Column, rest_part: Column, context: Column) -> list[DataFrame]:
     """Discounted share of each n-gram after its context, and each context's left-over mass."""
-    level = level.withColumn("context", F.shiftright("gram", 8))
+    level = level.withColumn("context", context)
     totals = level.groupBy(*by, "context").agg(F.sum("times").alias("total"), F.count("*").alias("kinds"))
     return [
         level.join(totals, [*by, "context"]).select(
-            part.alias("part"), _slot("gram", slots).alias("slot"),
-            (F.greatest(F.col("times") - DISCOUNT, F.lit(0.0)) / F.col("total")).alias("value"),
+            part.cast("int").alias("part"), "gram", ((F.col("times") - DISCOUNT) / F.col("total")).alias("value"),
         ),
         totals.select(
-            rest_part.alias("part"), _slot("context", slots).alias("slot"),
+            rest_part.cast("int").alias("part"), F.col("context").alias("gram"),
             (F.lit(DISCOUNT) * F.col("kinds") / F.col("total")).alias("value"),
         ),
     ]
 
 
+def _body(gram: Column) -> Column:
+    """The bytes of an n-gram that holds its length in the top byte."""
+    return gram.bitwiseAND(F.lit((1 << 56) - 1))
+
+
+def _longest_context(gram: Column) -> Column:
+    """The context of a longest n-gram, with the n-gram's length in the top byte."""
+    return F.shiftright(_body(gram), 8).bitwiseOR(F.shiftleft(F.shiftright(gram, 56), 56))
+
+
 def _tables(grams: DataFrame) -> DataFrame:
-    """(part, slot, value).  Part ``2 * size`` holds the pooled model's shares of that order and the
-    part after it the left-over masses; from ``_CLASS_PART`` on come both classes' shares and masses."""
-    body = F.col("gram").bitwiseAND(F.lit((1 << 56) - 1)).alias("gram")
-    grams = grams.select("label", body, F.shiftright("gram", 56).alias("order"), "times")
+    """(part, gram, value), one row for each exact n-gram or context.  Part ``2 * size`` holds the
+    pooled model's shares of that order and the part after it the left-over masses; from
+    ``_CLASS_PART`` on come both classes' shares and masses, with the length in the top byte."""
     parts = _shares(
-        # Contexts of one n-gram differ by order only through their first byte, so one table holds all.
         grams.select("label", "gram", "times"), ["label"],
-        F.lit(_CLASS_PART) + F.col("label"), F.lit(_CLASS_PART + 2) + F.col("label"), LONG_SLOTS,
+        F.lit(_CLASS_PART) + F.col("label"), F.lit(_CLASS_PART + 2) + F.col("label"), _longest_context(F.col("gram")),
     )
-    for size, level in zip(range(ORDER, 0, -1), _levels(grams)):
-        parts += _shares(level, [], F.lit(2 * size), F.lit(2 * size + 1), _slots(2 * size))
+    bodies = grams.select(_body(F.col("gram")).alias("gram"), F.shiftright("gram", 56).alias("order"), "times")
+    for size, level in zip(range(ORDER, 0, -1), _levels(bodies)):
+        parts += _shares(level, [], F.lit(2 * size), F.lit(2 * size + 1), F.shiftright("gram", 8))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.groupBy("part", "slot").agg(F.max("value").cast("float").alias("value"))
+    return out
 
 
+@dataclass
 class Model:
-    """Both classes' tables, and the log-likelihood differences of words met so far."""
-
-    def __init__(self, packed: bytes) -> None:
-        with np.load(io.BytesIO(packed)) as held:
-            part, slot, value = held["part"], held["slot"], held["value"]
-            self.scale = held["scale"]
-        self.tables = {}
-        for number in range(2, _CLASS_PART + 4):
-            holds_mass = number >= _CLASS_PART + 2 if number >= _CLASS_PART else number % 2 == 1
-            table = np.full(_slots(number), 1.0 if holds_mass else 0.0, dtype=np.float32)
-            mine = part == number
-            table[slot[mine]] = value[mine]
-            self.tables[number] = table
+    """Both classes' tables, partitioned by part, and the weights of the scale."""
+
+    tables: DataFrame
+    scale: np.ndarray
+
+
+def _gains(grams: DataFrame, tables: DataFrame) -> DataFrame:
+    """``grams`` with ``gain``: the log-likelihood under the toxic model less that under the ordinary one.
+
+    At most 256 n-grams share a long context or ending, and tables of short ones are small, so no key is hot.
+    """
+    def look_up(rows: DataFrame, part: int, gram: Column, missing: float) -> DataFrame:
+        held = tables.where(F.col("part") == part).select(F.col("gram").alias("_key"), F.col("value").alias("_value"))
+        return rows.withColumn("_at", gram).join(held, F.col("_at") == F.col("_key"), "left").withColumn(
+            f"_{part}", F.coalesce("_value", F.lit(missing))).drop("_at", "_key", "_value")
+
+    rows, length = grams, F.shiftright("gram", 56)
+    chance = F.lit(1 / 256)
+    for size in range(1, ORDER + 1):
+        ending = F.when(length >= size, F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1)))
+        rows = look_up(rows, 2 * size, ending, 0.0)
+        rows = look_up(rows, 2 * size + 1, F.shiftright(ending, 8), 1.0)
+        chance = F.col(f"_{2 * size}") + F.col(f"_{2 * size + 1}") * chance
+    for label in (0, 1):
+        rows = look_up(rows, _CLASS_PART + label, F.col("gram"), 0.0)
+        rows = look_up(rows, _CLASS_PART + 2 + label, _longest_context(F.col("gram")), 1.0)
+    rows = rows.withColumn("_chance", chance)
+    ordinary, toxic = (
+        F.ln(F.col(f"_{_CLASS_PART + label}") + F.col(f"_{_CLASS_PART + 2 + label}") * F.col("_chance")) for label in (0, 1)
+    )
+    return rows.select(*grams.columns, F.round((toxic - ordinary) * UNIT).cast("long").alias("gain"))
+
+
+class _Words:
+    """Differences of words from those of common n-grams, and of the words met so far."""
+
+    def __init__(self, grams: np.ndarray, gains: np.ndarray) -> None:
+        self.grams, self.gains = grams, gains
         self.keys = np.zeros(_CACHE, dtype=np.uint64)
-        self.values = np.zeros(_CACHE, dtype=np.float32)
+        self.values = np.zeros(_CACHE, dtype=np.int64)
 
-    def _words(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Log-likelihood under the toxic model less that under the ordinary one, of each word."""
+    def _fresh(self, texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each word's sum over common n-grams, and its other n-grams: their words and themselves."""
         codes, place, first = _events(texts, starts, ends)
-        chance = np.full(len(codes), 1 / 256)
-        context = _xxhash64(np.zeros(1, dtype=np.uint64)).repeat(len(codes))
-        top, top_context = context, context
-        for size in range(1, ORDER + 1):
-            grams = _xxhash64(_grams(codes, size))
-            share, mass = self.tables[2 * size], self.tables[2 * size + 1]
-            known, mask = place + 1 >= size, np.uint64(len(share) - 1)
-            chance = np.where(known, share[grams & mask] + mass[context & mask] * chance, chance)
-            top, top_context = np.where(known, grams, top), np.where(known, context, top_context)
-            context = np.roll(grams, 1)
-        top, top_context = top & np.uint64(LONG_SLOTS - 1), top_context & np.uint64(LONG_SLOTS - 1)
-        toxic, ordinary = (
-            self.tables[_CLASS_PART + label][top] + self.tables[_CLASS_PART + 2 + label][top_context] * chance
-            for label in (1, 0)
-        )
-        gain = np.log(toxic) - np.log(ordinary)
-        gain[first] = 0
-        return np.add.reduceat(gain, first) if len(first) else np.zeros(0)
-
-    def differences(self, texts: Texts) -> np.ndarray:
-        """For each row: the summed difference, that of the words told apart, and how many bytes and word
-        ends the sums are over."""
+        grams = _longest_grams(codes, place).view(np.int64)
+        if len(self.grams):
+            at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+            here = self.grams[at] == grams
+            gain = np.where(here, self.gains[at], 0)
+        else:
+            here, gain = np.zeros((2, len(grams)), dtype=np.int64)
+        here[first], gain[first] = 1, 0
+        other = np.flatnonzero(here == 0)
+        word = np.searchsorted(first, other, side="right") - 1
+        return np.add.reduceat(gain, first), word, grams[other]
+
+    def sums(self, texts: Texts) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """For each row the summed difference, that of the words told apart, and how many bytes and word
+        ends the sums are over, all without words of other n-grams; and these words' n-grams."""
         starts, ends, first_word = texts.spans()
         hashes = texts.word_hashes(starts, ends)
         at = (hashes & np.uint64(_CACHE - 1)).astype(np.int64)
-        gain = self.values[at].astype(float)
+        gain, open_words = self.values[at], {n: np.zeros(0, dtype=np.int64) for n in ("row", "word", "times", "copies", "sum", "gram")}
         missing = np.flatnonzero(self.keys[at] != hashes)
         if len(missing):
             fresh, one, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            found = self._words(texts, starts[missing[one]], ends[missing[one]])
-            gain[missing] = found[back]
-            into = (fresh & np.uint64(_CACHE - 1)).astype(np.int64)
-            self.keys[into], self.values[into] = fresh, found
-        clear = np.where(gain > MARGIN, gain, 0)
+            found, word, gram = self._fresh(texts, starts[missing[one]], ends[missing[one]])
+            whole = np.ones(len(fresh), dtype=bool)
+            whole[word] = False
+            gain[missing] = np.where(whole, found, 0)[back]
+            into = (fresh[whole] & np.uint64(_CACHE - 1)).astype(np.int64)
+            self.keys[into], self.values[into] = fresh[whole], found[whole]
+            if len(word):
+                used = np.flatnonzero(~whole[back])
+                row = np.searchsorted(first_word, missing[used], side="right") - 1
+                pair, times = np.unique(row * len(fresh) + back[used], return_counts=True)
+                row, of = pair // len(fresh), pair % len(fresh)
+                begin, upto = np.searchsorted(word, of), np.searchsorted(word, of, side="right")
+                many = upto - begin
+                inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                # A word's sum over common n-grams travels with the first of its others.
+                open_words = {
+                    "row": np.repeat(row, many), "word": np.repeat(fresh[of].view(np.int64), many), "times": np.repeat(times, many),
+                    "copies": (inner == 0).astype(np.int64), "sum": np.where(inner == 0, np.repeat(found[of], many), 0), "gram": gram[np.repeat(begin, many) + inner],
+                }
+        clear = np.where(gain > int(MARGIN * UNIT), gain, 0)
         return np.stack([
             np.diff(np.concatenate([[0], np.cumsum(part)])[first_word]) for part in (gain, clear, ends - starts + 1)
-        ])
-
-    def scores(self, differences: np.ndarray) -> np.ndarray:
-        z = _scale_terms(*differences) @ self.scale
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+        ]), open_words
 
 
-_models: dict[int, Model] = {}
+def _differences(docs: DataFrame, tables: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of every row with the summed difference, that of the words told apart, and how many
+    bytes and word ends the sums are over.
 
+    Rows equal in ``columns`` and text are summed as one and come out as many times as they went in.
+    """
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
+    held = docs.select("text", F.lit(0).alias("label")).mapInArrow(_counts, "label int, gram long, times long").groupBy("gram").agg(
+        F.sum("times").alias("held"))
+    gains = stage(_gains(held, tables), "gains")
+    common = gains.orderBy(F.col("held").desc(), "gram").limit(COMMON_GRAMS).select("gram", "gain").toArrow().sort_by("gram")
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(common.column(c).to_numpy() for c in ("gram", "gain")))
+    numbers = ["word", "times", "sum", "gram", "copies", "own", "told", "bytes"]
 
-def _model(key: int, packed: bytes) -> Model:
-    """This worker's model; one is held at a time."""
-    if key not in _models:
-        _models.clear()
-        _models[key] = Model(packed)
-    return _models[key]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words(*shared.value)
+        for batch in batches:
+            for texts in text_slices(batch.column("text")):
+                found, others = words.sums(texts)
+                kept = batch.select([*columns, "mark"]).slice(texts.first, texts.rows)
+                place = pa.array(np.concatenate([np.arange(texts.rows), others["row"]]).astype(np.int64))
+                none, void = np.zeros(texts.rows, dtype=np.int64), np.zeros(len(others["row"]), dtype=np.int64)
+                # A document's own row joins under its mark, which spreads such rows, and uses no n-gram.
+                mark = kept.column("mark").to_numpy()
+                own = {"word": none, "times": none, "sum": none, "gram": mark, "copies": none + 1}
+                values = [np.concatenate([own[n], others[n]]) for n in own]
+                values += [np.concatenate([v, void]) for v in found]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.take(place).columns, *(pa.array(v.astype(np.int64)) for v in values)], names=[*columns, "mark", *numbers])
+
+    marked = docs.select(*columns, F.xxhash64("text").alias("mark"), "text")
+    uses = marked.mapInArrow(run, f"{schema}, mark long, " + ", ".join(f"{n} long" for n in numbers))
+    rows = uses.join(gains.select("gram", "gain"), "gram", "left").repartition(*columns, "mark")
+    gain = F.col("sum") + F.when(F.col("times") > 0, F.col("gain")).otherwise(0)
+    words = rows.groupBy(*columns, "mark", "word", "times").agg(
+        F.sum(gain).alias("gain"), *(F.sum(c).alias(c) for c in ("copies", "own", "told", "bytes"))
+    ).select(*columns, "mark", "copies", "times", *(F.expr(f"{c} div copies").alias(c) for c in ("gain", "own", "told", "bytes")))
+    more = F.col("times") * F.col("gain")
+    sums = words.groupBy(*columns, "mark").agg(
+        F.max(F.when(F.col("times") == 0, F.col("copies"))).alias("copies"), F.sum(F.col("own") + more).alias("own"),
+        F.sum(F.col("told") + F.when(F.col("gain") > int(MARGIN * UNIT), more).otherwise(0)).alias("told"), F.sum("bytes").alias("bytes"),
+    )
+    each = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(
+        *columns, (F.col("own") / UNIT).alias("difference"), (F.col("told") / UNIT).alias("clear"), F.col("bytes").alias("length"))
 
 
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
@@ -259,37 +338,11 @@ def _fit_scale(differences: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return weights
 
 
-def _pack(tables: pa.Table, scale: np.ndarray) -> bytes:
-    buffer = io.BytesIO()
-    np.savez_compressed(
-        buffer, scale=scale, **{c: tables.column(c).combine_chunks().to_numpy() for c in ("part", "slot", "value")}
-    )
-    return buffer.getvalue()
-
-
-def _with_differences(docs: DataFrame, packed: bytes, schema: str, columns: list[str]) -> DataFrame:
-    """``columns`` with the summed differences, their length, and the score, as the model gives them."""
-    shared, key = docs.sparkSession.sparkContext.broadcast(packed), hash(packed)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(key, shared.value)
-        for batch in batches:
-            for texts in text_slices(batch.column("text")):
-                found = model.differences(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(texts.first, texts.rows) for c in columns), pa.array(found[0]), pa.array(found[1]),
-                     pa.array(found[2].astype(np.int64)), pa.array(model.scores(found))],
-                    names=[*columns, "difference", "clear", "length", "score"],
-                )
-
-    return docs.mapInArrow(run, f"{schema}, difference double, clear double, length long, score double")
-
-
-def train(labelled: DataFrame) -> bytes | None:
-    """A packed model from rows of doc_id, text and label (0 or 1); None unless both labels occur.
+def train(labelled: DataFrame) -> Model | None:
+    """A model from rows of doc_id, text and label (0 or 1); None unless both labels occur.
 
-    All rows but those of the scale are counted.  Counting is a map-side-combined aggregation; what
-    passes through the driver is bounded by the number of table slots.
+    All rows but those of the scale are counted.  Counting is a map-side-combined aggregation, and its
+    tables stay with the executors; what passes through the driver are the scale's few sums.
     """
     rows = labelled.where("doc_id is not null and label in (0, 1)").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"),
@@ -302,18 +355,16 @@ def train(labelled: DataFrame) -> bytes | None:
     counted = rows.where(draw >= share).select("text", "label")
     grams = counted.mapInArrow(_counts, "label int, gram long, times long").groupBy("label", "gram").agg(
         F.sum("times").alias("times"))
-    tables = _tables(stage(grams, "counts")).toArrow()
-    plain = _pack(tables, np.zeros(5))
-    seen = _with_differences(rows.where(draw < share), plain, "doc_id long, label int", ["doc_id", "label"]).toArrow()
+    tables = stage(_tables(stage(grams, "counts")), "tables", "part")
+    seen = _differences(rows.where(draw < share), tables, ["doc_id", "label"]).toArrow()
     if seen.num_rows == 0:
-        return _pack(tables, np.array([1.0, 0.0, 0.0, 0.0, 0.0]))
-    seen = seen.sort_by("doc_id")
+        return Model(tables, np.array([1.0, 0.0, 0.0, 0.0, 0.0]))
+    seen = seen.sort_by([(c, "ascending") for c in seen.column_names])
     found = np.stack([seen.column(c).to_numpy().astype(float) for c in ("difference", "clear", "length")])
-    scale = _fit_scale(found, seen.column("label").to_numpy().astype(float))
-    return _pack(tables, scale)
+    return Model(tables, _fit_scale(found, seen.column("label").to_numpy().astype(float)))
 
 
-def score(docs: DataFrame, model: bytes | None) -> DataFrame:
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, difference, clear, length, score) of every row; score 0.5 without a model.
 
     Null texts are scored as empty ones; any doc_id, null or repeated, keeps its row; extra columns are ignored.
@@ -321,4 +372,8 @@ def score(docs: DataFrame, model: bytes | None) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if model is None:
         return docs.select("doc_id", F.lit(0.0).alias("difference"), F.lit(0.0).alias("clear"), F.lit(0).cast("long").alias("length"), F.lit(0.5).alias("score"))
-    return _with_differences(docs, model, "doc_id long", ["doc_id"])
+    size = F.greatest("length", F.lit(1))
+    terms = [10 * F.col("difference") / size, F.log1p(1000 * F.col("clear") / size), F.log1p("clear"), F.ln(size) / 5, F.lit(1.0)]
+    z = sum((term * float(weight) for term, weight in zip(terms, model.scale)), F.lit(0.0))
+    found = _differences(docs, model.tables, ["doc_id"])
+    return found.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(50.0)), F.lit(-50.0)))))

@@ -75,3 +75,21 @@ def test_hash_of_tables_is_sparks(spark):
     values = [0, 1, 255, 2**40 + 7, 2**55]
     got = [r.h for r in spark.createDataFrame([(v,) for v in values], "v long").selectExpr("xxhash64(v) as h").collect()]
     assert toxicity._xxhash64(np.array(values, dtype=np.uint64)).view(np.int64).tolist() == got
+
+
+def test_probabilities_sum_to_one_whatever_the_number_of_ngrams(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    texts = [" ".join("".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(1500)) for _ in range(120)]
+    model = toxicity.train(labelled(spark, lambda i: texts[i], len(texts)))
+    grams = model.tables.where("part = 10")
+    assert grams.count() > 300_000 and grams.select("gram").distinct().count() == grams.count()
+    # Shares after a context and its left-over mass are all there is.
+    shares = model.tables.where("part = 10").selectExpr("shiftright(gram, 8) as gram", "value")
+    sums = shares.unionByName(model.tables.where("part = 11").select("gram", "value")).groupBy("gram").agg({"value": "sum"})
+    low, high = sums.selectExpr("min(`sum(value)`)", "max(`sum(value)`)").first()
+    assert low == pytest.approx(1, abs=1e-9) and high == pytest.approx(1, abs=1e-9)
+    # Rows are whole and the same whether an n-gram travels by shuffle or to the tasks.
+    docs = spark.createDataFrame([(1, texts[0]), (1, texts[0]), (None, texts[1]), (2, None), (3, "aaaaaaaa ab aaaaaaaa")], "doc_id long, text string")
+    got = sorted((tuple(r) for r in toxicity.score(docs, model).collect()), key=str)
+    monkeypatch.setattr(toxicity, "COMMON_GRAMS", 30)
+    assert len(got) == 5 and got == sorted((tuple(r) for r in toxicity.score(docs, model).collect()), key=str)
