@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlift.operators.pinning import pin, stage
 
-SLOTS = 16
+SLOTS = 64
 #: Slots folded by one row of the generator.  More in one expression outgrow the JVM's compiler.
 LANE = 4
 SHARD_ROWS = 4096
