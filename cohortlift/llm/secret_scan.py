@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and sliding-window entropy over candidate strings.
 
-Method: candidate strings are maximal runs of token characters.  Each belongs to the narrowest of
-three character classes that holds it, and a window of set width slides over it while
-the counts of its characters, and with them its Shannon entropy, are updated by one character in
-and one out.  Windows at or above the class's threshold are merged into spans, unless an allow-list
-entry matches the candidate.  Positions are code points.
+Method: candidate strings are maximal runs of token characters.  A window of set width slides over
+each while the counts of its characters, and with them its Shannon entropy, are updated by one
+character in and one out.  A window belongs to the narrowest of three character classes with a
+maximal run that holds it and that no allow-list entry matches.  Windows at or above their class's threshold are
+merged into spans by class, unless an entry matches the whole candidate.  Positions are code points.
 """
 
 from __future__ import annotations
@@ -53,10 +53,10 @@ def _members(characters: str) -> np.ndarray:
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HEX_RUN = _members(_DIGITS + "abcdef")
 _CANDIDATE = _members(_DIGITS + _LOWER + _UPPER + "+/_=-")
-_CLASS_OF = (
-    ("hex", re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")),
-    ("alnum", re.compile(rb"[A-Za-z0-9]+\Z")),
-)
+#: Maximal runs of the classes inside a candidate, wide classes first; hex is of one case.
+_RUNS_OF = tuple((name, re.compile(b"[%s]{%d,}" % (inside, WINDOW))) for name, inside in (
+    ("alnum", b"A-Za-z0-9"), ("hex", b"0-9a-f"), ("hex", b"0-9A-F"),
+))
 
 
 def window_entropies(candidate: bytes, width: int = WINDOW) -> list[float]:
@@ -80,17 +80,20 @@ def _entropy_spans(
 ) -> Iterator[tuple[str, int, int]]:
     if any(pattern.fullmatch(candidate) for pattern in allowed):
         return
-    kind = next((name for name, pattern in _CLASS_OF if pattern.match(candidate)), "base64")
-    begin = end = -1
-    for at, bits in enumerate(window_entropies(candidate)):
+    kinds = ["base64"] * (len(candidate) - WINDOW + 1)
+    for kind, pattern in _RUNS_OF:
+        for run in pattern.finditer(candidate):
+            if not any(entry.fullmatch(run[0]) for entry in allowed):
+                kinds[run.start() : run.end() - WINDOW + 1] = [kind] * (len(run[0]) - WINDOW + 1)
+    spans: dict[str, tuple[int, int]] = {}
+    for at, (kind, bits) in enumerate(zip(kinds, window_entropies(candidate))):
         if bits >= thresholds[kind] - 1e-9:
-            if begin >= 0 and at > end:
+            begin, end = spans.get(kind, (at, at))
+            if at > end:
                 yield f"entropy_{kind}", begin, end
-                begin = -1
-            if begin < 0:
                 begin = at
-            end = at + WINDOW
-    if begin >= 0:
+            spans[kind] = begin, at + WINDOW
+    for kind, (begin, end) in spans.items():
         yield f"entropy_{kind}", begin, end
 
 

@@ -35,6 +35,19 @@ def test_entropy_finds_unnamed_secrets_and_leaves_words(spark):
     assert "entropy_alnum" in got[8] and not got[9] and not got[2] and not got[7]
 
 
+@pytest.mark.parametrize("name", ["NAME=", "id-", "key_", "a/b+", ""])
+@pytest.mark.parametrize("secret", [HEX.upper(), HEX[:20], HEX[:20].upper(), "k9Zq3vXw7Lr2Tn8Bd5Fs1Hj"])
+def test_a_name_before_a_secret_hides_no_part_of_it(name, secret):
+    (spans,) = secret_scan.find_secrets(pa.array([f"é {name}{secret} end"]))
+    covered = {at for start, _, end in spans for at in range(start, end)}
+    assert covered >= set(range(2 + len(name), 2 + len(name) + len(secret)))
+
+
+def test_named_numbers_and_words_are_no_secrets():
+    texts = ["NAME=" + "31415926535897932384", "id_7=" + "-".join(["ordinary"] * 5), "n=" + "x1" * 20]
+    assert list(secret_scan.find_secrets(pa.array(texts))) == [[], [], []]
+
+
 def test_incremental_entropy_equals_counting():
     text = (HEX * 3).encode()
     for at, bits in enumerate(secret_scan.window_entropies(text)):
