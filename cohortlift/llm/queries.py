@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlift.llm import (
-    ball_tree, html_text, ngram_join, packing, quality_mil, secret_scan, source_mix, token_store, toxicity,
-    weighted_sampling,
+    ball_tree, html_text, importance, ngram_join, packing, positional_index, quality_mil, secret_scan, source_mix,
+    token_store, toxicity, walsh_codes, weighted_sampling,
 )
 from cohortlift.llm.shipping import ship
+from cohortlift.llm.staging import Stages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +99,29 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, target, width=1, buckets=10_000, percent=10, least_words=20, seed=2024)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    path = f"{Stages(spark, 'positional-index').base}/index"
+    covered = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return positional_index.contamination(docs, items, path, width=10).select(
+        "doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = walsh_codes.train(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    encoded = Stages(spark, "codes").write(codes.encode(), "encoded")
+    return walsh_codes.label_errors(encoded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256")
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: query for name, query in globals().items() if name.startswith("op") and name[2].isdigit()
