@@ -7,8 +7,8 @@ for the corpus.  The empty word's list holds the places where documents begin an
 ``matches`` looks a set of test items up, a bounded block of items at a time.  In each block of the index, a
 window of test words starts from the posting list of its rarest word there, moved back by the word's place
 in the window, and is intersected with the moved lists of its other words from rare to common.  With ``slop``
-0 what is left are exact phrases; otherwise each word may lie up to ``slop`` words from its place
-(proximity matches).
+0 what is left are exact phrases; otherwise a window may be laid anywhere and each of its words found up to
+``slop`` words from its place there (proximity matches).
 """
 
 from __future__ import annotations
@@ -160,42 +160,44 @@ class Windows:
         self.owner_at = np.concatenate(([0], np.cumsum([len(o) for o in owners.values()]))).astype(np.int64)
         self.owners = np.array([item for o in owners.values() for item in sorted(o)], dtype=np.int64)
 
-    def occurrences(self, counts: np.ndarray, keys: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """(window, first word, last word) of all places where a window's words lie, of a block of the index.
+    def occurrences(
+        self, counts: np.ndarray, keys: np.ndarray, first: np.ndarray, slop: int
+    ) -> Iterator[tuple[np.ndarray, ...]]:
+        """(window, document, first word, last word) of all places where a window's words lie, of a block.
 
         ``counts`` are the lengths of the posting lists, ``keys`` the lists themselves, word after word, as
-        ``word << 32 | place``.
+        ``word << 32 | place``, and ``first`` the places where documents begin.
         """
         begin = np.cumsum(counts) - counts
-        inside = self.ids >= 0
-        often = np.where(inside, counts[self.ids], np.iinfo(np.int64).max)
+        often = np.where(self.ids >= 0, counts[self.ids], np.iinfo(np.int64).max)
         rank = np.argsort(often, axis=1, kind="stable")
-        alive = np.flatnonzero(np.take_along_axis(often, rank[:, :1], 1)[:, 0] > 0)
-        size = often[alive, rank[alive, 0]]
-        upto = np.concatenate(([0], np.cumsum(size)))
+        alive = np.flatnonzero(often[np.arange(len(rank)), rank[:, 0]] > 0)
+        upto = np.concatenate(([0], np.cumsum(often[alive, rank[alive, 0]])))
         for low in range(0, int(upto[-1]), CANDIDATES):  # bounded steps, also within one long list
             spots = np.arange(low, min(low + CANDIDATES, int(upto[-1])))
             nth = np.searchsorted(upto, spots, side="right") - 1
-            window = alive[nth]
-            offset = rank[window, 0]
-            place = keys[begin[self.ids[window, offset]] + spots - upto[nth]] & 0xFFFFFFFF
-            start, least, most = place - offset, place, place
-            for step in range(1, self.ids.shape[1]):
+            offset = rank[alive[nth], 0]
+            place = keys[begin[self.ids[alive[nth], offset]] + spots - upto[nth]] & 0xFFFFFFFF
+            # All ways to lay the window so that its rarest word is near enough to its place.
+            shifts = np.arange(-slop, slop + 1)
+            window, start = np.repeat(alive[nth], len(shifts)), (place[:, None] - offset[:, None] + shifts).reshape(-1)
+            document = np.repeat(np.searchsorted(first, place, side="right") - 1, len(shifts))
+            least = most = np.repeat(place, len(shifts))
+            for step in range(self.ids.shape[1]):
                 going = self.lengths[window] > step
                 offset = rank[window, step]
-                word = self.ids[window, offset]
-                due = start + offset
-                wanted = (word << 32) + np.maximum(due - slop, 0)
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                near = (keys[at] >> 32 == word) & (keys[at] >= wanted) & (np.abs((keys[at] & 0xFFFFFFFF) - due) <= slop)
-                met = np.where(going, keys[at] & 0xFFFFFFFF, place)
-                kept = near | ~going
-                window, start, place = window[kept], start[kept], place[kept]
+                word, due = self.ids[window, offset], start + offset
+                lowest = np.maximum(due - slop, first[document])
+                at = np.minimum(np.searchsorted(keys, (word << 32) + lowest), len(keys) - 1)
+                met = keys[at] & 0xFFFFFFFF
+                near = (keys[at] >> 32 == word) & (met >= lowest) & (met <= due + slop) & (met < first[document + 1])
+                met, kept = np.where(going, met, least), near | ~going
                 least, most = np.minimum(least, met)[kept], np.maximum(most, met)[kept]
+                window, document, start = window[kept], document[kept], start[kept]
                 if not len(window):
                     break
             if len(window):
-                yield window, least, most
+                yield window, document, least, most
 
 
 def _looking_up(shared, slop: int):
@@ -215,10 +217,7 @@ def _looking_up(shared, slop: int):
         marks = np.zeros(first[-1] + 1, dtype=np.int32)
         owned = []
         if len(keys):
-            for window, least, most in windows.occurrences(counts, keys, slop):
-                document = np.searchsorted(first, least, side="right") - 1
-                whole = (least >= 0) & (most < first[document + 1])
-                window, least, most, document = window[whole], least[whole], most[whole], document[whole]
+            for window, document, least, most in windows.occurrences(counts, keys, first, slop):
                 np.add.at(marks, least, 1)
                 np.add.at(marks, most + 1, -1)
                 pairs = np.unique(document * len(windows.lengths) + window)
