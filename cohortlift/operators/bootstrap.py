@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortlift.functions.sums import bins, grids, largest
 from cohortlift.operators import estimators
 from cohortlift.operators.pinning import pin, stage
 from cohortlift.operators.sharding import group_index
@@ -79,35 +80,41 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
     the counts are Poisson with a mean slightly under 1 and the few rows still missing to n
     are drawn uniformly: Poisson counts given their total are multinomial, hence so is the sum.
     A replicate whose counts exceed n drops them and draws all n rows uniformly.
+
+    Sums are exact over binned moments (see ``functions.sums``), so a replicate does not depend on the order
+    of rows or tasks.
     """
-    names = list(moments)
     pool = "treatment" if spec.by_arm else "-1"
-    base = rows.selectExpr(
+    group = ["study_id", "pool"]
+    raw = rows.selectExpr(
         "study_id", "unit_id", "treatment", f"{pool} as pool",
         *(f"{sql} as {name}" for name, sql in moments.items()),
     )
-    group = ["study_id", "pool"]
     limits = [f"t{k}" for k in range(MAX_COUNT + 1)]
     if spec.scheme == "poisson":
-        limited = base.selectExpr(
-            "*", *(f"{sql} as {t}" for t, sql in zip(limits, poisson_thresholds("1.0e0")))
-        )
+        rate = "1.0e0"
     elif spec.scheme == "fixed_n":
-        cells = pin(
-            base.groupBy(*group).agg(F.count("*").alias("n"))
-            .selectExpr("*", f"greatest(0D, 1D - {SHORTFALL}D / sqrt(n)) as rate")
-            .selectExpr(
-                *group, "n", *(f"{sql} as {t}" for t, sql in zip(limits, poisson_thresholds("rate")))
-            )
-        )
-        limited = base.join(cells.drop("n"), group)
+        rate = f"greatest(0D, 1D - {SHORTFALL}D / sqrt(n))"
     else:
         raise ValueError(f"unknown bootstrap scheme: {spec.scheme}")
+    cells = pin(
+        raw.groupBy(*group).agg(F.count("*").alias("n"), *(F.expr(largest(m)).alias(f"{m}_most") for m in moments))
+        .selectExpr("*", f"{rate} as rate")
+        .selectExpr(
+            *group, "n", *(f"{sql} as {t}" for t, sql in zip(limits, poisson_thresholds("rate"))),
+            *(f"{sql} as {name}" for m in moments for name, sql in grids(m, f"{m}_most", "n").items()),
+        )
+    )
+    names = [f"{m}_{bin}" for m in moments for bin in ("high", "low")]
+    base = raw.join(cells, group).selectExpr(
+        "study_id", "unit_id", "treatment", "pool", *limits,
+        *(f"{sql} as {name}" for m in moments for name, sql in bins(m).items()),
+    )
 
     a, b, c = spec.coefficients()
     count = " + ".join(["1", *(f"if(u >= {t}, 1, 0)" for t in limits[1:])])
     counted = (
-        limited.withColumn("h", F.expr("md5(concat_ws('|', study_id, unit_id))"))
+        base.withColumn("h", F.expr("md5(concat_ws('|', study_id, unit_id))"))
         .selectExpr(
             *group, "treatment", *names, *limits,
             f"{_hex_int('h', 1, 8)} % {PRIME} as x1", f"{_hex_int('h', 9, 8)} % {PRIME} as x2",
@@ -132,7 +139,7 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
         over = so_far.join(cells.select(*group, "n"), group).filter("drawn > n")
         counted = counted.join(over, [*group, "rep"], "left_anti").drop("drawn").unionByName(topped)
     return counted.groupBy("study_id", "rep", "treatment").agg(
-        *(F.sum(name).alias(name) for name in names)
+        *(F.expr(f"sum({m}_high) + sum({m}_low)").alias(m) for m in moments)
     )
 
 

@@ -64,11 +64,12 @@ def centred(matched: DataFrame, keys: Sequence[str], covariates: Sequence[str])
     """Add ``c_<name>`` for covariates and outcome: the value less its group mean over complete rows,
     null in a row that misses any of them.
 
-    The effect does not depend on the shift; the sums lose far fewer digits with it.
+    The effect does not depend on the shift; the sums lose far fewer digits with it.  The mean is cut to single
+    precision, which takes away the last digits, where it depends on the order of rows.
     """
     names = [*covariates, "post_outcome"]
     complete = " and ".join(f"{n} is not null" for n in names)
-    means = pin(matched.groupBy(*keys).agg(*(F.expr(f"avg(if({complete}, {n}, null))").alias(f"_m_{n}") for n in names)))
+    means = pin(matched.groupBy(*keys).agg(*(F.expr(f"cast(cast(avg(if({complete}, {n}, null)) as float) as double)").alias(f"_m_{n}") for n in names)))
     return matched.join(means, list(keys)).selectExpr(
         *matched.columns, *(f"if({complete}, {n} - _m_{n}, null) as c_{n}" for n in names)
     )

@@ -80,10 +80,14 @@ def dispatch_matching(features: DataFrame, methods: DataFrame, registry: Registr
     return _union(parts)
 
 
+def labelled_features(features: DataFrame, methods: DataFrame) -> DataFrame:
+    """Feature rows with the matching method of their study."""
+    return features.join(methods.select("study_id", "matching_method"), "study_id")
+
+
 def stage_features(features: DataFrame, methods: DataFrame) -> DataFrame:
     """Feature rows as a table partitioned by the matching method of their study."""
-    labelled = features.join(methods.select("study_id", "matching_method"), "study_id")
-    return stage(labelled, "features", by="matching_method")
+    return stage(labelled_features(features, methods), "features", by="matching_method")
 
 
 def dispatch_model(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,9 +13,10 @@ from cohortlift.operators.bootstrap import Bootstrap
 from cohortlift.operators.matching import matched_counts
 from cohortlift.operators.pinning import pin, stage
 from cohortlift.plans.dispatch import (
-    dispatch_features, dispatch_matching, dispatch_model, stage_features,
+    dispatch_features, dispatch_matching, dispatch_model, labelled_features, stage_features,
 )
 from cohortlift.plans.registry import Registry
+from cohortlift.plans.steps import Steps
 from cohortlift.schemas import (
     EVALUATION_RESULTS, EVALUATION_RESULTS_BASE, PE_EVALUATION_RESULTS, PE_STEP_LOG,
 )
@@ -135,6 +137,7 @@ class PhasedRun:
     results: DataFrame
     step_log: DataFrame
     traces: DataFrame
+    steps: Steps
 
 
 def evaluate_phases(
@@ -142,17 +145,17 @@ def evaluate_phases(
     run_id: str = "manual", environment: str = "dev", run_ts: str | None = None,
 ) -> PhasedRun:
     """Run the feature, matching and model phases each study's config and data lead it to."""
-    registry = Registry()
+    registry, steps = Registry(), Steps()
     _reject_unknown_phases(config)
-    status = pin(routing.next_phase(build_status(cohort, None, config)))
+    status = steps.timed("features", lambda: pin(routing.next_phase(build_status(cohort, None, config))))
     passed = status.filter("quality_passed")
-    features = stage_features(
+    features = steps.stage("features", lambda: labelled_features(
         dispatch_features(quality.clean(cohort), None, passed, registry), passed
-    )
+    ), "features", by="matching_method")
     differences = ranks.paired_differences(
         selection.study_slice(features, passed.filter("model_type = 'wilcoxon'"))
     )
-    routes = pin(ranks.fallback_route(ranks.skewness(differences), passed))
+    routes = steps.timed("ranks", lambda: pin(ranks.fallback_route(ranks.skewness(differences), passed)))
     # Skewed studies go on with the effect model that their fallback names.
     rerouted = routes.filter("routed and model_phase in ('model_att', 'model_did')").selectExpr(
         "study_id", "substr(model_phase, 7) as model_method"
@@ -166,21 +169,21 @@ def evaluate_phases(
         passed.filter("nextphase = 'matching'").select("study_id").union(effects_of.select("study_id")).distinct()
         .join(passed, "study_id")
     )
-    matched = stage(
-        dispatch_matching(selection.study_slice(features, to_match), to_match, registry), "matched"
-    )
-    counts = pin(matched_counts(matched))
-    effects = pin(
+    matched = steps.stage("matching", lambda: dispatch_matching(
+        selection.study_slice(features, to_match), to_match, registry
+    ), "matched")
+    counts = steps.timed("matching", lambda: pin(matched_counts(matched)))
+    effects = steps.timed("effects", lambda: pin(
         dispatch_model(
             selection.study_slice(matched, effects_of), effects_of, registry, bootstrap
         ).join(effects_of.select("study_id", "matching_method"), "study_id").join(counts, "study_id", "left")
-    )
+    ))
 
-    ranked = pin(
+    ranked = steps.timed("ranks", lambda: pin(
         ranks.rank_or_sign(
             selection.study_slice(features, passed.filter("model_type = 'wilcoxon'")), passed
         ).unionByName(_sign_only(features, passed.filter("model_type = 'sign_test'")))
-    )
+    ))
     results = effects.selectExpr(
         "study_id", "model_method", "matching_method", "round(estimate, 3) as estimate",
         "round(std_error, 3) as std_error", "round(ci_low, 3) as ci_low",
@@ -198,10 +201,10 @@ def evaluate_phases(
         f"'{run_id}' as run_id", f"'{environment}' as pe_environment", f"{utc_now(run_ts)} as ts",
     )
     results = conform(results.selectExpr("*", *stamp), PE_EVALUATION_RESULTS)
-    log = step_rows(status, counts, effects, routes, ranked, len(cohort.columns))
+    log = step_rows(status, counts, effects, routes, ranked, len(cohort.columns), steps.seconds)
     return PhasedRun(
         results, conform(log.selectExpr("*", *stamp), PE_STEP_LOG),
-        routing.phase_trace(status, routes),
+        routing.phase_trace(status, routes), steps,
     )
 
 
@@ -231,11 +234,11 @@ def _sign_only(features: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def step_rows(
     status: DataFrame, counts: DataFrame, effects: DataFrame, routes: DataFrame,
-    ranked: DataFrame, n_columns: int,
+    ranked: DataFrame, n_columns: int, seconds: dict[str, float],
 ) -> DataFrame:
-    """One row per study and phase: what it did, on how many rows, where it went next.
+    """One row per study and phase: what it did, on how many rows, for how long, where it went next.
 
-    Step names and descriptions are fixed texts: their wording is part of the results.
+    A step runs for all studies at once, so its studies share its ``seconds``.  Step names and descriptions are fixed texts: their wording is part of the results.
     """
     null_text, null_count = "cast(null as string)", "cast(null as bigint)"
     first = status.selectExpr(
@@ -287,4 +290,6 @@ def step_rows(
         f"{null_text} as error_msg", f"{null_count} as n_input", "n_treated",
         "cast(null as int) as n_columns",
     )
-    return first.unionByName(second).unionByName(third).unionByName(routed).unionByName(tested)
+    parts = (("features", first), ("matching", second), ("effects", third), ("ranks", routed), ("ranks", tested))
+    timed = [part.withColumn("execution_time", F.lit(float(seconds[step]))) for step, part in parts]
+    return reduce(lambda a, b: a.unionByName(b), timed)

@@ -44,23 +44,37 @@ def canonical_row(df: DataFrame) -> str:
     return f"concat_ws('|', {', '.join(parts)})"
 
 
-def content_stamp(df: DataFrame) -> DataFrame:
-    """Row count and order-independent hash of the whole content, in one row.
+def stamp_parts(df: DataFrame, *keys: str) -> DataFrame:
+    """Row count and sum of row hashes per ``keys``: parts that add up to the stamp of the whole.
 
-    The hash is the sum of the rows' hashes, in which equal rows add up, with the row count.
+    ``keys`` are not part of the rows that are hashed.
     """
     return (
-        df.selectExpr(f"{canonical_row(df)} as r")
-        .selectExpr("cast(conv(substr(md5(r), 1, 15), 16, 10) as bigint) as h")
+        df.selectExpr(*keys, f"{canonical_row(df.drop(*keys))} as _r")
+        .selectExpr(*keys, "cast(conv(substr(md5(_r), 1, 15), 16, 10) as bigint) as _h")
+        .groupBy(*keys)
         .agg(
             F.count("*").alias("n_rows"),
-            F.expr(
-                f"cast((coalesce(sum(cast(h as decimal(20, 0))), 0) * 31 + count(*)) % {MODULUS} as bigint)"
-            ).alias("stamp"),
+            F.expr("cast(coalesce(sum(cast(_h as decimal(20, 0))), 0) as decimal(38, 0))").alias("hash_sum"),
         )
     )
 
 
+def merged_stamp(parts: DataFrame) -> DataFrame:
+    """The stamp of a table from its parts, in one row."""
+    return parts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.sum("hash_sum").alias("_sum")).selectExpr(
+        "n_rows", f"cast((coalesce(_sum, 0) % {MODULUS} * 31 + n_rows) % {MODULUS} as bigint) as stamp"
+    )
+
+
+def content_stamp(df: DataFrame) -> DataFrame:
+    """Row count and order-independent hash of the whole content, in one row.
+
+    The hash is the sum of the rows' hashes, in which equal rows add up, with the row count.
+    """
+    return merged_stamp(stamp_parts(df))
+
+
 def stamp_value(df: DataFrame | None) -> int:
     """The stamp as a number, -1 where there is no table."""
     return -1 if df is None else content_stamp(df).first()["stamp"]

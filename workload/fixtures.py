@@ -24,10 +24,11 @@ def covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(
             F.expr(f"count_if({before})").alias("n"),
-            F.expr(f"sum(if({before}, o_totalprice, null))").alias("s"),
+            # Sums of exact amounts, so that no order of rows shows in the last digits.
+            F.expr(f"cast(sum(if({before}, cast(o_totalprice as decimal(18, 4)), null)) as double)").alias("s"),
             F.expr(f"max(if({before} and o_orderpriority = '1-URGENT', 1, 0))").alias("u"),
-            F.expr("sum(if(year(o_orderdate) = 1997, o_totalprice, null))").alias("pre"),
-            F.expr("sum(if(year(o_orderdate) = 1998, o_totalprice, null))").alias("post"),
+            F.expr("cast(sum(if(year(o_orderdate) = 1997, cast(o_totalprice as decimal(18, 4)), null)) as double)").alias("pre"),
+            F.expr("cast(sum(if(year(o_orderdate) = 1998, cast(o_totalprice as decimal(18, 4)), null)) as double)").alias("post"),
         )
     )
     return (
@@ -142,6 +143,32 @@ from (select distinct case c_custkey % 3 when 0 then 'PE_ATT' when 1 then 'PE_RA
              as study_id from customer) studies
 """
 
+#: What follows each phase, per study; for both engines.
+PHASES_SQL = """
+select study_id, phase, nextphase from (
+  select study_id, 'feature_engineering' as phase, case when needs_matching then 'matching' else 'screening' end as nextphase
+  from phase_config union all
+  select study_id, 'screening', 'model_' || model_type from phase_config union all
+  select study_id, 'matching', 'model_' || model_type from phase_config union all
+  select study_id, 'model_' || model_type, case when fallback_model = 'None' then ' none ' else fallback_model end from phase_config union all
+  select study_id, 'model_sign_test', 'review' from phase_config union all
+  select study_id, 'review', case when study_id = 'PE_SKEW' then 'publication' end from phase_config
+) steps"""
+
+#: The same chains by recursion: ``phase_config`` is the config table.
+PHASES_WALK_SQL = f"""
+with recursive phase_config as ({PE_CONFIG_SQL}),
+steps as (
+  select study_id, phase, trim(nextphase) as nextphase from ({PHASES_SQL}) s where lower(trim(nextphase)) <> 'none'),
+walk as (
+  select study_id, 'feature_engineering' as phase, 'feature_engineering' as trace, cast(1 as bigint) as n_phases
+  from phase_config
+  union all
+  select w.study_id, s.nextphase, w.trace || ' -> ' || s.nextphase, w.n_phases + 1
+  from walk w join steps s on s.study_id = w.study_id and s.phase = w.phase where w.n_phases < 12)
+select study_id, trace, n_phases from walk qualify row_number() over (partition by study_id order by n_phases desc) = 1
+"""
+
 
 def _config(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text.replace("from customer", "from {customer}"),
@@ -158,3 +185,7 @@ def modular_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pe_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _config(spark, sf_dir, PE_CONFIG_SQL)
+
+
+def phase_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(PHASES_SQL.replace("from phase_config", "from {phase_config}"), phase_config=pe_config(spark, sf_dir))

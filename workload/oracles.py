@@ -53,12 +53,12 @@ select c_custkey as patient_id, c_mktsegment as segment,
        coalesce(p0.s, 0.0e0) / 100.0e0 as pre_outcome,
        coalesce(p1.s, 0.0e0) / 100.0e0 as post_outcome
 from customer
-left join (select o_custkey as k, count(*) as n, sum(o_totalprice) as s,
+left join (select o_custkey as k, count(*) as n, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) as s,
                   max(case when o_orderpriority = '1-URGENT' then 1 else 0 end) as u
            from orders where o_orderdate < timestamp '1998-01-01 00:00:00' group by o_custkey) b on b.k = c_custkey
-left join (select o_custkey as k, sum(o_totalprice) as s from orders
+left join (select o_custkey as k, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) as s from orders
            where year(o_orderdate) = 1997 group by o_custkey) p0 on p0.k = c_custkey
-left join (select o_custkey as k, sum(o_totalprice) as s from orders
+left join (select o_custkey as k, cast(sum(cast(o_totalprice as decimal(18, 4))) as double) as s from orders
            where year(o_orderdate) = 1998 group by o_custkey) p1 on p1.k = c_custkey"""
 _CTES["x_cohorts"] = f"""
 select concat('SEG_', segment) as study_id, patient_id, treatment, age, risk_score, prior_cost,
@@ -329,14 +329,29 @@ def _bootstrap(
     """Replicates ``{prefix}_est`` and intervals ``{prefix}_ci`` from the same hashes as Spark."""
     pool = "treatment" if by_arm else "-1"
     rate = "greatest(0.0e0, 1.0e0 - 5.0e0 / sqrt(n))" if scheme == "fixed_n" else "1.0e0"
-    _CTES[f"{prefix}_rows"] = (
-        f"select study_id, unit_id, treatment, {pool} as pool, weight as w, weight * ({outcome}) as wy,"
-        f" {_hex('h', 1)} % {PRIME} as x1, {_hex('h', 9)} % {PRIME} as x2"
-        f" from (select *, md5(study_id || '|' || unit_id) as h from {source}) s"
+    _CTES[f"{prefix}_raw"] = (
+        f"select *, study_id || '|' || unit_id as unit, {pool} as pool, weight as w, weight * ({outcome}) as wy"
+        f" from {source}"
     )
     _CTES[f"{prefix}_cells"] = (
-        f"select study_id, pool, n, {rate} as rate from"
-        f" (select study_id, pool, count(*) as n from {prefix}_rows group by study_id, pool) c"
+        f"select study_id, pool, n, most_w, most_wy, {rate} as rate from"
+        " (select study_id, pool, count(*) as n, coalesce(nullif(max(abs(w)), 0), 1.0e0) as most_w,"
+        f" coalesce(nullif(max(abs(wy)), 0), 1.0e0) as most_wy from {prefix}_raw group by study_id, pool) c"
+    )
+    # Terms in two bins of whole multiples of a power of two each, so that their sums are exact in any order.
+    room = "ceil(log2(4.0e0 * n * 1.0000001e0))"
+    units, parts = [], []
+    for m in ("w", "wy"):
+        top = f"(ceil(log2(most_{m} * 1.0000001e0)) + {room} + 1.0e0)"
+        units.append(f"1.5e0 * pow(2.0e0, {top}) as coarse_{m}, 1.5e0 * pow(2.0e0, {top} - 52.0e0 + {room}) as fine_{m}")
+        high = f"(({m} + coarse_{m}) - coarse_{m})"
+        parts.append(f"{high} as {m}_high, ((({m} - {high}) + fine_{m}) - fine_{m}) as {m}_low")
+    _CTES[f"{prefix}_units"] = f"select study_id, pool, {', '.join(units)} from {prefix}_cells"
+    _CTES[f"{prefix}_rows"] = (
+        f"select study_id, unit_id, treatment, pool, {', '.join(parts)},"
+        f" {_hex('h', 1)} % {PRIME} as x1, {_hex('h', 9)} % {PRIME} as x2"
+        f" from (select r.*, md5(unit) as h, u.* exclude (study_id, pool) from {prefix}_raw r"
+        f" join {prefix}_units u on u.study_id = r.study_id and u.pool = r.pool) s"
     )
     _CTES[f"{prefix}_reps"] = (
         f"select rep, {_hex('h', 1)} % {PRIME} as a, {_hex('h', 9)} % {PRIME} as b, {_hex('h', 17)} % {PRIME} as c"
@@ -352,12 +367,13 @@ def _bootstrap(
     ) + f" from {prefix}_cells"
     count = " + ".join(f"(u >= t{k})::int" for k in range(13))
     _CTES[f"{prefix}_drawn"] = (
-        f"select study_id, pool, rep, treatment, sum(k) as drawn, sum(k * w) as w, sum(k * wy) as wy from"
-        f" (select study_id, pool, rep, treatment, w, wy, {count} as k from"
+        "select study_id, pool, rep, treatment, sum(k) as drawn, "
+        + ", ".join(f"sum(k * {b}) as {b}" for b in ("w_high", "w_low", "wy_high", "wy_low"))
+        + f" from (select study_id, pool, rep, treatment, w_high, w_low, wy_high, wy_low, {count} as k from"
         f"  (select r.*, rep, (a * x1 + b * x2 + c) % {PRIME} as u from {prefix}_rows r, {prefix}_reps) v"
         f"  join {prefix}_limits using (study_id, pool)) k where k > 0 group by study_id, pool, rep, treatment"
     )
-    total = f"select study_id, rep, treatment, w, wy from {prefix}_drawn"
+    total = f"select study_id, rep, treatment, w_high, w_low, wy_high, wy_low from {prefix}_drawn"
     if scheme == "fixed_n":
         total += (
             f" anti join (select study_id, pool, rep from {prefix}_short where drawn > n) o"
@@ -387,13 +403,16 @@ def _bootstrap(
             f" from {prefix}_rows"
         )
         total += (
-            f" union all select study_id, rep, treatment, w, wy from {prefix}_draws"
+            f" union all select study_id, rep, treatment, w_high, w_low, wy_high, wy_low from {prefix}_draws"
             f" join {prefix}_index using (study_id, pool, idx)"
         )
+    def mean(arm: int) -> str:
+        def total_of(m: str) -> str:
+            return f"(sum({m}_high) filter (treatment = {arm}) + sum({m}_low) filter (treatment = {arm}))"
+        return f"{total_of('wy')} / {total_of('w')}"
+
     _CTES[f"{prefix}_est"] = (
-        "select * from (select study_id, rep,"
-        " sum(wy) filter (treatment = 1) / sum(w) filter (treatment = 1)"
-        " - sum(wy) filter (treatment = 0) / sum(w) filter (treatment = 0) as estimate"
+        f"select * from (select study_id, rep, {mean(1)} - {mean(0)} as estimate"
         f" from ({total}) t group by study_id, rep) e where estimate is not null"
     )
     _CTES[f"{prefix}_ci"] = (
@@ -410,7 +429,8 @@ select g.*, case model_method when 'did' then {_DID} when 'lme_mixed' then {_DID
 from x_configured g join x_methods using (study_id)"""
 _bootstrap("ba", "g_stratified", _DID, by_arm=True, seed=7)
 _bootstrap("br", "g_exact", "post_outcome", by_arm=False, seed=0)
-_bootstrap("bp", "p_knn", "slope", by_arm=False, seed=0)
+_CTES["x_slopes"] = "select * replace (floor(slope * 1e9 + 0.5e0) / 1e9 as slope) from p_knn"
+_bootstrap("bp", "x_slopes", "slope", by_arm=False, seed=0)
 _bootstrap("bo", "g_exact", "post_outcome", by_arm=True, seed=11, scheme="poisson")
 _bootstrap("be", "x_outcomes", "y", by_arm=False, seed=0)
 _CTES["x_after_outcomes"] = "select * from x_outcomes where study_id like 'SEG%'"
@@ -606,6 +626,18 @@ _oracle("results_union", "select *, cast(null as bigint) as config_version, cast
         " cast(null as varchar) as job_run_id from x_results where model_method = 'att' union all"
         " select * replace ('modular' as source), cast(1 as bigint), cast(2 as bigint), 'run-1'"
         " from x_results where model_method = 'did'")
+_oracle("publish_runs", "select *, cast(null as bigint) as config_version, cast(null as bigint) as data_version,"
+        " cast(null as varchar) as job_run_id, 'run-a' as run_id from x_results where model_method = 'att' union all"
+        " select * replace ('modular' as source), cast(1 as bigint), cast(2 as bigint), 'run-1', 'run-b'"
+        " from x_results where model_method = 'did'")
+_oracle("record_run", "select study_id, 'headline' as part, study_name || ' (' || vendor || '): ' ||"
+        f" upper(r.model_method) || ' on ' || r.matching_method || '-matched cohort estimates a ' ||"
+        f" format('{{:,.0f}}', abs(estimate)) || case when estimate < 0 then ' reduction' else ' increase' end ||"
+        " ' in the outcome (' || case when significant then '' else 'not ' end || 'statistically significant).'"
+        " as text, cast(1 as bigint) as n from x_latest r join x_config using (study_id)"
+        " union all select study_id, 'results', 'att,did', count(*) from x_results group by study_id")
+_oracle("study_intermediate", f"select {_ROUNDED}, round(weight, 4) as weight, unit_id from g_exact where study_id in"
+        " (select study_id from x_config where model_method = 'att' and matching_method = 'exact')")
 _oracle("result_rows", "select study_id, cast(null as varchar) as run_ts, cast(null as varchar) as matching_method,"
         " cast(null as varchar) as model_method, cast(null as bigint) as n_treated, cast(null as bigint) as n_control,"
         " round(naive_estimate, 3) as estimate, cast(null as double) as std_error, cast(null as double) as ci_low,"
@@ -617,6 +649,14 @@ _oracle("assign_ids", "select study_id, patient_id as source_id, row_number() ov
 _oracle("config_defaults", "select study_id, 'standard' as model_family, true as active,"
         " cast(3 as bigint) as performance_months from x_config")
 _oracle("data_stamp", "select * from x_stamp_cohort")
+# A table read back has its partition column last.
+_STORED_KINDS = {name: kind for name, kind in _COHORT_KINDS.items() if name != "study_id"} | {"study_id": "s"}
+_CTES["x_changed_cohort"] = """
+select * replace (case when study_id = 'SEG_BUILDING' then prior_cost * 2 else prior_cost end as prior_cost) from x_cohorts"""
+_oracle("stamp_manifest", "select 1 as step, n_rows, stamp, (select count(distinct study_id) from x_cohorts) as n_reread"
+        f" from ({_stamp('x_cohorts', _STORED_KINDS)}) a union all select 2, n_rows, stamp, 1 from"
+        f" ({_stamp('x_changed_cohort', _STORED_KINDS)}) b union all select 3, n_rows, stamp, 0 from"
+        f" ({_stamp('x_changed_cohort', _STORED_KINDS)}) c")
 _oracle("select_active", "select study_id, active from x_modular where active")
 _oracle("select_subset", "select study_id, active from x_modular where study_id in ('SEG_ARCHIVED', 'SEG_BUILDING')")
 _oracle("family_split", "select family as model_family, count(*) as n_studies,"
@@ -640,6 +680,7 @@ _oracle("phase_trace", "select s.study_id, 'feature_engineering' || case when no
         " else ' -> model_' || model_type || case when routed and model_phase <> 'None'"
         " then ' -> ' || model_phase else '' end end as trace"
         " from x_pe_status s left join x_routes r on r.study_id = s.study_id")
+_oracle("phase_chain", fx.PHASES_WALK_SQL)
 _oracle("missing_fraction", "select study_id, round(missing_fraction, 4) as missing_fraction from x_scores")
 _oracle("arm_counts", "select study_id, n_total, n_treated, n_control from x_scores")
 _oracle("quality_score", "select study_id, n_total, n_treated, n_control, round(missing_fraction, 4)"
@@ -700,7 +741,7 @@ _oracle("patient_slopes", "select study_id, patient_id, round(slope, 6) as slope
 _oracle("naive_effect", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive")
 _oracle("naive_panel", "select study_id, round(naive_estimate, 4) as naive_estimate from x_naive_panel")
 for _key, _prefix in (("by_arm", "ba"), ("rows", "br"), ("panel", "bp"), ("poisson", "bo")):
-    _oracle(f"bootstrap_{_key}", f"select study_id, rep, round(estimate, 6) as estimate from {_prefix}_est")
+    _oracle(f"bootstrap_{_key}", f"select study_id, rep, floor(estimate * 1e6 + 0.5e0) / 1e6 as estimate from {_prefix}_est")
 _oracle("bootstrap_ci", "select study_id, round(estimate, 4) as estimate, n_reps, round(std_error, 4) as std_error,"
         f" round(ci_low, 4) as ci_low, round(ci_high, 4) as ci_high from ({_contrast('g_stratified', _DID)}) p"
         " join ba_ci using (study_id)")
@@ -732,7 +773,7 @@ _oracle("evaluate_phases", "select 'run-1' as run_id, study_id, 'att' as model_m
         f" cast(n_treated as int), null, 'dev', '{RUN_TS}' from x_tests")
 _STEP = ("'run-1' as run_id, study_id, {id} as step_id, {name} as step_name, {status} as status, {text} as pass_description,"
          " {error} as error_msg, cast({n_input} as int) as n_input, cast(n_treated as int) as n_treated,"
-         " cast({n_columns} as int) as n_columns, cast(null as double) as execution_time, 'dev' as pe_environment,"
+         " cast({n_columns} as int) as n_columns, true as timed, 'dev' as pe_environment,"
          f" '{RUN_TS}' as ts")
 
 
@@ -765,6 +806,9 @@ _oracle("step_log", " union all ".join([
           text=f"'median diff=' || {_fmt('estimate', 1)} || ' p=' || {_fmt('p_value', 5)} ||"
                " case model_method when 'wilcoxon' then '' else ' (fallback from wilcoxon)' end"),
 ]))
+_oracle("observed_steps", "select 'features' as step, count(*) as n_rows, count(*) filter (treatment = 1) as n_treated"
+        " from x_pe where study_id in (select study_id from x_pe_status where quality_passed) union all"
+        " select 'matching', count(*), count(*) filter (treatment = 1) from x_pe_att")
 _oracle("latest_result", "select * from x_latest")
 _oracle("headline", f"select study_id, '{RUN_TS}' as run_ts, study_name || ' (' || vendor || '): ' ||"
         f" upper(r.model_method) || ' on ' || r.matching_method || '-matched cohort estimates a ' ||"

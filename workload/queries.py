@@ -17,10 +17,12 @@ from cohortlift.operators import (
 from cohortlift.operators.bootstrap import Bootstrap
 from cohortlift.operators.pinning import pin, stage
 from cohortlift.plans import evaluate as runs
+from cohortlift.plans import record
 from cohortlift.plans.dispatch import dispatch_features, dispatch_matching, dispatch_model
 from cohortlift.plans.registry import Registry
 from cohortlift.session import shared_dir
-from cohortlift.sources import sinks, stamps, tables
+from cohortlift.sources import manifests, publish, sinks, stamps, tables
+from cohortlift.sources.studies import StudyTable
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,11 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
+def near(df: DataFrame, name: str, digits: int) -> DataFrame:
+    """Round one column by steps that both engines compute alike, also for a value half-way between two."""
+    return df.withColumn(name, F.expr(f"floor({name} * 1e{digits} + 0.5e0) / 1e{digits}"))
+
+
 # --- shared inputs -------------------------------------------------------------------------
 
 def seg_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +189,51 @@ def results_union(spark, sf_dir):
     return sinks.union_results(older, newer)
 
 
+@query
+def publish_runs(spark, sf_dir):
+    """Two runs of different columns and a repetition of the first, read under all their columns."""
+    path = f"{shared_dir(spark)}/published/{uuid.uuid4().hex}"
+    base = pin(simple_results(spark, sf_dir))
+    first = base.filter("model_method = 'att'")
+    second = sinks.conform(
+        base.filter("model_method = 'did'").withColumns(
+            {"source": F.lit("modular"), "config_version": F.lit(1), "data_version": F.lit(2),
+             "job_run_id": F.lit("run-1")}
+        ),
+        schemas.EVALUATION_RESULTS,
+    )
+    committed = [publish.publish(rows, path, run_id) for rows, run_id in (
+        (first, "run-a"), (second, "run-b"), (first.withColumn("estimate", F.lit(0.0)), "run-a")
+    )]
+    return publish.read_published(spark, path).filter(F.lit(committed == [True, True, False]))
+
+
+@query
+def record_run(spark, sf_dir):
+    """Two recorded runs, one of them twice: headlines of the later one, and the results per study."""
+    folder = f"{shared_dir(spark)}/recorded/{uuid.uuid4().hex}"
+    base, config = pin(simple_results(spark, sf_dir)), fx.study_config(spark, sf_dir)
+    for method, run_id in (("att", "monday"), ("did", "tuesday"), ("att", "monday")):
+        record.record_results(base.filter(F.col("model_method") == method), config, folder, run_id, run_ts=RUN_TS)
+    texts = publish.read_published(spark, f"{folder}/insights").filter("run_id = 'tuesday'")
+    history = publish.read_published(spark, f"{folder}/results")
+    return texts.selectExpr("study_id", "'headline' as part", "headline as text", "1L as n").unionByName(
+        history.groupBy("study_id").agg(
+            F.lit("results").alias("part"), F.array_join(F.array_sort(F.collect_set("model_method")), ",").alias("text"),
+            F.count("*").alias("n"),
+        )
+    )
+
+
+@query
+def study_intermediate(spark, sf_dir):
+    """The matched rows of chosen studies, read from the table of all studies' matched rows."""
+    matched = StudyTable.save(matching.match_exact(seg_features(spark, sf_dir)), unit="unit_id", buckets=4)
+    chosen = fx.study_config(spark, sf_dir).filter("model_method = 'att' and matching_method = 'exact'")
+    rows = rounded(matched.rows_of(pin(chosen)))
+    return rows.select(*fx._COHORT, "weight", "unit_id")
+
+
 @query
 def result_rows(spark, sf_dir):
     effects = estimators.naive_effect(fx.cohorts(spark, sf_dir)).selectExpr(
@@ -213,6 +265,22 @@ def data_stamp(spark, sf_dir):
     return stamps.content_stamp(fx.cohorts(spark, sf_dir))
 
 
+@query
+def stamp_manifest(spark, sf_dir):
+    """Stamps of a stored table: at first, after one study changed, and after no change."""
+    base = f"{shared_dir(spark)}/stamped/{uuid.uuid4().hex}"
+    rows = fx.cohorts(spark, sf_dir)
+    sinks.save_partitioned(rows, f"{base}/table")
+    taken = [manifests.restamp(spark, f"{base}/table", f"{base}/manifest")]
+    changed = rows.filter("study_id = 'SEG_BUILDING'").withColumn("prior_cost", F.expr("prior_cost * 2"))
+    sinks.save_partitioned(changed, f"{base}/table")
+    taken += [manifests.restamp(spark, f"{base}/table", f"{base}/manifest") for _ in range(2)]
+    return spark.createDataFrame(
+        [(i, t.n_rows, t.stamp, len(t.reread)) for i, t in enumerate(taken, 1)],
+        "step int, n_rows long, stamp long, n_reread long",
+    )
+
+
 # --- selection and routing -----------------------------------------------------------------
 
 @query
@@ -305,6 +373,13 @@ def phase_trace(spark, sf_dir):
     )
 
 
+@query
+def phase_chain(spark, sf_dir):
+    """Chains of up to five phases from a table of transitions."""
+    chains = routing.phase_chain(fx.phase_steps(spark, sf_dir))
+    return chains.select("study_id", "trace", F.size("phases").cast("long").alias("n_phases"))
+
+
 # --- features and quality ------------------------------------------------------------------
 
 @query
@@ -512,25 +587,26 @@ def naive_panel(spark, sf_dir):
 @query
 def bootstrap_by_arm(spark, sf_dir):
     matched = stage(matching.match_stratified(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "did", Bootstrap(seed=7, by_arm=True)), 6)
+    return near(boot.replicates(matched, "did", Bootstrap(seed=7, by_arm=True)), "estimate", 6)
 
 
 @query
 def bootstrap_rows(spark, sf_dir):
     matched = stage(matching.match_exact(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "att", Bootstrap(seed=0, by_arm=False)), 6)
+    return near(boot.replicates(matched, "att", Bootstrap(seed=0, by_arm=False)), "estimate", 6)
 
 
 @query
 def bootstrap_panel(spark, sf_dir):
-    matched = matched_panel(spark, sf_dir)
-    return rounded(boot.replicates(matched, "lme_growth", Bootstrap(seed=0, by_arm=False)), 6)
+    # A slope's last digits depend on the order of its periods.
+    matched = near(matched_panel(spark, sf_dir), "slope", 9)
+    return near(boot.replicates(matched, "lme_growth", Bootstrap(seed=0, by_arm=False)), "estimate", 6)
 
 
 @query
 def bootstrap_poisson(spark, sf_dir):
     matched = stage(matching.match_exact(seg_features(spark, sf_dir)), "boot")
-    return rounded(boot.replicates(matched, "att", Bootstrap(seed=11, scheme="poisson")), 6)
+    return near(boot.replicates(matched, "att", Bootstrap(seed=11, scheme="poisson")), "estimate", 6)
 
 
 @query
@@ -604,7 +680,15 @@ def evaluate_phases(spark, sf_dir):
 
 @query
 def step_log(spark, sf_dir):
-    return _phases(spark, sf_dir).step_log
+    log = _phases(spark, sf_dir).step_log
+    return log.withColumn("timed", F.expr("execution_time > 0")).drop("execution_time")
+
+
+@query
+def observed_steps(spark, sf_dir):
+    """Rows that the steps of a run counted while they wrote them."""
+    steps = _phases(spark, sf_dir).steps.table(spark)
+    return steps.filter("n_rows is not null and seconds > 0").select("step", "n_rows", "n_treated")
 
 
 # --- reporting -----------------------------------------------------------------------------
