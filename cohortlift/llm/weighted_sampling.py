@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame expressions only.
 
 A text is a set of words weighted by how often they occur.  For every slot of a signature and every word
-two Gamma(2, 1) draws and one uniform draw are hashed from (word, slot); with weight S
+two Gamma(2, 1) draws r and c and one uniform draw b come from one hash of (word, slot); with weight S
 
     t = floor(ln S / r + b),   ln a = ln c - r (t - b + 1)
 
@@ -9,10 +9,17 @@ and the slot keeps the (word, t) of least a.  Two texts agree in a slot with a p
 generalised Jaccard similarity, sum of lesser weights over sum of greater ones, so the share of agreeing
 slots estimates it without bias.  A slot travels as one long, quantised ln a above a 32-bit
 hash of (word, t), so that the least is found by ``min`` and words never leave their row.
+
+Draws are read from tables of the Gamma distribution's quantiles, which spares three logarithms a slot.  A
+document and its edited text are signed together: a word that both hold is drawn for once.
 """
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlift.operators.pinning import pin, stage
@@ -20,24 +27,61 @@ from cohortlift.operators.pinning import pin, stage
 SLOTS = 64
 #: Slots folded by one row of the generator.  More in one expression outgrow the JVM's compiler.
 LANE = 4
-SHARD_ROWS = 4096
-MAX_SHARDS = 4096
+#: Documents in a shard, shards in a task, and shards at most; beyond 2^28 documents shards grow.
+SHARD_ROWS, TASK_SHARDS, MAX_SHARDS = 1024, 4, 1 << 18
+#: Bits of the hash that draw r and c; the other 28 draw b.
+_R_BITS, _C_BITS = 12, 24
+
+
+def _quantiles(u: np.ndarray) -> np.ndarray:
+    """Where the Gamma(2, 1) distribution function, 1 - (1 + x) exp(-x), takes the values ``u``."""
+    low, high = np.zeros(len(u)), np.full(len(u), 64.0)
+    for _ in range(64):
+        middle = (low + high) / 2
+        below = -np.expm1(-middle) - middle * np.exp(-middle) < u
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return (low + high) / 2
+
+
+def _literal(values: np.ndarray) -> Column:
+    """Numbers as one constant; Spark folds the text away before anything runs."""
+    return F.expr("cast(split('{}', ' ') as array<double>)".format(" ".join(f"{v:.12g}" for v in values)))
+
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """r by 12 bits, and ln c by 24 bits: four tables of 4096, each for a sixteenth of the one before, since
+    the least of many draws lies far down the distribution."""
+    cells = np.arange(1 << _R_BITS) + 0.5
+    r = _quantiles(cells / (1 << _R_BITS))
+    return r, np.log(np.concatenate([_quantiles(cells / (1 << _R_BITS) / 16.0**level) for level in range(4)]))
+
+
+def _draws(k: int) -> dict[str, Column]:
+    """``_r``, 1 / r, ln c and b of slot ``k`` of a lane from its hash."""
+    r, log_c = _tables()
+    hashed = F.col(f"_x{k}")
+    cell = hashed.bitwiseAND(F.lit((1 << _R_BITS) - 1)).cast("int")
+    u = F.col(f"_u{k}")
+    place = (
+        F.when(u >= 1 << 20, F.shiftright(u, 12)).when(u >= 1 << 16, F.shiftright(u, 8) + 4096)
+        .when(u >= 1 << 12, F.shiftright(u, 4) + 8192).otherwise(u + 12288)
+    )
+    return {
+        f"_r{k}": F.get(_literal(r), cell), f"_q{k}": F.get(_literal(1 / r), cell), f"_c{k}": F.get(_literal(log_c), place),
+        f"_b{k}": (F.shiftrightunsigned(hashed, _R_BITS + _C_BITS).cast("double") + F.lit(0.5)) * F.lit(2.0**-28),
+    }
 
 
-def _unit(bits: Column) -> Column:
-    """The low 24 bits as a number strictly between 0 and 1."""
-    return (bits.bitwiseAND(F.lit(0xFFFFFF)) + F.lit(0.5)) * F.lit(2.0**-24)
+def _count(log: str, k: int) -> Column:
+    """t of slot ``k`` for a word of log weight ``log``."""
+    return F.floor(F.col(log) * F.col(f"_q{k}") + F.col(f"_b{k}"))
 
 
-def _slot(first: Column) -> Column:
-    """One slot's value from the hash of word and slot, beside ``_word`` and ``_log``, the log weight."""
-    second = F.xxhash64(first)
-    r = -F.ln(_unit(F.shiftrightunsigned(first, 40)) * _unit(F.shiftrightunsigned(first, 16)))
-    c = -F.ln(_unit(F.shiftrightunsigned(second, 40)) * _unit(F.shiftrightunsigned(second, 16)))
-    b = (first.bitwiseAND(F.lit(0xFFFF)) * 65536 + second.bitwiseAND(F.lit(0xFFFF)) + F.lit(0.5)) * F.lit(2.0**-32)
-    t = F.floor(F.col("_log") / r + b)
-    log_a = F.ln(c) - r * (t - b + 1)
-    mark = (F.shiftrightunsigned("_word", 32) + t * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF))
+def _value(t: str, k: int) -> Column:
+    """A slot's value: quantised ln a above the mark of (word, t)."""
+    log_a = F.col(f"_c{k}") - F.col(f"_r{k}") * (F.col(t) - F.col(f"_b{k}") + 1)
+    mark = (F.shiftrightunsigned("_word", 31) + F.col(t) * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFFFF))
     return F.floor(log_a * F.lit(float(1 << 20))) * F.lit(1 << 32) + mark
 
 
@@ -48,13 +92,20 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
-def signatures(texts: DataFrame, keys: list[str], text: str, slots: int = SLOTS) -> DataFrame:
-    """``keys``, ``_lane`` and ``marks``: 32-bit marks of ``LANE`` slots, null for a text without words.
+def _hashes(text: str, side: int) -> Column:
+    """Hashes of a text's words, the last bit telling the side, so that a word's runs of both sides meet."""
+    return F.transform(words(F.coalesce(F.col(text), F.lit(""))),
+                       lambda w: F.shiftleft(F.shiftrightunsigned(F.xxhash64(w), 1), 1) + F.lit(side))
+
 
-    Word hashes are sorted in their row, so that a run's length is the word's weight; every
-    run is one row of a generator whose rows are folded by ``min`` without leaving their task's hash map.
+def signatures(texts: DataFrame, keys: list[str], left: str, right: str, slots: int = SLOTS) -> DataFrame:
+    """``keys``, ``_lane``, ``own`` and ``other``: 32-bit marks of ``LANE`` slots of both texts of a row, null for
+    a text without words.
+
+    Word hashes are sorted in their row, so that a run's length is the word's weight; every word of either text is
+    one row of a generator whose rows are folded by ``min`` without leaving their task's hash map.
     """
-    hashed = texts.select(*keys, F.sort_array(F.transform(words(F.coalesce(F.col(text), F.lit(""))), lambda w: F.xxhash64(w))).alias("_h"))
+    hashed = texts.select(*keys, F.sort_array(F.concat(_hashes(left, 0), _hashes(right, 1))).alias("_h"))
     ends = hashed.select(
         *keys, "_h",
         F.when(F.size("_h") > 0, F.filter(
@@ -63,22 +114,47 @@ def signatures(texts: DataFrame, keys: list[str], text: str, slots: int = SLOTS)
         )).alias("_ends"),
     )
     runs = ends.select(*keys, "_h", "_ends", F.posexplode_outer("_ends").alias("_at", "_end"))
-    terms = runs.select(
-        *keys, F.get("_h", F.col("_end")).alias("_word"),
-        F.ln((F.col("_end") - F.coalesce(F.get("_ends", F.col("_at") - 1), F.lit(-1))).cast("double")).alias("_log"),
+
+    def word(end: Column) -> Column:
+        return F.shiftrightunsigned(F.get("_h", end), 1)
+
+    before, after = F.get("_ends", F.col("_at") - 1), F.get("_ends", F.col("_at") + 1)
+    runs = runs.select(
+        *keys, word(F.col("_end")).alias("_word"), F.get("_h", F.col("_end")).bitwiseAND(F.lit(1)).alias("_side"),
+        (F.col("_end") - F.coalesce(before, F.lit(-1))).alias("_n"),
+        (word(before) == word(F.col("_end"))).alias("_again"),
+        F.when(word(after) == word(F.col("_end")), after - F.col("_end")).alias("_next"),
+    )
+    # Of a word that both texts hold, the first run speaks for both.
+    terms = runs.where(~F.coalesce(F.col("_again"), F.lit(False))).select(
+        *keys, "_word", F.ln(F.when(F.col("_side") == 0, F.col("_n")).cast("double")).alias("_own"),
+        F.ln(F.when(F.col("_side") == 0, F.col("_next")).otherwise(F.col("_n")).cast("double")).alias("_edit"),
     )
     lanes = terms.withColumn("_lane", F.explode(F.array(*(F.lit(k) for k in range(0, slots, LANE)))))
-    folded = lanes.groupBy(*keys, "_lane").agg(*(
-        F.min(_slot(F.xxhash64("_word", F.col("_lane") + k))).alias(f"_s{k}") for k in range(LANE)
-    ))
-    marks = F.array(*(F.col(f"_s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(LANE)))
-    return folded.select(*keys, "_lane", F.when(F.col("_s0").isNotNull(), marks).alias("marks"))
+    # Step by step, so that no part of an expression is computed twice.
+    lane = range(LANE)
+    lanes = lanes.select("*", *(F.xxhash64("_word", F.col("_lane") + k).alias(f"_x{k}") for k in lane))
+    lanes = lanes.select("*", *(
+        F.shiftrightunsigned(f"_x{k}", _R_BITS).bitwiseAND(F.lit((1 << _C_BITS) - 1)).cast("int").alias(f"_u{k}") for k in lane))
+    lanes = lanes.select("*", *(column.alias(name) for k in lane for name, column in _draws(k).items()))
+    lanes = lanes.select("*", *(_count("_own", k).alias(f"_t{k}") for k in lane))
+    lanes = lanes.select("*", *(_value(f"_t{k}", k).alias(f"_v{k}") for k in lane))
+    same = F.col("_edit") == F.col("_own")
+    lanes = lanes.select("*", *(F.when(same, F.col(f"_t{k}")).otherwise(_count("_edit", k)).alias(f"_e{k}") for k in lane))
+    lanes = lanes.select("*", *(F.when(same, F.col(f"_v{k}")).otherwise(_value(f"_e{k}", k)).alias(f"_w{k}") for k in lane))
+    folded = lanes.groupBy(*keys, "_lane").agg(
+        *(F.min(f"_v{k}").alias(f"_own{k}") for k in lane), *(F.min(f"_w{k}").alias(f"_other{k}") for k in lane))
+
+    def marks(side: str) -> Column:
+        return F.when(F.col(f"{side}0").isNotNull(), F.array(*(
+            F.col(f"{side}{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in lane)))
 
+    return folded.select(*keys, "_lane", marks("_own").alias("own"), marks("_other").alias("other"))
 
-def signature(lanes: Column) -> Column:
-    """The slots of one text from its lanes' (_lane, marks); null for a text without words."""
-    ordered = F.flatten(F.transform(F.array_sort(lanes), lambda x: x["marks"]))
-    return F.when(F.size(ordered) > 0, ordered)
+
+def signature(lanes: Column, side: str) -> Column:
+    """The slots of one side from its row's lanes (_lane, own, other); null for a text without words."""
+    return F.flatten(F.transform(F.array_sort(lanes, lambda a, b: a["_lane"] - b["_lane"]), lambda x: x[side]))
 
 
 def fingerprint(slots: Column) -> Column:
@@ -96,15 +172,25 @@ def likeness(left: str, right: str) -> Column:
 
 
 def _sharded(docs: DataFrame) -> DataFrame:
-    """Documents with ``shard``: ranges of doc_id of about equal numbers of rows, a null doc_id in the first."""
+    """Documents with ``shard``: ranges of doc_id of about equal numbers of rows, a null doc_id in the first.
+
+    A shard is found in two steps, among every so many bounds and then among those between.
+    """
     n = docs.select("doc_id").count()
     shards = max(1, min(-(-n // SHARD_ROWS), MAX_SHARDS))
-    cuts = [i / shards for i in range(1, shards)]
-    bounds = docs.agg(F.percentile_approx("doc_id", cuts or [0.5], 10 * MAX_SHARDS)).first()[0] if n else None
-    found = F.array(*(F.lit(int(b)).cast("long") for b in sorted(set(bounds or [])))) if cuts and bounds else None
-    if found is None:
+    if shards == 1:
         return docs.withColumn("shard", F.lit(0))
-    return docs.withColumn("shard", F.coalesce(F.size(F.filter(found, lambda b: b < F.col("doc_id"))), F.lit(0)))
+    cuts = F.expr(f"transform(sequence(1, {shards - 1}), i -> i / {shards}D)")
+    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", cuts, 10 * shards)).first()[0] or []))
+    wide = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[at : at + wide] for at in range(0, len(bounds), wide)] or [[]]
+    nested = F.expr(f"from_json('{json.dumps(groups)}', 'array<array<bigint>>')")
+    heads = F.transform(nested, lambda g: F.get(g, F.lit(0)))
+    group = F.greatest(F.size(F.filter(heads, lambda b: b < F.col("doc_id"))) - 1, F.lit(0))
+    below = F.size(F.filter(F.get(nested, F.col("_group")), lambda b: b < F.col("doc_id")))
+    placed = docs.withColumn("_group", F.when(F.col("doc_id").isNotNull(), group).otherwise(0))
+    shard = F.when(F.col("doc_id").isNotNull(), F.col("_group") * wide + below).otherwise(0)
+    return placed.withColumn("shard", shard.cast("int")).drop("_group")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -132,7 +218,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         ), "borders",
     )
     inside = Window.partitionBy("shard").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    rows = docs.select(
+    # A number of tasks by rows: the work that follows grows with words, and would be dealt by bytes otherwise.
+    tasks = -(-border.count() // TASK_SHARDS)
+    rows = docs.repartition(max(tasks, 1), "shard").select(
         "doc_id", "text", "shard", F.row_number().over(inside).alias("place"),
         F.lead("text").over(inside).alias("after"),
     )
@@ -159,20 +247,12 @@ def edited_fingerprints(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next_text"), half))
     rows = rows.select("shard", "place", "next_shard", "next_place", "doc_id", n.cast("long").alias("n_chars"), "text",
                        edited.alias("edited"))
-    keys = ["shard", "place", "next_shard", "next_place", "doc_id", "n_chars", "edited_sha256", "side"]
-    both = rows.select(
-        *keys[:6], F.sha2("edited", 256).alias("edited_sha256"),
-        F.posexplode(F.array("text", "edited")).alias("side", "body"),
-    )
-    found = signatures(both, keys, "body", slots)
-    lanes = F.collect_list(F.struct("side", "_lane", "marks")).alias("lanes")
-    sides = found.groupBy(*keys[:7]).agg(lanes)
-
-    def of(side: int) -> Column:
-        mine = F.filter("lanes", lambda x: x["side"] == side)
-        return signature(F.transform(mine, lambda x: F.struct(x["_lane"].alias("_lane"), x["marks"].alias("marks"))))
-
-    sides = sides.select(*keys[:7], of(0).alias("own"), of(1).alias("other"))
+    keys = ["shard", "place", "next_shard", "next_place", "doc_id", "n_chars", "edited_sha256"]
+    both = rows.select(*keys[:6], F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
+    found = signatures(both, keys, "text", "edited", slots)
+    sides = found.groupBy(*keys).agg(F.collect_list(F.struct("_lane", "own", "other")).alias("lanes"))
+    sides = sides.select(
+        *keys, signature(F.col("lanes"), "own").alias("own"), signature(F.col("lanes"), "other").alias("other"))
     sides = stage(sides, "signatures")
     following = sides.select(F.col("shard").alias("next_shard"), F.col("place").alias("next_place"),
                              F.col("own").alias("following"))
