@@ -1,10 +1,13 @@
 """Exact top-k search by inner product over ball trees, one per shard.
 
-Vectors are dealt into shards by a hash of their id, and each shard's ball tree is built once.  A query
-block meets a shard by branch and bound: every node's inner product with a query q is at most
-``q . centre + |q| radius``, a node is no better than its parent, leaves are visited in descending order of
-that bound, and a query stops at the first leaf that cannot reach its k-th score.  Every block meets
-one shard first; the k-th scores found there are shared with its searches of all other shards.
+Vectors are dealt into shards by a hash of their row, and each shard's ball tree is built once.  Queries meet a
+shard by branch and bound: every node's inner product with a query q is at most ``q . centre + |q| radius``, a
+node is no better than its parent, leaves are visited in descending order of that bound, and a query stops at
+the first leaf that cannot reach its current k-th score.
+
+Queries go out in waves of bounded size, sent to the tasks that hold the trees, so that neither trees nor
+queries are shuffled.  In a wave every query starts at a shard of its own, then visits one more, two, four and
+so on; between these steps its best k are merged and its current k-th score is shared with the next.
 """
 
 from __future__ import annotations
@@ -16,13 +19,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cohortlift.operators.pinning import stage
+from cohortlift.llm.staging import Stages
 
 LEAF_ROWS = 128
-#: Components a shard and a query block hold at most; rows follow from the dimension.
-SHARD_VALUES, BLOCK_VALUES = 1 << 20, 1 << 17
+#: Components that a shard and a wave of queries hold at most, about; rows follow from the dimension.
+SHARD_VALUES, WAVE_VALUES = 1 << 20, 1 << 21
+#: Tasks that trees are built in and searched by at most.
+MOST_TASKS = 1 << 13
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query long, query_id long, vec_id long, row long, score long"
 
 
 def _packed(**arrays: np.ndarray) -> bytes:
@@ -36,7 +41,7 @@ def _unpacked(packed: bytes) -> dict[str, np.ndarray]:
         return {name: held[name] for name in held.files}
 
 
-def build(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
+def build(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
     """A balanced ball tree: nodes split at the median along the line between two far points.
 
     ``begin`` and ``end`` are a node's rows, ``parent`` the node above (-1 for the root).
@@ -46,21 +51,21 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict[str, np.ndarray]:
     waiting = [(0, len(ids), -1)]
     while waiting:
         low, high, above = waiting.pop()
-        rows = vectors[order[low:high]]
-        centre = rows.mean(axis=0)
-        away = np.linalg.norm(rows - centre, axis=1)
+        held = vectors[order[low:high]]
+        centre = held.mean(axis=0)
+        away = np.linalg.norm(held - centre, axis=1)
         node = len(begin)
         begin.append(low), end.append(high), parent.append(above), centres.append(centre)
         radii.append(away.max()), leaf.append(high - low <= LEAF_ROWS)
         if not leaf[-1]:
-            first = rows[away.argmax()]
-            second = rows[np.linalg.norm(rows - first, axis=1).argmax()]
-            along = rows @ (second - first)
+            first = held[away.argmax()]
+            second = held[np.linalg.norm(held - first, axis=1).argmax()]
+            along = held @ (second - first)
             order[low:high] = order[low:high][np.argsort(along, kind="stable")]
             middle = (low + high) // 2
             waiting += [(low, middle, node), (middle, high, node)]
     return {
-        "ids": ids[order], "vectors": vectors[order], "begin": np.array(begin), "end": np.array(end),
+        "rows": rows[order], "ids": ids[order], "vectors": vectors[order], "begin": np.array(begin), "end": np.array(end),
         "parent": np.array(parent), "centres": np.array(centres), "radii": np.array(radii), "leaf": np.array(leaf),
     }
 
@@ -75,10 +80,10 @@ def _products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def search(
-    tree: dict[str, np.ndarray], query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of each query's best k in this tree that reach ``least``, its k-th
-    score so far; ties go to the smaller vec_id, and a vector with the query's own id takes no part."""
+    tree: dict[str, np.ndarray], query_rows: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int
+) -> tuple[np.ndarray, ...]:
+    """(query, vec_id, row, score) of each query's best k in this tree that reach ``least``, its k-th
+    score so far; ties go to the smaller vec_id, then row, and a query's own row takes no part."""
     norms = np.linalg.norm(queries, axis=1)
     bounds = queries @ tree["centres"].T + norms[:, None] * tree["radii"]
     bounds += 1e-9 * (np.abs(bounds) + 1) + 1e-6  # rounding must not hide a node
@@ -88,7 +93,7 @@ def search(
     bounds = bounds[:, leaves]
     visit = np.argsort(-bounds, axis=1, kind="stable")
     m = len(queries)
-    scores = [[] for _ in range(m)]  # (-score, vec_id), best first, at most k
+    scores = [[] for _ in range(m)]  # (-score, vec_id, row), best first, at most k
     kth = least.astype(float)
     active = np.arange(m)
     for step in range(len(leaves)):
@@ -101,19 +106,19 @@ def search(
             asking = active[chosen == leaf]
             low, high = tree["begin"][leaves[leaf]], tree["end"][leaves[leaf]]
             found = _products(queries[asking], tree["vectors"][low:high])
-            ids = tree["ids"][low:high]
-            hits = (found >= kth[asking][:, None]) & (ids[None, :] != query_ids[asking][:, None])
+            ids, rows = tree["ids"][low:high], tree["rows"][low:high]
+            hits = (found >= kth[asking][:, None]) & (rows[None, :] != query_rows[asking][:, None])
             for at in np.flatnonzero(hits.any(axis=1)):
                 query = asking[at]
                 mine = np.flatnonzero(hits[at])
-                best = scores[query] + [(-int(found[at, j]), int(ids[j])) for j in mine]
+                best = scores[query] + [(-int(found[at, j]), int(ids[j]), int(rows[j])) for j in mine]
                 best.sort()
                 scores[query] = best[:k]
                 if len(best) >= k:
                     kth[query] = max(kth[query], -best[k - 1][0])
-    rows = [(int(query_ids[q]), vec_id, -negative) for q in range(m) for negative, vec_id in scores[q]]
-    columns = np.array(rows, dtype=object).reshape(-1, 3)
-    return tuple(columns[:, c].astype(np.int64) for c in range(3))
+    out = [(q, vec_id, row, -negative) for q in range(m) for negative, vec_id, row in scores[q]]
+    columns = np.array(out, dtype=object).reshape(-1, 4)
+    return tuple(columns[:, c].astype(np.int64) for c in range(4))
 
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -122,75 +127,83 @@ def _matrix(table: pa.Table) -> np.ndarray:
 
 
 def _build_shard(table: pa.Table) -> pa.Table:
-    order = np.argsort(table.column("vec_id").to_numpy(), kind="stable")
-    tree = build(table.column("vec_id").to_numpy()[order], _matrix(table)[order])
-    return pa.table({
-        "dim": table.column("dim").slice(0, 1), "shard": table.column("shard").slice(0, 1), "tree": pa.array([_packed(**tree)], pa.binary()),
-    })
+    table = table.sort_by("row").combine_chunks()
+    tree = build(table.column("row").to_numpy(), table.column("vec_id").to_numpy(), _matrix(table))
+    return pa.table({"shard": table.column("shard").slice(0, 1), "tree": pa.array([_packed(**tree)], pa.binary())})
 
 
-def _build_block(table: pa.Table) -> pa.Table:
-    least = table.column("least").fill_null(-(2**63)).to_numpy()
-    block = _packed(ids=table.column("vec_id").to_numpy(), vectors=_matrix(table), least=least)
-    return pa.table({
-        "dim": table.column("dim").slice(0, 1), "block": table.column("block").slice(0, 1), "queries": pa.array([block], pa.binary()),
-    })
-
-
-def _meet(k: int):
+def _meet(shared, shards: int, begin: int, end: int, k: int):
+    """Search every tree for the queries whose turn it is: those that started ``begin`` to ``end`` shards before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wave = _unpacked(shared.value)
         for batch in batches:
-            for packed, queries in zip(batch.column("tree"), batch.column("queries")):
-                block = _unpacked(queries.as_py())
-                found = search(_unpacked(packed.as_py()), block["ids"], block["vectors"], block["least"], k)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"])
+            for shard, packed in zip(batch.column("shard").to_pylist(), batch.column("tree")):
+                steps = (shard - wave["home"]) % shards
+                turn = np.flatnonzero((steps >= begin) & (steps < end))
+                if len(turn):
+                    query, *found = search(_unpacked(packed.as_py()), wave["rows"][turn], wave["vectors"][turn], wave["least"][turn], k)
+                    query = turn[query]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in (query, wave["ids"][query], *found)],
+                        names=["query", "query_id", "vec_id", "row", "score"],
+                    )
 
     return run
 
 
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _search_wave(tables: Stages, trees: DataFrame, shards: int, wave: pa.Table, k: int) -> DataFrame:
+    """The best k of the queries in ``wave`` over all shards."""
+    spark = trees.sparkSession
+    rows = wave.column("row").to_numpy()
+    queries = {"rows": rows, "ids": wave.column("vec_id").to_numpy(), "vectors": _matrix(wave), "home": rows % shards}
+    least, best, begin, end = np.full(len(rows), -np.inf), None, 0, 1
+    while begin < shards:
+        shared = spark.sparkContext.broadcast(_packed(**queries, least=least))
+        found = trees.mapInArrow(_meet(shared, shards, begin, min(end, shards), k), _FOUND)
+        best = tables.write(_best(found if best is None else best.drop("rank").unionByName(found), k), "best")
+        kth = best.where(F.col("rank") == k).select("query", "score").toArrow()  # a row for each query of the wave
+        least[kth.column("query").to_numpy()] = kth.column("score").to_numpy().astype(float)
+        begin, end = end, 2 * end + 1
+    return best
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's ``k`` best inner products among all other vectors.
+    """(query_id, rank, vec_id, score): each query's ``k`` best inner products among all other rows.
 
     ``vectors`` has vec_id and vector, an array of whole numbers as doubles; ``is_query`` is a condition on
     vec_id.  Vectors that are null or hold a null or non-finite component, and rows with a null vec_id,
-    take no part; of rows with one vec_id the least vector counts; vectors of different dimension never
-    meet, and those without components have no neighbours.  Scores are exact; one that does not fit
-    a long is an error.
+    take no part.  Rows that share a vec_id stay different candidates, and different queries with ranks of their
+    own.  Vectors of different dimension never meet, and those without components have no neighbours.  Scores
+    are exact; one that does not fit a long is an error.
     """
     spark = vectors.sparkSession
+    tables = Stages(spark, "top-k")
     whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     clean = vectors.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(whole & (F.size("vector") > 0))
-    clean = stage(
-        clean.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("vector").alias("vector"))
-        .select("vec_id", "vector", F.size("vector").alias("dim"), is_query.alias("asks")), "vectors",
-    )
-    # A row for each dimension that occurs, with the numbers of shards and blocks.
+    clean = tables.write(clean.select(  # stored, so that a row keeps its number
+        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), "vector",
+        F.size("vector").alias("dim"), F.coalesce(is_query, F.lit(False)).alias("asks"),
+    ), "vectors")
+    results = None
     per = clean.groupBy("dim").agg(F.count("*").alias("n"), F.count(F.when(F.col("asks"), 1)).alias("m"))
-    dims = per.select(
-        "dim", F.ceil(F.col("n") * F.col("dim") / SHARD_VALUES).cast("long").alias("shards"),
-        F.ceil(F.col("m") * F.col("dim") / BLOCK_VALUES).cast("long").alias("blocks"),
-    ).where("blocks > 0")
-    dealt = clean.join(dims, "dim").withColumns({
-        "shard": F.pmod(F.xxhash64("vec_id"), "shards"), "block": F.pmod(F.xxhash64("vec_id", F.lit(1)), "blocks"),
-    })
-    trees = stage(dealt.groupBy("dim", "shard").applyInArrow(_build_shard, "dim int, shard long, tree binary"), "trees")
-    asking = dealt.where("asks").select("dim", "block", "shards", "vec_id", "vector")
-
-    def blocks(queries: DataFrame) -> DataFrame:
-        made = queries.groupBy("dim", "block").applyInArrow(_build_block, "dim int, block long, queries binary")
-        return made.join(dims, "dim")
-
-    home = F.pmod("block", "shards")
-    first = blocks(asking.withColumn("least", F.lit(None).cast("long"))).select("dim", home.alias("shard"), "queries")
-    found = stage(first.join(trees, ["dim", "shard"]).select("tree", "queries").mapInArrow(_meet(k), _FOUND), "found")
-    bound = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(
-        F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least")
-    rest = blocks(asking.join(bound, "vec_id", "left")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))
-    ).where(F.col("shard") != home)
-    others = rest.select("dim", "shard", "queries").join(trees, ["dim", "shard"]).repartition(
-        "shard", F.xxhash64("queries")).select("tree", "queries").mapInArrow(_meet(k), _FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.unionByName(others).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    for dim, n, m in per.where("m > 0").orderBy("dim").toLocalIterator():
+        mine = clean.where(F.col("dim") == dim).drop("dim")
+        shards, waves = -(-n * dim // SHARD_VALUES), -(-m * dim // WAVE_VALUES)
+        dealt = mine.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).drop("asks")
+        trees = tables.write(
+            dealt.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInArrow(
+                _build_shard, "shard long, tree binary"), "trees")
+        for number in range(waves):
+            wave = mine.where(F.col("asks") & (F.pmod(F.xxhash64("row", F.lit(1)), F.lit(waves)) == number))
+            best = _search_wave(tables, trees, shards, wave.select("row", "vec_id", "vector").toArrow(), k)
+            best = best.select("query_id", "rank", "vec_id", "score")
+            results = results or f"{tables.base}/results"
+            best.write.mode("append").parquet(results)
+    if results is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(results)

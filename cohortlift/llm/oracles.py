@@ -32,13 +32,13 @@ join (select node as doc_id, min(root) as component_id from r group by node) m u
 
 _OP3 = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: floor(cast(x as double) * 64)) as e from embeddings
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(cast(x as double) * 64)) as e from embeddings
   where embedding is not null and vec_id is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (
-  select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.r <> c.r where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by r order by score desc, vec_id) as n from s)
 select query_id, cast(n as int) as rank, vec_id, score from r where n <= 20
 """
 
