@@ -116,20 +116,28 @@ def _pack_node(level: int, capacity: int):
     return run
 
 
-def pack(docs_or_pieces: DataFrame, capacity: int = 4096, slack: int | None = None,
-         node_rows: int = NODE_ROWS, **piece_options) -> DataFrame:
-    """Place pieces (or the pieces of documents) in sequences of at most ``capacity`` ids.
+def pack(docs: DataFrame, capacity: int = 4096, slack: int | None = None, node_rows: int = NODE_ROWS,
+         **piece_options) -> DataFrame:
+    """Place the pieces of documents in sequences of at most ``capacity`` ids; see ``pack_pieces``.
+
+    Null texts are empty and give a piece that holds the end id alone; rows with a null or repeated doc_id are
+    each packed; an empty table gives no row; columns other than doc_id and text are ignored, whatever their names.
+    """
+    return pack_pieces(stage(pieces(docs, capacity=capacity, **piece_options), "pieces"), capacity, slack, node_rows)
+
+
+def pack_pieces(
+    found: DataFrame, capacity: int = 4096, slack: int | None = None, node_rows: int = NODE_ROWS
+) -> DataFrame:
+    """Place pieces, as ``pieces`` gives them, in sequences of at most ``capacity`` ids.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id and the piece's offset in its
     sequence, without gaps from 0.  A bin counts as nearly full when at most ``slack`` ids are
-    left (by default a 256th of the capacity).  Null texts are empty and give a piece that holds the end
-    id alone; rows with a null or repeated doc_id are each packed; an empty table gives no row.
+    left (by default a 256th of the capacity).  A level whose bins are not 1 % fewer than the last one's is the
+    last.
     """
     slack = capacity // 256 if slack is None else slack
-    if "length" in docs_or_pieces.columns:
-        found = docs_or_pieces.select(*(c.split()[0] for c in _PIECE_SCHEMA.split(", ")))
-    else:
-        found = stage(pieces(docs_or_pieces, capacity=capacity, **piece_options), "pieces")
+    found = found.select(*(c.split()[0] for c in _PIECE_SCHEMA.split(", ")))
     items = found.withColumns({
         "sequence_id": F.xxhash64("doc_id", "piece", "start", "ids_crc32"), "offset": F.lit(0).cast("long"),
         "fill": F.col("length"),

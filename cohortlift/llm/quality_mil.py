@@ -221,14 +221,14 @@ def train(labelled: DataFrame, max_docs: int = MAX_FIT_DOCS) -> bytes | None:
     return bytes(found[0].model) if found else None
 
 
-def score(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) added; 0.5 for all without a model.
+def score(docs: DataFrame, model: bytes | None, out: str = "score") -> DataFrame:
+    """``docs`` with ``out`` (0 to 1) added; 0.5 for all without a model.
 
-    Null texts are scored as empty ones.  An input column named ``score`` is replaced.
+    Null texts are scored as empty ones.  An input column of that name is replaced.
     """
-    docs = docs.drop("score")
+    docs = docs.drop(out)
     if model is None:
-        return docs.withColumn("score", F.lit(0.5))
+        return docs.withColumn(out, F.lit(0.5))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,10 +238,10 @@ def score(docs: DataFrame, model: bytes | None) -> DataFrame:
             for texts in text_slices(batch.column("text")):
                 scores.append(predict(weights, *encode_passages(texts)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(scores))], names=[*batch.schema.names, "score"]
+                [*batch.columns, pa.array(np.concatenate(scores))], names=[*batch.schema.names, out]
             )
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
 
 def held_out(doc_id: Column, divisor: int, remainder: int) -> Column:
@@ -252,7 +252,7 @@ def held_out(doc_id: Column, divisor: int, remainder: int) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, divisor: int, remainder: int) -> DataFrame:
     """doc_id, text and label of the labelled documents outside the held-out part.
 
-    Up to ``MOST_SENT`` labels are sent to all executors (some 30 MB); more are joined by shuffle.
+    A doc_id with conflicting labels has the greater one.  Up to ``MOST_SENT`` labels are sent to all executors (some 30 MB); more are joined by shuffle.
     """
     marked = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"), divisor, remainder)).groupBy(
         "doc_id").agg(F.max(label).alias("label"))

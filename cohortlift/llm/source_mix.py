@@ -26,16 +26,16 @@ SHARD_WORDS = 2_000_000
 MOST_REPEATS = 3
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_size``, the number of words of the text (null: 0)."""
+def _with_sizes(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_size``, the number of words of the column ``_text`` (null: 0)."""
     from pyspark.sql.types import LongType, StructField, StructType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = pa.array(word_counts(batch.column("text")), pa.int64())
+            counts = pa.array(word_counts(batch.column("_text")), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=[*batch.schema.names, "_size"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_size", LongType())]))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("_size", LongType())]))
 
 
 def target_sizes(sizes: Sequence[int], weights: Sequence[float], most: float = MOST_REPEATS) -> np.ndarray:
@@ -83,23 +83,42 @@ def _quota_parts(sources: list[str | None], quotas: np.ndarray, n_shards: int, s
     return run
 
 
-def plan_mix(
+def _row(docs: DataFrame, names: Sequence[str]) -> list:
+    """Columns of the input rows ``docs`` out of a plan, which holds all but the text in a struct."""
+    return [(F.col("_text") if n == "text" else F.col("_row").getField(n)).alias(n) for n in docs.columns if n in names]
+
+
+def plan_mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_shards``, the output shards of its draws.
+
+    These four replace columns of the same names; see ``plan`` for the rest.
+    """
+    added = ["_size", "_source_size", "_target", "_shards"]
+    planned = plan(docs, **options)
+    names = [n for n in docs.columns if n not in added and (n != "text" or "_text" in planned.columns)]
+    return planned.select(*_row(docs, names), *added)
+
+
+def plan(
     docs: DataFrame, pattern: Sequence[float] = (5, 2, 1), seed: int = 11,
     block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, keep_text: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_shards``, the output shards of its draws.
+    """``_row``, an input row but for its text, ``_text``, ``_size``, ``_source_size``, ``_target``, ``_key`` and
+    ``_shards``, the output shards of its draws.  No column of ``docs`` can clash with those of the plan.
 
     Sources by code point, null last, weigh ``pattern``, repeating.  What passes through the driver is
     one row per source.  A null text has size 0 and is drawn with its block; rows with equal doc_ids are
     mixed row by row; an empty table gives an empty result.  ``keep_text=False`` drops the text once it
-    is counted.
+    is counted.  A source has at most 2^24 blocks and the mixture 2^20 shards; beyond that they grow.
     """
     spark = docs.sparkSession
-    sized = with_sizes(docs)
+    sized = _with_sizes(docs.select(
+        F.struct(*(n for n in docs.columns if n != "text")).alias("_row"), F.col("text").cast("string").alias("_text")
+    ))
     if not keep_text:
-        sized, docs = stage(sized.drop("text"), "sizes"), docs.drop("text")
-    sized = sized.withColumn("_source", F.col("source").cast("string"))
-    sized = sized.withColumn("_key", F.xxhash64(F.lit(seed), "doc_id", "_source", "_size"))
+        sized = stage(sized.drop("_text"), "sizes")
+    sized = sized.withColumns({"_source": F.col("_row.source").cast("string"), "_id": F.col("_row.doc_id")})
+    sized = sized.withColumn("_key", F.xxhash64(F.lit(seed), "_id", "_source", "_size"))
     sources = sized.groupBy("_source").agg(F.sum("_size").alias("words")).collect()
     sources = sorted(sources, key=lambda r: (r._source is None, (r._source or "").encode("utf-8")))
     sizes = [int(r.words) for r in sources]
@@ -159,7 +178,7 @@ def plan_mix(
     # then the one whose size is nearest to what is left, if that brings the sum nearer.
     border = (F.col("_room") > 0) & (F.col("_room") < F.col("_words"))
     block = Window.partitionBy("_s", "_b")
-    ordered = block.orderBy(F.xxhash64(F.lit(seed + 2), "_key"), "doc_id")
+    ordered = block.orderBy(F.xxhash64(F.lit(seed + 2), "_key"), "_id")
     fits = F.col("_upto") <= F.col("_room")
     miss = F.when(~fits, F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("by"), F.col("_place").alias("place")))
     plain = joined.where(~border).withColumn("_shards", F.coalesce(F.expr("transform(_owned, d -> d.shard)"), F.expr("array()")))
@@ -179,16 +198,26 @@ def plan_mix(
             ).otherwise(F.expr("transform(filter(_owned, d -> d._repeat < _whole), d -> d.shard)")),
         )
     )
-    kept = [*docs.columns, "_size", "_source_size", "_target", "_key", "_shards"]
+    kept = ["_row", *(["_text"] if keep_text else []), "_size", "_source_size", "_target", "_key", "_shards"]
     return plain.select(*kept).unionByName(edge.select(*kept))
 
 
 def mix(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
     """The mixture: a row for every draw of a document, with ``shard`` and its ``place`` in the shard.
 
-    Rows of a shard are shuffled by a hash of the draw; a document drawn twice stands twice.
+    These two replace columns of the same names.  Rows of a shard are shuffled by a hash of the draw; a document
+    drawn twice stands twice.
     """
-    planned = plan_mix(docs, seed=seed, **options)
-    rows = planned.select(*docs.columns, "_key", F.posexplode("_shards").alias("_copy", "shard"))
+    rows = _placed(docs, seed, options)
+    return rows.select(*_row(docs, [n for n in docs.columns if n not in ("shard", "place")]), "shard", "place")
+
+
+def mixed_rows(docs: DataFrame, seed: int = 11, **options) -> DataFrame:
+    """The same rows in the same order under the columns of ``docs`` alone, whatever their names."""
+    return _placed(docs, seed, options).select(*_row(docs, docs.columns))
+
+
+def _placed(docs: DataFrame, seed: int, options: dict) -> DataFrame:
+    rows = plan(docs, seed=seed, **options).select("_row", "_text", "_key", F.posexplode("_shards").alias("_copy", "shard"))
     order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed + 3), "_key", "_copy"), "_key", "_copy")
-    return rows.withColumn("place", F.row_number().over(order)).drop("_key", "_copy")
+    return rows.withColumn("place", F.row_number().over(order))

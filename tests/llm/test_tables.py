@@ -50,11 +50,11 @@ def test_packing_merges_over_levels(spark):
     sizes = rng.integers(1, 700, 4000)
     found = spark.createDataFrame(
         [(i, 0, 0, int(n), i) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
-    placed = packing.pack(found, capacity=1000, node_rows=300).toPandas()
+    placed = packing.pack_pieces(found, capacity=1000, node_rows=300).toPandas()
     assert len(placed) == 4000 and placed.groupby("sequence_id").length.sum().max() <= 1000
     assert placed.sequence_id.nunique() <= 1.01 * sizes.sum() / 1000 + 1
     alike = found.withColumn("length", F.lit(600).cast("long"))
-    assert packing.pack(alike, capacity=1000, node_rows=300).select("sequence_id").distinct().count() == 4000
+    assert packing.pack_pieces(alike, capacity=1000, node_rows=300).select("sequence_id").distinct().count() == 4000
 
 
 def test_targets_are_reshared_above_the_cap():
@@ -78,28 +78,42 @@ def test_mix_meets_targets_and_reruns_agree(spark, documents):
     assert len(first) == planned._shards.map(len).sum() and Counter(r[1:] for r in first).most_common(1)[0][1] == 1
     assert {r[1] for r in first} == set(range(max(r[1] for r in first) + 1)) and first == again
     assert source_mix.plan_mix(docs.limit(0)).count() == 0
+    clashing = docs.withColumns({"_source": F.col("source"), "_key": F.lit("k"), "place": F.lit("p"), "_row": F.lit(1)})
+    kept = source_mix.mixed_rows(clashing, **options)
+    assert kept.columns == clashing.columns and kept.count() == len(first)
+    assert {(r.shard, r.place, r._key, r._row) for r in kept.collect()} == {(7, "p", "k", 1)}
+    assert all(r._source == r.source for r in kept.select("source", "_source").collect())
 
 
-def brute_top(vectors, asks, k):
-    out = set()
-    for q in (i for i in vectors if asks(i)):
-        scored = sorted((-int(np.dot(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
-        out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)}
-    return out
+def test_packing_ignores_clashing_columns(documents, tokenizer_path):
+    docs = documents((1, "a b c"), (2, "d")).selectExpr("*", "99L as length", "'x' as piece", "0 as offset")
+    placed = packing.pack(docs, tokenizer_path=tokenizer_path, end_id=1).collect()
+    assert {(r.doc_id, r.piece) for r in placed} == {(1, 0), (2, 0)} and len({r.sequence_id for r in placed}) == 1
+
+
+def brute_top(rows, asks, k):
+    out = []
+    for at, (q, vector) in enumerate(rows):
+        if asks(q):
+            scored = sorted((-int(np.dot(vector, v)), i) for n, (i, v) in enumerate(rows) if n != at and len(v) == len(vector))
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(out)
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ball_tree, "SHARD_VALUES", 1500)
-    monkeypatch.setattr(ball_tree, "BLOCK_VALUES", 120)
+    monkeypatch.setattr(ball_tree, "WAVE_VALUES", 240)
     rng = np.random.default_rng(6)
     vectors = {i: np.floor(8 * rng.normal(size=6)) for i in range(900)}
     vectors |= {i: np.full(6, 3.0) for i in range(900, 1300)}  # one vector many times
     vectors |= {2000 + i: np.floor(8 * rng.normal(size=3)) for i in range(5)}
     rows = [(i, v.tolist()) for i, v in vectors.items()]
-    bad = [(1, vectors[1].tolist()), (3000, None), (3020, [1.0, None, 2.0]), (3040, [1.0, float("nan")]), (3060, []), (None, [1.0] * 6), (3080, [float("inf")] * 6)]
+    # Ids that come twice: with one vector, with another one, and as a query.
+    rows += [(1, vectors[1].tolist()), (2, [40.0] * 6), (20, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]), (40, vectors[40].tolist())]
+    bad = [(3000, None), (3020, [1.0, None, 2.0]), (3040, [1.0, float("nan")]), (3060, []), (None, [1.0] * 6), (3080, [float("inf")] * 6)]
     frame = spark.createDataFrame(rows + bad, "vec_id long, vector array<double>").repartition(3)
-    got = {tuple(r) for r in ball_tree.top_k(frame, F.col("vec_id") % 20 == 0, 7).collect()}
-    assert got == brute_top(vectors, lambda i: i % 20 == 0, 7)
+    got = sorted(tuple(r) for r in ball_tree.top_k(frame, F.col("vec_id") % 20 == 0, 7).collect())
+    assert got == brute_top(rows, lambda i: i % 20 == 0, 7)
     assert ball_tree.top_k(frame.limit(0), F.col("vec_id") % 20 == 0, 7).count() == 0
 
 
