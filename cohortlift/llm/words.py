@@ -101,25 +101,36 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = _SLICE_BYTES) -> Iterator[Texts]:
-    """The rows of a text column, nulls as empty texts, in slices of about ``limit`` bytes."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """The rows of a text column, nulls as empty texts, in slices of about ``limit`` bytes.
+
+    The column's own buffers are read: only a slice that holds nulls is copied.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not len(column):
-        return
-    _, offset_buffer, data_buffer = column.buffers()
-    offsets = np.frombuffer(offset_buffer, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(data_buffer, dtype=np.uint8) if data_buffer else np.zeros(0, dtype=np.uint8)
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string())
+    edges, _ = _buffers(column)
     at = 0
     while at < len(column):
-        upto = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
+        upto = int(np.searchsorted(edges, edges[at] + limit, side="right")) - 1
         upto = min(max(upto, at + 1), len(column))
-        yield Texts(at, data[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at])
+        part = column.slice(at, upto - at)
+        offsets, data = _buffers(pc.fill_null(part, "") if part.null_count else part)
+        offsets = offsets.astype(np.int64)
+        yield Texts(at, data[offsets[0] : offsets[-1]], offsets - offsets[0])
         at = upto
 
 
+def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the rows of a string array begin and end, and the bytes they lie in; neither is a copy."""
+    kind = np.int32 if pa.types.is_string(column.type) else np.int64
+    _, offset_buffer, data_buffer = column.buffers()
+    if not len(column):
+        return np.zeros(1, dtype=kind), np.zeros(0, dtype=np.uint8)
+    offsets = np.frombuffer(offset_buffer, dtype=kind)[column.offset : column.offset + len(column) + 1]
+    return offsets, np.frombuffer(data_buffer, dtype=np.uint8) if data_buffer else np.zeros(0, dtype=np.uint8)
+
+
 def word_counts(column: pa.Array) -> np.ndarray:
     """Number of words in each row."""
     parts = [np.diff(texts.spans()[2]) for texts in text_slices(column)]
