@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cohortlift.llm.bitmaps import Bitmap
 from cohortlift.llm.components import components
 from cohortlift.llm.words import mix, shingle_sets, text_slices
 from cohortlift.llm.staging import Stages
@@ -32,6 +33,8 @@ from cohortlift.operators.pinning import stage
 #: corpus, within these bounds.
 SKETCH_LEAST, SKETCH_MOST = 1 << 18, 1 << 25
 _SKETCH_BLOCK = 1 << 16
+#: Copies from which a class is dealt over ``SALTS`` tasks where it is joined.
+LARGE_CLASS, SALTS = 512, 32
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
 
 _SKETCH_SCHEMA = "block int, counts binary"
@@ -85,27 +88,6 @@ def _gathered(parts: DataFrame, slots: int) -> np.ndarray:
     return counts.reshape(-1)
 
 
-def _id_slots(ids: np.ndarray, slots: int) -> np.ndarray:
-    """The two filter slots of each doc_id, one row each."""
-    ids = ids.astype(np.int64).view(np.uint64)
-    return (np.stack([mix(ids ^ _SEEDS[0]), mix(ids ^ _SEEDS[1])]) & np.uint64(slots - 1)).astype(np.int64)
-
-
-def _node_filter(pairs: DataFrame) -> np.ndarray:
-    """A Bloom filter of the pairs' documents, of bounded size: it lets a scan of all texts pass on hardly
-    more than those wanted, without shuffling the others; the joins after it are exact."""
-    slots = _slots_for(pairs.count())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, dtype=np.int32)
-        for batch in batches:
-            for name in ("u", "v"):
-                counts[_id_slots(batch.column(name).to_numpy(), slots)] = 1
-        yield from _blocks(counts)
-
-    return _gathered(pairs.select("u", "v").mapInArrow(run, _SKETCH_SCHEMA), slots) > 0
-
-
 def frequency_classes(docs: DataFrame, width: int) -> np.ndarray:
     """For each sketch slot, how rare its tokens are: 0 up to the mean count of a slot, then a class for
     every quarter of a doubling of the standard errors above it.
@@ -171,14 +153,11 @@ def _prefixes(
     return parts
 
 
-def _bodies(width: int, num: int, den: int, shared, wanted):
+def _bodies(width: int, num: int, den: int, shared):
     """The texts of wanted documents with their prefixes under the second and third order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
-        held = np.unpackbits(np.frombuffer(zlib.decompress(wanted.value), dtype=np.uint8)).astype(bool)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array(held[_id_slots(ids, len(held))].all(axis=0)))
             for texts in text_slices(batch.column("text")):
                 sets = list(shingle_sets(texts, width))
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -220,7 +199,7 @@ def _pairs(rows: DataFrame, spread: int, num: int, den: int) -> tuple[DataFrame,
     """Pivots of each group (the highest-ranked node under each of ``spread`` salts), and their pairs
     with members of other components that the positions of the shared token do not rule out."""
     salt = F.pmod(F.xxhash64("node"), F.lit(spread))
-    pivots = rows.groupBy("token", salt.alias("salt")).agg(F.max_by("node", "rank").alias("node")).drop("salt")
+    pivots = rows.groupBy("token", salt.alias("salt")).agg(F.max_by("node", F.struct("rank", "node")).alias("node")).drop("salt")
     left = rows.join(pivots, ["token", "node"]).select(
         "token", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("pos").alias("pp"),
         F.col("component").alias("pc"),
@@ -276,14 +255,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     # Copies are one node; the sets' sizes and two 64-bit sums tell them apart from all other sets.
     key = ["n_shingles", "key_a", "key_b"]
     linkable = features.where("n_shingles > 0 and doc_id is not null")
-    classes = linkable.groupBy(*key).agg(F.min("doc_id").alias("class_id"))
+    classes = tables.write(
+        linkable.groupBy(*key).agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies")), "class-keys")
+    large = Bitmap(classes.where(F.col("copies") >= LARGE_CLASS), *key)
+    salted = _spread(large.marked(linkable.select("doc_id", *key), "_large", *key), "doc_id")
+    members = salted.join(_repeated(large.marked(classes, "_large", *key)), [*key, "_salt"])
+    alone = features.where("n_shingles = 0 or doc_id is null")
     members = stage(
-        features.select("doc_id", *key).join(classes, key, "left").select(
-            "doc_id", "n_shingles",
-            F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id"))
-            .otherwise(F.col("doc_id")).alias("class_id"),
-        ),
-        "classes",
+        members.select("doc_id", "n_shingles", "class_id").unionByName(
+            alone.select("doc_id", "n_shingles", F.col("doc_id").alias("class_id"))), "classes",
     )
     heads = linkable.join(
         classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", *key], "left_semi"
@@ -311,8 +291,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         pivots, pairs = _pairs(rows, spread, num, den)
         pairs = tables.write(pairs if checked is None else pairs.join(checked, ["u", "v"], "left_anti"), "candidates")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        wanted = spark.sparkContext.broadcast(zlib.compress(np.packbits(_node_filter(pairs)).tobytes(), 1))
-        bodies = docs.where("doc_id is not null").mapInArrow(_bodies(width, num, den, shared, wanted), _BODY_SCHEMA)
+        # Only texts that a pair asks for leave the JVM, and none is shuffled to find them.
+        asked = tables.write(
+            pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "asked")
+        wanted = Bitmap(asked, "doc_id").marked(docs.where("doc_id is not null"), "_wanted", "doc_id")
+        bodies = wanted.where("_wanted").drop("_wanted").mapInArrow(_bodies(width, num, den, shared), _BODY_SCHEMA)
         links = tables.write(_links(pairs, tables.write(bodies, "bodies"), width, num, den), "verified")
         tables.drop("bodies")
         if not links.isEmpty():
@@ -324,12 +307,27 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
         ).withColumn("component", F.coalesce("root", "node")).drop("root")
         rows = _open(left, num, den, tables)
         spread *= 64
+    # Classes of many copies are dealt over several tasks again.
+    heads = stage(classes.where(F.col("copies") >= LARGE_CLASS).select("class_id"), "large-classes")
     tables.drop()  # the result reads the classes and components alone
-    return members.join(
-        found.select(F.col("node").alias("class_id"), F.col("component").alias("root")), "class_id", "left"
+    large = Bitmap(heads, "class_id", seed=1)
+    roots = found.select(F.col("node").alias("class_id"), F.col("component").alias("root"))
+    return _spread(large.marked(members, "_large", "class_id"), "doc_id").join(
+        _repeated(large.marked(roots, "_large", "class_id")), ["class_id", "_salt"], "left"
     ).select("doc_id", "n_shingles", "class_id", F.coalesce("root", "class_id").alias("component_id"))
 
 
+def _spread(rows: DataFrame, by: str) -> DataFrame:
+    """Rows with ``_salt``: 0, or one of ``SALTS`` for those that ``_large`` marks."""
+    return rows.withColumn("_salt", F.when(F.col("_large"), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("long")).drop("_large")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The other side of such a join: a marked row stands once under each salt."""
+    salts = F.when(F.col("_large"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("_salt", F.explode(salts.cast("array<bigint>"))).drop("_large")
+
+
 def _links(pairs: DataFrame, bodies: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Pairs whose prefixes meet under the other orders too and whose whole texts are alike."""
     def side(name: str, *columns: str) -> DataFrame:
