@@ -4,7 +4,7 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is writte
 next one's docs.  All but the last return the columns of ``documents``.
 
 1. quality: the attention model learnt from ``labels`` scores every text; those under 0.5 go.
-2. near_duplicates: five-word shingles, similarity 0.8; the least doc_id of each component stays.
+2. near_duplicates: five-word shingles, similarity 0.8; one document of each component stays.
 3. secrets: every secret span is replaced by a mask; no document goes.
 4. mix: sources get their target shares; a document drawn twice stands twice, one not drawn goes.
 5. packing: the drawn documents' token ids fill sequences of 4096.
@@ -17,8 +17,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source_mix
+from cohortlift.llm.bitmaps import Bitmap
 from cohortlift.llm.queries import tokenizer_file
 from cohortlift.llm.shipping import ship
+from cohortlift.llm.staging import Stages
 from cohortlift.session import shared_dir
 
 
@@ -27,21 +29,41 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_mil.train(quality_mil.training_rows(docs, labels, "quality", 3, 1))
-    return quality_mil.score(docs, model).where("score >= 0.5").select(*docs.columns)
+    mark = _fresh(docs, "score")
+    return quality_mil.score(docs, model, mark).where(F.col(mark) >= 0.5).select(*docs.columns)
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as set it apart from the columns of ``docs``."""
+    return name if name not in map(str.lower, docs.columns) else _fresh(docs, f"_{name}")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component; rows with a null doc_id or without words are no one's copies and stay."""
+    """One row of each component.
+
+    A document is a row's doc_id and text: rows that share only a doc_id are different documents, and of rows that
+    share both one stays.  Rows with a null doc_id or without words are no one's copies and stay.
+    """
     ship(spark)
-    found = ngram_join.jaccard_components(docs, width=5, num=4, den=5)
-    keep = found.where("doc_id = component_id and n_shingles > 0").select("doc_id").distinct()
-    empty = found.where("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    known = docs.where(F.col("doc_id").isNotNull())
-    kept = known.where(worded).join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    wordless = known.where(~worded).join(empty, "doc_id", "left_semi")
-    out = kept.unionByName(wordless).unionByName(docs.where(F.col("doc_id").isNull()))
-    return out.select(*docs.columns)
+    tables = Stages(spark, "near-duplicates")
+    key, mark = _fresh(docs, "key"), _fresh(docs, "mark")
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = tables.write(ngram_join.jaccard_components(rows, width=5, num=4, den=5).where("n_shingles > 0"), "components")
+    # What goes, and what stays once of several rows; all else stays without being looked up.
+    special = tables.write(
+        found.groupBy("doc_id").agg(F.first("component_id").alias("component_id"), F.count("*").alias("n"))
+        .where("doc_id <> component_id or n > 1")
+        .select(F.col("doc_id").alias(key), (F.col("doc_id") == F.col("component_id")).alias(mark)), "special",
+    )
+    asked = _fresh(docs, "asked")
+    rows = Bitmap(special, key).marked(keyed, asked, key)
+    looked_up = rows.where(asked).join(special, key, "left")
+    once = looked_up.where(F.col(mark)).dropDuplicates([key])
+    out = rows.where(~F.col(asked)).select(*docs.columns)
+    for part in (looked_up.where(F.col(mark).isNull()), once):
+        out = out.unionByName(part.select(*docs.columns))
+    return out
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +76,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every draw, dealt into the mixture's shards and shuffled in each."""
     ship(spark)
     # The mixture's rows lie shard by shard, in their shuffled places, from its last window on.
-    return source_mix.mix(docs).select(*docs.columns)
+    return source_mix.mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
