@@ -16,7 +16,7 @@ document and its edited text are signed together: a word that both hold is drawn
 
 from __future__ import annotations
 
-import json
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -43,9 +43,10 @@ def _quantiles(u: np.ndarray) -> np.ndarray:
     return (low + high) / 2
 
 
-def _literal(values: np.ndarray) -> Column:
+def _literal(values: Sequence, kind: str = "double") -> Column:
     """Numbers as one constant; Spark folds the text away before anything runs."""
-    return F.expr("cast(split('{}', ' ') as array<double>)".format(" ".join(f"{v:.12g}" for v in values)))
+    texts = (f"{v:.12g}" if kind == "double" else str(v) for v in values)
+    return F.expr("cast(split('{}', ' ') as array<{}>)".format(" ".join(texts), kind))
 
 
 @lru_cache(maxsize=1)
@@ -180,14 +181,15 @@ def _sharded(docs: DataFrame) -> DataFrame:
     shards = max(1, min(-(-n // SHARD_ROWS), MAX_SHARDS))
     if shards == 1:
         return docs.withColumn("shard", F.lit(0))
-    cuts = F.expr(f"transform(sequence(1, {shards - 1}), i -> i / {shards}D)")
+    cuts = _literal(np.arange(1, shards) / shards)
     bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", cuts, 10 * shards)).first()[0] or []))
+    if not bounds:
+        return docs.withColumn("shard", F.lit(0))
     wide = max(1, round(len(bounds) ** 0.5))
-    groups = [bounds[at : at + wide] for at in range(0, len(bounds), wide)] or [[]]
-    nested = F.expr(f"from_json('{json.dumps(groups)}', 'array<array<bigint>>')")
-    heads = F.transform(nested, lambda g: F.get(g, F.lit(0)))
+    heads, every = (_literal(b, "bigint") for b in (bounds[::wide], bounds))
     group = F.greatest(F.size(F.filter(heads, lambda b: b < F.col("doc_id"))) - 1, F.lit(0))
-    below = F.size(F.filter(F.get(nested, F.col("_group")), lambda b: b < F.col("doc_id")))
+    among = F.slice(every, F.col("_group") * wide + 1, F.lit(wide))
+    below = F.size(F.filter(among, lambda b: b < F.col("doc_id")))
     placed = docs.withColumn("_group", F.when(F.col("doc_id").isNotNull(), group).otherwise(0))
     shard = F.when(F.col("doc_id").isNotNull(), F.col("_group") * wide + below).otherwise(0)
     return placed.withColumn("shard", shard.cast("int")).drop("_group")

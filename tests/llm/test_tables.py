@@ -122,7 +122,9 @@ def test_products_beyond_doubles_are_exact():
     assert int(ball_tree._products(left, right)[0, 0]) == 2**31 * (2**31 - 1) + 3
 
 
-def test_fingerprints_estimate_generalised_jaccard(spark, documents):
+@pytest.mark.parametrize("shard_rows", [1024, 9])
+def test_fingerprints_estimate_generalised_jaccard(spark, documents, monkeypatch, shard_rows):
+    monkeypatch.setattr(weighted_sampling, "SHARD_ROWS", shard_rows)
     rng = np.random.default_rng(8)
     rows = [(i, " ".join(f"v{rng.integers(60)}" for _ in range(rng.integers(1, 200)))) for i in range(150)]
     rows += [(200, None), (201, ""), (202, rows[5][1]), (203, rows[5][1]), (204, "é" * 7), (204, "é" * 7), (None, "z z")]
@@ -146,6 +148,15 @@ def test_fingerprints_estimate_generalised_jaccard(spark, documents):
     assert weighted_sampling.edited_fingerprints(documents((1, "a")).limit(0)).count() == 0
 
 
+def test_quantile_tables_follow_the_gamma_distribution():
+    r, log_c = weighted_sampling._tables()
+    assert np.mean(r) == pytest.approx(2, abs=2e-3) and np.var(r) == pytest.approx(2, abs=3e-2)
+    for level in range(4):
+        u = (np.arange(4096) + 0.5) / 4096 / 16.0**level
+        c = np.exp(log_c[4096 * level : 4096 * (level + 1)])
+        assert np.allclose(-np.expm1(-c) - c * np.exp(-c), u, rtol=1e-6)
+
+
 def test_registered_fingerprints_tell_likenesses_apart(spark, documents):
     # Neighbours share one of their two blocks of words, and words of different pairs are different.
     rows = [(i, " ".join(f"b{k % 120}w{n}" for k in (i, i + 1) for n in range(60))) for i in range(120)]
