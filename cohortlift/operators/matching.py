@@ -48,11 +48,12 @@ def ipw_raw(features: DataFrame) -> DataFrame:
 
 
 def match_ipw(features: DataFrame) -> DataFrame:
-    """Inverse-probability weights cut at the study's 0.99 quantile, both arms together."""
+    """Inverse-probability weights cut at the study's 0.99 quantile, both arms together; a row without a score
+    has no weight and takes part in no sum."""
     weighted = ipw_raw(features)
     cuts = exact_quantile(weighted, ["study_id"], "weight", TRIM_QUANTILE, "_cut")
     return weighted.join(cuts, "study_id", "left").selectExpr(
-        *_features_of(weighted), "least(weight, _cut) as weight", f"{_UNIT} as unit_id"
+        *_features_of(weighted), "if(weight is null, null, least(weight, _cut)) as weight", f"{_UNIT} as unit_id"
     )
 
 
@@ -63,7 +64,7 @@ def match_knn(features: DataFrame) -> DataFrame:
     a shard the nearest control on either side is a running maximum and minimum; controls of
     the neighbouring shards come from a table of one row per shard and study.  The control's
     columns travel with its score, so no join has to follow a control that is matched often.
-    Ties go to the least patient_id.
+    Ties go to the least patient_id.  Rows without a score are in no pair; ``unscored`` counts them.
     """
     scored = with_propensity(features)
     names = _features_of(scored)
@@ -119,6 +120,14 @@ def match_knn(features: DataFrame) -> DataFrame:
     )
 
 
+def unscored(features: DataFrame) -> DataFrame:
+    """Rows per study and arm that nearest matching cannot place, for want of a covariate or a fitted score."""
+    scored = with_propensity(features)
+    return scored.groupBy("study_id", "treatment").agg(
+        F.count("*").alias("n"), F.count_if(F.col("ps").isNull()).alias("n_unscored")
+    )
+
+
 def matched_counts(matched: DataFrame) -> DataFrame:
     """Rows per arm after matching."""
     return matched.groupBy("study_id").agg(

@@ -96,11 +96,12 @@ def _newton_step(rows: DataFrame, state: DataFrame, tol: float) -> DataFrame:
 
 
 def score(features: DataFrame, coefficients: DataFrame) -> DataFrame:
-    """Add the clipped propensity score ``ps``."""
+    """Add the clipped propensity score ``ps``; null where a covariate is missing or the study has no fit."""
     eta = " + ".join(["b0", *(f"b{i} * ({_z(c)})" for i, c in enumerate(COVARIATES, 1))])
     return features.join(coefficients, "study_id").selectExpr(
         *features.columns,
-        f"least(greatest(1D / (1D + exp(-({eta}))), {CLIP[0]}), {CLIP[1]}) as ps",
+        # Without the test a missing score would be clipped to the lower end.
+        f"if(({eta}) is null, null, least(greatest(1D / (1D + exp(-({eta}))), {CLIP[0]}), {CLIP[1]})) as ps",
     )
 
 

@@ -88,6 +88,23 @@ def study_count(cohort: DataFrame) -> DataFrame:
     )
 
 
+#: Logarithm of a distinct-count sketch's size; its standard error is about 1.04 / sqrt(2 ** LOG_SIZE).
+LOG_SIZE = 12
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], column: str, log_size: int = LOG_SIZE) -> DataFrame:
+    """A distinct-count sketch of ``column`` per ``keys``, small enough to be stored beside results."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, F.lit(log_size)).alias("sketch"))
+
+
+def approx_distinct(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimated distinct values per ``keys`` from stored sketches, without another look at the rows.
+
+    Sketches of any finer grouping merge; nulls count nowhere.
+    """
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_approx"))
+
+
 def metric_rows(results: DataFrame) -> DataFrame:
     """Estimate and interval as one row per metric."""
     return results.selectExpr(

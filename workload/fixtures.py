@@ -77,6 +77,13 @@ def pe_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phase_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as studies of the models that the phased studies above leave out."""
+    return pe_cohorts(spark, sf_dir).withColumn(
+        "study_id", F.expr("case study_id when 'PE_ATT' then 'PF_DID' when 'PE_RANK' then 'PF_SIGN' else 'PF_FALL' end")
+    )
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     yearly = (
         _read(spark, sf_dir, "orders")
@@ -143,6 +150,17 @@ from (select distinct case c_custkey % 3 when 0 then 'PE_ATT' when 1 then 'PE_RA
              as study_id from customer) studies
 """
 
+PHASE_CONFIG_SQL = """
+select study_id, concat('Program ', study_id) as study_name,
+       case study_id when 'PF_DID' then 'did' when 'PF_SIGN' then 'sign_test' else 'wilcoxon' end as model_type,
+       study_id = 'PF_DID' as needs_matching, case when study_id = 'PF_SIGN' then '' else 'exact' end as matching_method,
+       case when study_id = 'PF_FALL' then 'model_did' else 'None' end as fallback_model,
+       cast(12 as bigint) as baseline_months, cast(6 as bigint) as performance_months,
+       0.6e0 as min_quality_score, '' as experiment_name
+from (select distinct case c_custkey % 3 when 0 then 'PF_DID' when 1 then 'PF_SIGN' else 'PF_FALL' end
+             as study_id from customer) studies
+"""
+
 #: What follows each phase, per study; for both engines.
 PHASES_SQL = """
 select study_id, phase, nextphase from (
@@ -189,3 +207,7 @@ def pe_config(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def phase_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PHASES_SQL.replace("from phase_config", "from {phase_config}"), phase_config=pe_config(spark, sf_dir))
+
+
+def phase_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _config(spark, sf_dir, PHASE_CONFIG_SQL)

@@ -422,7 +422,43 @@ def _bootstrap(
     )
 
 
+def _resampled(prefix: str, source: str, scheme: str) -> None:
+    """``{prefix}_resampled``: the rows of each replicate of ``{prefix}``, weights times how often they are drawn."""
+    count = " + ".join(f"(u >= t{k})::int" for k in range(13))
+    counts = (
+        f"select study_id, unit_id, rep, {count} as k from (select r.*, rep, (a * x1 + b * x2 + c) % {PRIME} as u"
+        f" from {prefix}_rows r, {prefix}_reps) v join {prefix}_limits using (study_id, pool)"
+    )
+    if scheme == "fixed_n":
+        counts = (
+            f"select study_id, unit_id, c.rep, k from ({counts}) c anti join (select study_id, rep from {prefix}_short"
+            f" where drawn > n) o using (study_id, rep) union all select study_id, unit_id, rep, 1 from {prefix}_draws"
+            f" join {prefix}_index using (study_id, pool, idx)"
+        )
+    _CTES[f"{prefix}_resampled"] = (
+        f"select s.* replace (s.weight * k as weight), rep from {source} s join ({counts}) c"
+        " on c.study_id = s.study_id and c.unit_id = s.unit_id where k > 0"
+    )
+
+
+def _interval(prefix: str, source: str, covariates: tuple[str, ...]) -> str:
+    """Adjusted effects with intervals, every replicate fitted from its own rows."""
+    fitted = _regression(f"{prefix}_resampled", covariates, "study_id, rep")
+    return (
+        "select study_id, round(p.estimate, 4) as estimate, coalesce(n_reps, 0) as n_reps,"
+        " round(coalesce(std_error, 0), 4) as std_error, round(coalesce(ci_low, p.estimate), 4) as ci_low,"
+        f" round(coalesce(ci_high, p.estimate), 4) as ci_high from ({_regression(source, covariates, 'study_id')}) p"
+        " left join (select study_id, count(*) as n_reps, stddev_pop(estimate) as std_error,"
+        " quantile_cont(estimate, 0.025) as ci_low, quantile_cont(estimate, 0.975) as ci_high"
+        f" from ({fitted}) f where estimate is not null group by study_id) c using (study_id)"
+    )
+
+
 _DID = "post_outcome - pre_outcome"
+_bootstrap("ig", "g_exact", "post_outcome", by_arm=True, seed=5, scheme="poisson")
+_resampled("ig", "g_exact", "poisson")
+_bootstrap("im", "g_stratified", "post_outcome", by_arm=False, seed=9)
+_resampled("im", "g_stratified", "fixed_n")
 _CTES["x_outcomes"] = f"""
 select g.*, case model_method when 'did' then {_DID} when 'lme_mixed' then {_DID}
             when 'lme_growth' then slope else post_outcome end as y
@@ -606,6 +642,24 @@ join ({_arms('x_pe_att')}) a using (study_id)
 where study_id in (select study_id from x_pe_status where quality_passed)"""
 
 
+# The same rows under the phased studies of the other models.
+_CTES["x_phase_config"] = fx.PHASE_CONFIG_SQL
+_CTES["x_pf"] = (
+    "select * replace (case study_id when 'PE_ATT' then 'PF_DID' when 'PE_RANK' then 'PF_SIGN' else 'PF_FALL' end"
+    " as study_id) from x_pe"
+)
+_CTES["x_pf_diffs"] = "select study_id, patient_id, post_outcome - pre_outcome as d from x_pf where treatment = 1"
+for _name in ("x_sign", "x_median", "x_skew"):
+    _CTES[f"{_name}_pf"] = _CTES[_name].replace("x_diffs", "x_pf_diffs")
+_CTES["x_pf_global"] = _CTES["x_pe_global"].replace("x_pe ", "x_pf ")
+_matchings("f", "x_pf_global")
+_CTES["x_pf_did"] = (
+    f"select {COHORT}, weight, unit_id from f_exact where study_id = 'PF_DID' union all"
+    f" select {COHORT}, 1.0e0 as weight, concat('p:', patient_id) as unit_id from x_pf_global where study_id = 'PF_FALL'"
+    " and study_id in (select study_id from x_skew_pf where abs(skew) > 1)"
+)
+_bootstrap("bd", "x_pf_did", _DID, by_arm=False, seed=0)
+
 # --- one oracle per query ------------------------------------------------------------------
 
 _oracle("config_scan", "select * from x_modular")
@@ -646,6 +700,8 @@ _oracle("result_rows", "select study_id, cast(null as varchar) as run_ts, cast(n
         " cast(null as bigint) as data_version, cast(null as varchar) as job_run_id from x_naive")
 _oracle("assign_ids", "select study_id, patient_id as source_id, row_number() over (order by study_id, patient_id)"
         " + (select max(patient_id) from x_cohorts) as patient_id from x_panel where period = 0")
+_oracle("ids_by_name", "select study_id, patient_id as source_id, row_number() over (order by study_id desc, patient_id)"
+        " + (select max(patient_id) from x_cohorts) as patient_id from x_panel where period = 0")
 _oracle("config_defaults", "select study_id, 'standard' as model_family, true as active,"
         " cast(3 as bigint) as performance_months from x_config")
 _oracle("data_stamp", "select * from x_stamp_cohort")
@@ -705,6 +761,8 @@ _MATCHED = ("study_id, patient_id, treatment, round(post_outcome, 4) as post_out
             " unit_id")
 for _method in ("exact", "stratified", "knn", "ipw"):
     _oracle(f"match_{_method}", f"select {_MATCHED} from g_{_method}")
+_oracle("unscored_rows", "select study_id, treatment, count(*) as n, count(*) filter (risk_score is null) as n_unscored"
+        " from x_pe group by study_id, treatment")
 _oracle("ipw_raw", "select study_id, patient_id, round(weight, 4) as weight from g_raw")
 _oracle("match_none", "select study_id, patient_id, treatment, round(post_outcome, 4) as post_outcome,"
         " 1.0e0 as weight, concat('p:', patient_id) as unit_id from x_pe_global")
@@ -745,6 +803,8 @@ for _key, _prefix in (("by_arm", "ba"), ("rows", "br"), ("panel", "bp"), ("poiss
 _oracle("bootstrap_ci", "select study_id, round(estimate, 4) as estimate, n_reps, round(std_error, 4) as std_error,"
         f" round(ci_low, 4) as ci_low, round(ci_high, 4) as ci_high from ({_contrast('g_stratified', _DID)}) p"
         " join ba_ci using (study_id)")
+_oracle("interval_gee", _interval("ig", "g_exact", COVARIATES))
+_oracle("interval_mixed", _interval("im", "g_stratified", ("pre_outcome", *COVARIATES)))
 _oracle("skew_check", "select study_id, n_treated, round(skew, 4) as skew from x_skew")
 _oracle("wilcoxon", "select study_id, n_treated, n, round(w_plus, 6) as w_plus, round(p_value, 6) as p_value from x_signed_rank")
 _oracle("sign_test", "select study_id, n_treated, n_pos, n_neg, round(p_value, 6) as p_value from x_sign")
@@ -771,6 +831,17 @@ _oracle("evaluate_phases", "select 'run-1' as run_id, study_id, 'att' as model_m
         f" cast(n_control as int) as n_control, 'dev' as pe_environment, '{RUN_TS}' as ts from x_pe_effect union all"
         " select 'run-1', study_id, model_method, 'none', round(estimate, 3), null, null, null, round(p_value, 5),"
         f" cast(n_treated as int), null, 'dev', '{RUN_TS}' from x_tests")
+_oracle("evaluate_phase_models", "select 'run-1' as run_id, study_id, 'did' as model_method,"
+        " case study_id when 'PF_DID' then 'exact' else 'none' end as matching_method,"
+        " round(estimate, 3) as estimate, round(std_error, 3) as std_error, round(ci_low, 3) as ci_low,"
+        " round(ci_high, 3) as ci_high, cast(null as double) as p_value, cast(n_treated as int) as n_treated,"
+        f" cast(n_control as int) as n_control, 'dev' as pe_environment, '{RUN_TS}' as ts,"
+        " case study_id when 'PF_DID' then 'feature_engineering -> matching -> model_did'"
+        " else 'feature_engineering -> model_wilcoxon -> model_did' end as trace"
+        f" from ({_contrast('x_pf_did', _DID)}) p join bd_ci using (study_id) join ({_arms('x_pf_did')}) a using (study_id)"
+        " union all select 'run-1', study_id, 'sign_test', 'none', round(estimate, 3), null, null, null, round(p_value, 5),"
+        f" cast(n_treated as int), null, 'dev', '{RUN_TS}', 'feature_engineering -> model_sign_test'"
+        " from x_sign_pf join x_median_pf using (study_id) where study_id = 'PF_SIGN'")
 _STEP = ("'run-1' as run_id, study_id, {id} as step_id, {name} as step_name, {status} as status, {text} as pass_description,"
          " {error} as error_msg, cast({n_input} as int) as n_input, cast(n_treated as int) as n_treated,"
          " cast({n_columns} as int) as n_columns, true as timed, 'dev' as pe_environment,"
@@ -820,6 +891,7 @@ _oracle("interpretation", f"select study_id, 'Estimate ' || {_fmt('estimate', 1)
         f" '; matching/weighting shifted the estimate by ' || {_fmt('estimate - naive_estimate', 1)} ||"
         " ', removing confounding bias. n=' || n_treated || ' treated / ' || n_control || ' control.' as interpretation"
         " from x_latest")
+_oracle("interpretation_plain", _ORACLES["interpretation"].replace(", removing confounding bias. n=", ". n="))
 _oracle("matching_shift", "select study_id, model_method, estimate, naive_estimate,"
         " round(estimate - naive_estimate, 3) as shift from x_results")
 _oracle("cohort_summary", "select study_id, treatment, count(*) as n, round(avg(risk_score), 2) as avg_risk,"
@@ -828,5 +900,7 @@ _oracle("panel_summary", "select study_id, treatment, period, count(*) as n, rou
         " from x_panel group by study_id, treatment, period")
 _oracle("results_listing", "select source, study_id, model_method, estimate from x_results")
 _oracle("study_count", "select count(distinct study_id) as n_studies, count(*) as n_rows from x_cohorts")
+_oracle("approx_distinct", "select study_id, count(distinct patient_id) as n_exact, true as is_near from x_cohorts"
+        " group by study_id union all select 'all', count(distinct patient_id), true from x_cohorts")
 _oracle("metric_rows", "select study_id, unnest(['estimate', 'ci_low', 'ci_high']) as metric,"
         " unnest([estimate, ci_low, ci_high]) as value from x_results where model_method = 'did'")

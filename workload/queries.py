@@ -21,7 +21,7 @@ from cohortlift.plans import record
 from cohortlift.plans.dispatch import dispatch_features, dispatch_matching, dispatch_model
 from cohortlift.plans.registry import Registry
 from cohortlift.session import shared_dir
-from cohortlift.sources import manifests, publish, sinks, stamps, tables
+from cohortlift.sources import ids, manifests, publish, sinks, stamps, tables
 from cohortlift.sources.studies import StudyTable
 from workload import fixtures as fx
 
@@ -253,6 +253,21 @@ def assign_ids(spark, sf_dir):
     ).select("study_id", "source_id", "patient_id")
 
 
+@query
+def ids_by_name(spark, sf_dir):
+    """Two batches of patients appended to a table by its name, the first one twice."""
+    table = f"patients_{uuid.uuid4().hex}"
+    marks = f"{shared_dir(spark)}/marks/{uuid.uuid4().hex}"
+    incoming = fx.panel(spark, sf_dir).filter("period = 0").selectExpr("study_id", "patient_id as source_id")
+    (fx.cohorts(spark, sf_dir).selectExpr("study_id", "patient_id as source_id", "patient_id")
+     .write.option("path", f"{shared_dir(spark)}/tables/{table}").saveAsTable(table))
+    for study in ("LME_MIXED", "LME_GROWTH", "LME_MIXED"):
+        ids.append_batch(incoming.filter(F.col("study_id") == study), ["source_id"], table, study, marks)
+    rows = stage(spark.table(table).filter("study_id like 'LME%'"), "ids")
+    spark.sql(f"drop table {table}")
+    return rows
+
+
 @query
 def config_defaults(spark, sf_dir):
     return selection.with_defaults(fx.study_config(spark, sf_dir)).select(
@@ -478,6 +493,12 @@ def match_knn(spark, sf_dir):
     return _matched_rows(matching.match_knn(seg_features(spark, sf_dir)))
 
 
+@query
+def unscored_rows(spark, sf_dir):
+    """Rows without a risk score have no propensity score either."""
+    return matching.unscored(fx.pe_cohorts(spark, sf_dir))
+
+
 @query
 def ipw_raw(spark, sf_dir):
     return rounded(matching.ipw_raw(seg_features(spark, sf_dir)).select(*KEYED, "weight"))
@@ -615,6 +636,18 @@ def bootstrap_ci(spark, sf_dir):
     return rounded(boot.confidence(matched, "did", Bootstrap(seed=7, by_arm=True)))
 
 
+@query
+def interval_gee(spark, sf_dir):
+    matched = stage(matching.match_exact(seg_features(spark, sf_dir)), "boot")
+    return rounded(boot.confidence(matched, "gee", Bootstrap(seed=5, scheme="poisson")))
+
+
+@query
+def interval_mixed(spark, sf_dir):
+    matched = stage(matching.match_stratified(seg_features(spark, sf_dir)), "boot")
+    return rounded(boot.confidence(matched, "mixed", Bootstrap(seed=9, by_arm=False)))
+
+
 @query
 def skew_check(spark, sf_dir):
     return rounded(ranks.skewness(pe_differences(spark, sf_dir)))
@@ -691,6 +724,15 @@ def observed_steps(spark, sf_dir):
     return steps.filter("n_rows is not null and seconds > 0").select("step", "n_rows", "n_treated")
 
 
+@query
+def evaluate_phase_models(spark, sf_dir):
+    """Difference in differences as a phase, the sign test as a phase, a skewed study that falls back to the former."""
+    run = runs.evaluate_phases(
+        fx.phase_cohorts(spark, sf_dir), fx.phase_config(spark, sf_dir), run_id="run-1", run_ts=RUN_TS
+    )
+    return run.results.join(run.traces.select("study_id", "trace"), "study_id")
+
+
 # --- reporting -----------------------------------------------------------------------------
 
 @query
@@ -712,6 +754,15 @@ def interpretation(spark, sf_dir):
     return texts.select("study_id", "interpretation")
 
 
+@query
+def interpretation_plain(spark, sf_dir):
+    """The second wording of the interpretation."""
+    texts = report.insights(
+        simple_results(spark, sf_dir), fx.study_config(spark, sf_dir), RUN_TS, bias_note=False
+    )
+    return texts.select("study_id", "interpretation")
+
+
 @query
 def matching_shift(spark, sf_dir):
     rows = report.matching_shift(simple_results(spark, sf_dir))
@@ -740,6 +791,22 @@ def study_count(spark, sf_dir):
     return report.study_count(fx.cohorts(spark, sf_dir))
 
 
+@query
+def approx_distinct(spark, sf_dir):
+    """Distinct patients from stored sketches, by study and in all, against the exact counts."""
+    cohort = fx.cohorts(spark, sf_dir)
+    sketches = stage(report.distinct_sketches(cohort, ["study_id", "treatment"], "patient_id"), "sketches")
+    parts = []
+    for key in (F.col("study_id"), F.lit("all")):
+        exact = cohort.groupBy(key.alias("study_id")).agg(F.countDistinct("patient_id").alias("n_exact"))
+        near = report.approx_distinct(sketches.withColumn("study_id", key), ["study_id"])
+        parts.append(exact.join(near, "study_id"))
+    # Three standard errors.
+    return parts[0].unionByName(parts[1]).selectExpr(
+        "study_id", "n_exact", "abs(n_approx - n_exact) <= 0.05e0 * n_exact as is_near"
+    )
+
+
 @query
 def metric_rows(spark, sf_dir):
     return report.metric_rows(
