@@ -26,7 +26,7 @@ from cohortlift.operators.pinning import pin, stage
 
 SLOTS = 64
 #: Slots folded by one row of the generator.  More in one expression outgrow the JVM's compiler.
-LANE = 4
+LANE = 2
 #: Documents in a shard, shards in a task, and shards at most; beyond 2^28 documents shards grow.
 SHARD_ROWS, TASK_SHARDS, MAX_SHARDS = 1024, 4, 1 << 18
 #: Bits of the hash that draw r and c; the other 28 draw b.
@@ -86,51 +86,30 @@ def _value(t: str, k: int) -> Column:
     return F.floor(log_a * F.lit(float(1 << 20))) * F.lit(1 << 32) + mark
 
 
-def words(text: Column) -> Column:
-    """The words of a text as an array, separators being 0x20 and 0x09 to 0x0D."""
+def words(text: str) -> Column:
+    """The words of a text column as an array, with empty strings among them; separators are 0x20 and 0x09 to 0x0D."""
+    clean = F.coalesce(F.col(text), F.lit(""))
     for separator in "\t\n\x0b\x0c\r":
-        text = F.replace(text, F.lit(separator), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
-
-
-def _hashes(text: str, side: int) -> Column:
-    """Hashes of a text's words, the last bit telling the side, so that a word's runs of both sides meet."""
-    return F.transform(words(F.coalesce(F.col(text), F.lit(""))),
-                       lambda w: F.shiftleft(F.shiftrightunsigned(F.xxhash64(w), 1), 1) + F.lit(side))
+        clean = F.replace(clean, F.lit(separator), F.lit(" "))
+    return F.split(clean, " ")
 
 
 def signatures(texts: DataFrame, keys: list[str], left: str, right: str, slots: int = SLOTS) -> DataFrame:
-    """``keys``, ``_lane``, ``own`` and ``other``: 32-bit marks of ``LANE`` slots of both texts of a row, null for
-    a text without words.
+    """``keys``, ``own`` and ``other``: the marks of both texts of a row, null for a text without words.
 
-    Word hashes are sorted in their row, so that a run's length is the word's weight; every word of either text is
-    one row of a generator whose rows are folded by ``min`` without leaving their task's hash map.
+    ``keys`` tell rows apart and should be few and short.  Words are counted and slots folded by aggregations by
+    the keys: rows that are partitioned by one of them are not shuffled.
     """
-    hashed = texts.select(*keys, F.sort_array(F.concat(_hashes(left, 0), _hashes(right, 1))).alias("_h"))
-    ends = hashed.select(
-        *keys, "_h",
-        F.when(F.size("_h") > 0, F.filter(
-            F.sequence(F.lit(0), F.size("_h") - 1),
-            lambda i: (i == F.size("_h") - 1) | (F.get("_h", i) != F.get("_h", i + 1)),
-        )).alias("_ends"),
-    )
-    runs = ends.select(*keys, "_h", "_ends", F.posexplode_outer("_ends").alias("_at", "_end"))
-
-    def word(end: Column) -> Column:
-        return F.shiftrightunsigned(F.get("_h", end), 1)
-
-    before, after = F.get("_ends", F.col("_at") - 1), F.get("_ends", F.col("_at") + 1)
-    runs = runs.select(
-        *keys, word(F.col("_end")).alias("_word"), F.get("_h", F.col("_end")).bitwiseAND(F.lit(1)).alias("_side"),
-        (F.col("_end") - F.coalesce(before, F.lit(-1))).alias("_n"),
-        (word(before) == word(F.col("_end"))).alias("_again"),
-        F.when(word(after) == word(F.col("_end")), after - F.col("_end")).alias("_next"),
-    )
-    # Of a word that both texts hold, the first run speaks for both.
-    terms = runs.where(~F.coalesce(F.col("_again"), F.lit(False))).select(
-        *keys, "_word", F.ln(F.when(F.col("_side") == 0, F.col("_n")).cast("double")).alias("_own"),
-        F.ln(F.when(F.col("_side") == 0, F.col("_next")).otherwise(F.col("_n")).cast("double")).alias("_edit"),
-    )
+    # One generator for both texts: the words from place ``_from`` on are the right one's.
+    both = texts.select(*keys, words(left).alias("_left"), words(right).alias("_right"))
+    both = both.select(*keys, F.size("_left").alias("_from"), F.concat("_left", "_right").alias("_all"))
+    each = both.select(*keys, "_from", F.posexplode("_all").alias("_at", "_text"))
+    # Empty strings come under a null word, which has no draws; so a row without words is not lost.
+    named = each.select(*keys, (F.col("_at") < F.col("_from")).alias("_is_left"),
+                        F.when(F.col("_text") != "", F.xxhash64("_text")).alias("_word"))
+    terms = named.groupBy(*keys, "_word").agg(
+        F.count(F.when(F.col("_is_left"), F.col("_word"))).alias("_n"), F.count(F.when(~F.col("_is_left"), F.col("_word"))).alias("_m")
+    ).select(*keys, "_word", *(F.ln(F.nullif(n, F.lit(0)).cast("double")).alias(log) for n, log in (("_n", "_own"), ("_m", "_edit"))))
     lanes = terms.withColumn("_lane", F.explode(F.array(*(F.lit(k) for k in range(0, slots, LANE)))))
     # Step by step, so that no part of an expression is computed twice.
     lane = range(LANE)
@@ -147,20 +126,18 @@ def signatures(texts: DataFrame, keys: list[str], left: str, right: str, slots:
         *(F.min(f"_v{k}").alias(f"_own{k}") for k in lane), *(F.min(f"_w{k}").alias(f"_other{k}") for k in lane))
 
     def marks(side: str) -> Column:
-        return F.when(F.col(f"{side}0").isNotNull(), F.array(*(
-            F.col(f"{side}{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in lane)))
-
-    return folded.select(*keys, "_lane", marks("_own").alias("own"), marks("_other").alias("other"))
+        found = (F.shiftright(F.shiftleft(F.col(f"{side}{k}"), 32), 32).cast("int") for k in lane)
+        return F.when(F.col(f"{side}0").isNotNull(), F.array(*found))
 
-
-def signature(lanes: Column, side: str) -> Column:
-    """The slots of one side from its row's lanes (_lane, own, other); null for a text without words."""
-    return F.flatten(F.transform(F.array_sort(lanes, lambda a, b: a["_lane"] - b["_lane"]), lambda x: x[side]))
+    folded = folded.select(*keys, "_lane", marks("_own").alias("own"), marks("_other").alias("other"))
+    whole = folded.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_lane", "own", "other"))).alias("_lanes"))
+    return whole.select(*keys, *(F.flatten(F.transform("_lanes", lambda x: x[side])).alias(side) for side in ("own", "other")))
 
 
 def fingerprint(slots: Column) -> Column:
     """Marks as hexadecimal text; empty for a text without words."""
-    return F.coalesce(F.array_join(F.transform(slots, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), ""), F.lit(""))
+    return F.coalesce(
+        F.array_join(F.transform(slots, lambda s: F.lower(F.right(F.lpad(F.hex(s), 8, "0"), F.lit(8)))), ""), F.lit(""))
 
 
 def likeness(left: str, right: str) -> Column:
@@ -249,17 +226,22 @@ def edited_fingerprints(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next_text"), half))
     rows = rows.select("shard", "place", "next_shard", "next_place", "doc_id", n.cast("long").alias("n_chars"), "text",
                        edited.alias("edited"))
-    keys = ["shard", "place", "next_shard", "next_place", "doc_id", "n_chars", "edited_sha256"]
-    both = rows.select(*keys[:6], F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
-    found = signatures(both, keys, "text", "edited", slots)
-    sides = found.groupBy(*keys).agg(F.collect_list(F.struct("_lane", "own", "other")).alias("lanes"))
-    sides = sides.select(
-        *keys, signature(F.col("lanes"), "own").alias("own"), signature(F.col("lanes"), "other").alias("other"))
-    sides = stage(sides, "signatures")
-    following = sides.select(F.col("shard").alias("next_shard"), F.col("place").alias("next_place"),
-                             F.col("own").alias("following"))
-    return sides.join(following, ["next_shard", "next_place"]).select(
+    found = signatures(rows, ["shard", "place"], "text", "edited", slots)
+    # The next document stands next in the shard; only the last of a shard looks for the head of another one.
+    following = F.lead("own").over(Window.partitionBy("shard").orderBy("place"))
+    last = F.lead("place").over(Window.partitionBy("shard").orderBy("place")).isNull()
+    found = found.withColumns({"following": following, "is_last": last}).select(
+        "shard", "place", "own", "other", "is_last", likeness("own", "other").alias("near_edited"),
+        likeness("own", "following").alias("near_next"),
+    )
+    signed = stage(found, "signatures")
+    about = rows.select(
+        "shard", "place", "next_shard", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    both = about.join(signed, ["shard", "place"])
+    heads = signed.where("place = 1").select(F.col("shard").alias("next_shard"), F.col("own").alias("following"))
+    lasts = both.where("is_last").join(heads, "next_shard").withColumn("near_next", likeness("own", "following"))
+    out = ["doc_id", "n_chars", "edited_sha256", "own", "other", "near_edited", "near_next"]
+    return both.where("not is_last").select(*out).unionByName(lasts.select(*out)).select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("other")).alias("edited_fingerprint"),
-        likeness("own", "other").alias("near_edited"), likeness("own", "following").alias("near_next"),
+        fingerprint(F.col("other")).alias("edited_fingerprint"), "near_edited", "near_next",
     )
