@@ -3,21 +3,22 @@
 A tolerant tree builder keeps the stack of open elements, supplies the start and end tags that HTML
 implies, and drives a renderer: block elements stand on lines of their own, paragraphs and headings with a blank
 line around them, list items are marked and indented, table cells are padded into aligned columns,
-preformatted text keeps its spaces, and what a browser does not show gives no text.
+preformatted text keeps its spaces, and what a browser does not show gives no text: elements without display
+or visibility, closed details and dialogs, scripts, styles and the like.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.DOTALL
-)
+_TAG_NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+_TAG_STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -48,7 +49,12 @@ ENDS_PARAGRAPH = (BLOCKS | SPACED) - frozenset(("tr", "caption", "option", "optg
 #: Elements at which the search for an open one stops.
 SCOPES = frozenset(("table", "td", "th", "caption", "html", "template", "button", "object"))
 
-_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_NOT_DISPLAYED = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
+#: Elements whose content shows only with the attribute ``open``; of the first, the summary always shows.
+CLOSED = frozenset(("details", "dialog"))
+#: The most columns and rows that a cell may span in HTML.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
 class _Flow:
@@ -92,39 +98,88 @@ class _Flow:
         self.end_line()
         self.blank = True
 
-    def result(self) -> str:
+    def laid_out(self, lines: list[str]) -> None:
+        """Take over lines that are done, such as a table's."""
+        if lines:
+            if self.blank and self.lines:
+                self.lines.append("")
+            self.blank = False
+            self.lines.extend([self.lead + line for line in lines] if self.lead else lines)
+
+    def result(self) -> list[str]:
         self.end_line()
-        return "\n".join(self.lines).strip("\n")
+        first, last = 0, len(self.lines)
+        while first < last and not self.lines[first]:
+            first += 1
+        while last > first and not self.lines[last - 1]:
+            last -= 1
+        return self.lines[first:last] if first or last < len(self.lines) else self.lines
 
 
 class _Table:
     def __init__(self) -> None:
-        self.rows: list[list[str]] = []
-        self.caption = ""
-
-    def lines(self) -> Iterator[str]:
-        """Rows with their columns padded to one width; a cell of several lines takes as many."""
-        rows = [[cell.split("\n") for cell in row] for row in self.rows if any(row)]
-        widths: list[int] = []
-        for row in rows:
-            for column, cell in enumerate(row):
-                if column == len(widths):
-                    widths.append(0)
-                widths[column] = max(widths[column], *(len(line) for line in cell))
-        if self.caption:
-            yield from self.caption.split("\n")
-        for row in rows:
-            for at in range(max(len(cell) for cell in row)):
-                yield " | ".join(
-                    (cell[at] if at < len(cell) else "").ljust(widths[column]) for column, cell in enumerate(row)
-                ).rstrip()
+        self.rows: list[list[tuple[list[str], int, int]]] = []  # lines of each cell, columns and rows it spans
+        self.caption: list[str] = []
+
+    def lines(self) -> list[str]:
+        """Rows with their columns padded to one width; a cell of several lines takes as many.
+
+        A cell that spans columns has the width of all of them, one that spans rows keeps its columns empty in
+        the rows below.  A row without text takes no line.
+        """
+        if all(len(row) <= 1 and (not row or row[0][1:] == (1, 1)) for row in self.rows):
+            return self.caption + [line for row in self.rows for cell, *_ in row for line in cell]
+        placed, widths = self._placed()
+        for wide in (False, True):  # columns take what single cells need, then what spanning cells need more
+            for row in placed:
+                for column, (cell, span) in row.items():
+                    if (span > 1) == wide and cell:
+                        short = max(map(len, cell)) - sum(widths[column : column + span]) - 3 * (span - 1)
+                        widths[column + span - 1] += max(short, 0)
+        out = list(self.caption)
+        for row in placed:
+            if any(cell for cell, _ in row.values()):
+                order = sorted(row.items())
+                spaces = [sum(widths[column : column + span]) + 3 * (span - 1) for column, (_, span) in order]
+                for at in range(max(len(cell) for cell, _ in row.values())):
+                    parts = [(cell[at] if at < len(cell) else "").ljust(space) for (_, (cell, _)), space in zip(order, spaces)]
+                    out.append(" | ".join(parts).rstrip())
+        return out
+
+    def _placed(self) -> tuple[list[dict[int, tuple[list[str], int]]], list[int]]:
+        """Cells by their first column in every row, and a width of 0 for every column."""
+        placed: list[dict[int, tuple[list[str], int]]] = []
+        below: dict[int, tuple[int, int]] = {}  # first column of cells from rows above: rows left, columns
+        for row in self.rows:
+            here: dict[int, tuple[list[str], int]] = {c: ([], span) for c, (_, span) in below.items()}
+            taken = sorted((c, c + span) for c, (_, span) in below.items())
+            below = {c: (left - 1, span) for c, (left, span) in below.items() if left > 1}
+            column = after = 0
+            for cell, span, deep in row:
+                while after < len(taken) and taken[after][0] <= column:
+                    column, after = max(column, taken[after][1]), after + 1
+                # A cell does not grow over one from above.
+                free = min(span, taken[after][0] - column) if after < len(taken) else span
+                here[column] = (cell, free)
+                if deep > 1:
+                    below[column] = (deep - 1, free)
+                column += free
+            placed.append(here)
+        # Columns in which no cell begins add nothing to the layout.
+        begins = sorted({c for row in placed for c in row})
+        rank = {c: at for at, c in enumerate(begins)}
+        return [
+            {rank[c]: (cell, bisect_left(begins, c + span) - rank[c]) for c, (cell, span) in row.items()} for row in placed
+        ], [0] * len(begins)
 
 
 class _Renderer:
     """The stack of open elements, and what it shows."""
 
     def __init__(self) -> None:
-        self.open: list[tuple[str, bool]] = []  # tag, and whether it began what is not seen
+        #: Tag, what it added to ``unseen``, whether text was visible before it, and its attributes if it is a cell.
+        self.open: list[tuple[str, int, bool, str]] = []
+        self.visible = True
         self.counts: dict[str, int] = {}
         self.unseen = 0
         self.flows = [_Flow()]
@@ -133,7 +188,7 @@ class _Renderer:
         self.verbatim = 0
 
     def text(self, text: str) -> None:
-        if self.unseen or not text:
+        if self.unseen or not self.visible or not text:
             return
         text = html.unescape(text) if "&" in text else text
         if self.open and self.open[-1][0] in ("table", "tbody", "thead", "tfoot", "tr", "colgroup") and not text.strip():
@@ -159,9 +214,12 @@ class _Renderer:
             self.start("tr", "")
         if tag == "tr" and self.tables and self._within_any(("td", "th")):
             self._end_nearest(frozenset(("td", "th")), frozenset(("table",)))
-        hides = tag in UNSEEN or bool(attributes) and self._hides(tag, attributes)
+        shown, visible = self._style(tag, attributes) if attributes else (True, self.visible)
+        hides = int(tag in UNSEEN or not shown or tag in CLOSED and not self._has(attributes, "open"))
+        if tag == "summary" and self.open and self.open[-1][:2] == ("details", 1):
+            hides = -1  # the one part of closed details that shows
         if tag in VOID:
-            if not self.unseen and not hides:
+            if not self.unseen and not hides and visible:
                 if tag == "br":
                     self.flows[-1].end_line(keep_empty=bool(self.flows[-1].parts))
                 elif tag == "hr":
@@ -169,10 +227,10 @@ class _Renderer:
                     self.flows[-1].parts.append("---")
                     self.flows[-1].gap()
             return
-        self.open.append((tag, hides))
+        self.open.append((tag, hides, self.visible, attributes if tag in ("td", "th") else ""))
         self.counts[tag] = self.counts.get(tag, 0) + 1
-        if hides:
-            self.unseen += 1
+        self.unseen += hides
+        self.visible = visible
         if not self.unseen:
             self._begin(tag, attributes)
 
@@ -188,7 +246,8 @@ class _Renderer:
             flow.lead += "  " if len(self.lists) > 1 else ""
         elif tag == "li":
             holder = self.lists[-1] if self.lists else ["ul", 1, ""]
-            flow.parts.append(f"{holder[1]}. " if holder[0] == "ol" else "- ")
+            if self.visible:
+                flow.parts.append(f"{holder[1]}. " if holder[0] == "ol" else "- ")
             holder[1] += 1
         elif tag == "dd":
             flow.parts.append("  ")
@@ -215,13 +274,13 @@ class _Renderer:
     def finish(self) -> str:
         while self.open:
             self._pop()
-        return self.flows[0].result()
+        return "\n".join(self.flows[0].result())
 
     def _within(self, tag: str) -> bool:
         return self._within_any((tag,))
 
     def _within_any(self, tags: tuple[str, ...]) -> bool:
-        for name, _ in reversed(self.open):
+        for name, *_ in reversed(self.open):
             if name in tags:
                 return True
             if name == "table":
@@ -229,7 +288,7 @@ class _Renderer:
         return False
 
     def _end_nearest(self, closes: frozenset, stops: frozenset) -> bool:
-        for depth, (name, _) in enumerate(reversed(self.open), 1):
+        for depth, (name, *_) in enumerate(reversed(self.open), 1):
             if name in closes:
                 for _ in range(depth):
                     self._pop()
@@ -241,23 +300,34 @@ class _Renderer:
     def _end_through(self, tag: str, stops: frozenset) -> None:
         self._end_nearest(frozenset((tag,)), stops - {tag})
 
-    def _hides(self, tag: str, attributes: str) -> bool:
+    def _style(self, tag: str, attributes: str) -> tuple[bool, bool]:
+        """Whether an element is laid out at all, and whether its text is visible."""
         lowered = attributes.lower()
-        if "hidden" not in lowered and "style" not in lowered and "none" not in lowered:
-            return False
+        if "hidden" not in lowered and "style" not in lowered:
+            return True, self.visible
+        visible = self.visible
         for name, double, single, bare in _ATTRIBUTE.findall(attributes):
-            value = double or single or bare
-            name = name.lower()
-            if name == "hidden" or name == "style" and _HIDDEN_STYLE.search(value) or (
-                    tag == "input" and name == "type" and value.lower() == "hidden"):
-                return True
-        return False
+            value, name = double or single or bare, name.lower()
+            if name == "hidden" or tag == "input" and name == "type" and value.lower() == "hidden":
+                return False, visible
+            if name == "style":
+                if _NOT_DISPLAYED.search(value):
+                    return False, visible
+                for kind in _VISIBILITY.findall(value):
+                    visible = kind.lower() == "visible"
+        return True, visible
+
+    @staticmethod
+    def _has(attributes: str, wanted: str) -> bool:
+        return wanted in attributes.lower() and any(name.lower() == wanted for name, *_ in _ATTRIBUTE.findall(attributes))
 
     def _pop(self) -> None:
-        tag, hid = self.open.pop()
+        tag, hid, visible, attributes = self.open.pop()
         self.counts[tag] -= 1
-        if self.unseen:
-            self.unseen -= hid
+        shown = not self.unseen
+        self.unseen -= hid
+        self.visible = visible
+        if not shown:
             return
         flow = self.flows[-1]
         if tag in ("td", "th", "caption") and self.tables and len(self.flows) > 1:
@@ -268,12 +338,11 @@ class _Renderer:
             else:
                 if not table.rows:
                     table.rows.append([])
-                table.rows[-1].append(cell)
+                table.rows[-1].append((cell, _span(attributes, "colspan", MOST_COLUMNS), _span(attributes, "rowspan", MOST_ROWS)))
             return
         if tag == "table" and self.tables:
-            for line in self.tables.pop().lines():
-                flow.parts.append(line)
-                flow.end_line(keep_empty=True)
+            flow.end_line()
+            flow.laid_out(self.tables.pop().lines())
             flow.gap()
             return
         if tag in LISTS and self.lists:
@@ -293,31 +362,81 @@ class _Renderer:
             flow.end_line()
 
 
+def _span(attributes: str, name: str, most: int) -> int:
+    if name not in attributes.lower():
+        return 1
+    found = [d or s or b for key, d, s, b in _ATTRIBUTE.findall(attributes) if key.lower() == name]
+    number = re.match(r"\s*(\d{1,6})", found[0]) if found else None
+    return min(max(int(number[1]), 1), most) if number else 1
+
+
+class _Scanner:
+    """Finds where tags end.  A tag ends at the first ``>`` outside of quotes; from the first quote on that is never
+    closed, quotes count for nothing on the page, so that no stretch is scanned twice in vain."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.last = {mark: page.rfind(mark) for mark in ">\"'"}
+        self.quoted = True
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag with its name up to ``at``; -1 if none does."""
+        if at > self.last[">"]:
+            return -1
+        spot = at
+        while self.quoted:
+            stop = _TAG_STOP.search(self.page, spot)
+            if stop is None:
+                return -1
+            if stop[0] == ">":
+                return stop.start()
+            if self.last[stop[0]] <= stop.start():
+                self.quoted = False
+            else:
+                spot = self.page.find(stop[0], stop.end()) + 1
+                if spot > self.last[">"]:
+                    self.quoted = False
+        return self.page.find(">", at)
+
+
 def render(page: str) -> str:
-    """The visible text of a page; work grows with its length, however deep it nests."""
-    out, at = _Renderer(), 0
+    """The visible text of a page; work grows with its length and that of the text, however deep it nests."""
+    out, at, scanner = _Renderer(), 0, _Scanner(page)
+    shown = 0  # text from here on is not out yet
     while True:
-        found = _MARKUP.search(page, at)
-        if found is None:
-            out.text(page[at:])
+        at = page.find("<", at)
+        if at < 0:
+            out.text(page[shown:])
             return out.finish()
-        if found.start() > at:
-            out.text(page[at : found.start()])
-        at = found.end()
-        name = found[2]
+        name = _TAG_NAME.match(page, at)
+        if name is None and page[at + 1 : at + 2] not in ("!", "?", "/"):
+            at += 1
+            continue
+        if name is None:
+            close = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(close, at + (4 if close == "-->" else 1))
+            end = len(page) if end < 0 else end + len(close)
+        else:
+            end = scanner.tag_end(name.end()) + 1
+            if not end:  # a tag that nothing ends is text
+                at += 1
+                continue
+        if at > shown:
+            out.text(page[shown:at])
+        begin, at, shown = at, end, end
         if name is None:
             continue
-        tag = name.lower()
-        if found[1]:
+        tag = name[1].lower()
+        if page[begin + 1] == "/":
             out.end(tag)
             continue
-        out.start(tag, found[3])
+        out.start(tag, page[name.end() : end - 1])
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
             upto = close.start() if close else len(page)
             if tag == "textarea":
                 out.text(page[at:upto])
-            at = upto
+            at = shown = upto
 
 
 def extract(pages: DataFrame) -> DataFrame:

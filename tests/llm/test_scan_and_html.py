@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter
 
 import pyarrow as pa
@@ -86,3 +87,26 @@ def test_deep_nesting_and_pages(spark):
     got = sorted((tuple(r) for r in html_text.extract(pages.withColumn("text", pages.url)).collect()), key=str)
     assert got == sorted([(1, "u", "a"), (None, None, None), (2, "u", ""), (2, "u", "")], key=str)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, '<a ">"' * 170_000 + '"', '<a ""' * 200_000 + '"', "<table><tr><td>x" * 2_000, "<!-- " * 200_000,
+    "<script>" * 100_000, "<table>" + "<tr><td rowspan=65534 colspan=1000>x<td>y" * 300,
+])
+def test_rendering_time_follows_length(page):
+    started = time.process_time()
+    html_text.render(page)
+    assert time.process_time() - started < 8
+
+
+def test_spanning_cells_keep_columns_aligned():
+    page = "<table><tr><td colspan=2>head<td>x<tr><td>a<td>b<td>c<tr><td rowspan=2>r<td>1<td>2<tr><td>3<td>4</table>"
+    assert html_text.render(page) == "head  | x\na | b | c\nr | 1 | 2\n  | 3 | 4"
+    assert html_text.render("<table><tr><td colspan=999999>a<td rowspan=0>b<tr><td>cc</table>") == "a  | b\ncc"
+
+
+def test_closed_and_hidden_elements():
+    assert html_text.render("<details>no<summary>S</summary>no</details><details open><summary>T</summary>yes</details>") == "S\nT\nyes"
+    assert html_text.render("<dialog>no</dialog><dialog open>yes</dialog>") == "yes"
+    assert html_text.render('<p style="visibility:hidden">a<b style="Visibility: visible">B</b>c</p>d') == "B\n\nd"
+    assert html_text.render('<div style="display:none"><b style="visibility:visible">x</b></div>y') == "y"
