@@ -4,7 +4,8 @@ Method: candidate strings are maximal runs of token characters.  A window of set
 each while the counts of its characters, and with them its Shannon entropy, are updated by one
 character in and one out.  A window belongs to the narrowest of three character classes with a
 maximal run that holds it and that no allow-list entry matches.  Windows at or above their class's threshold are
-merged into spans by class, unless an entry matches the whole candidate.  Positions are code points.
+merged into spans by class, unless an entry matches the whole candidate; windows that are half alphabet or
+counting up are left out one by one, so that they hide nothing beside them.  Positions are code points.
 """
 
 from __future__ import annotations
@@ -34,12 +35,13 @@ WINDOW = 20
 #: Entropy in bits from which a window is flagged, by class.
 THRESHOLDS = {"hex": 3.0, "alnum": 3.7, "base64": 3.9}
 
+#: Characters from which a run that counts up by one each time, as alphabets and digits do, is no secret.
+RISING = 6
 #: Candidates that match one of these as a whole are no secrets: words without digits joined by
-#: separators, numbers and dates, rising runs of digits or letters, rules of repeated marks.
+#: separators, numbers and dates, rules of repeated marks.
 ALLOWED = (
     r"[A-Za-z]+(?:[-_/+=]+[A-Za-z]+)*[-_/+=]*",
     r"[-_/+=]*[0-9]+(?:[-_/+=]+[0-9]+)*[-_/+=]*",
-    r"[0-9a-zA-Z]*(?:0123456789|1234567890|abcdefghij|ABCDEFGHIJ)[0-9a-zA-Z]*",
     r"(.{1,4})\1{4,}.{0,3}",
     r"(?:[A-Za-z]+[0-9]{0,4}[-_/])*[A-Za-z]+[0-9]{0,4}",
 )
@@ -75,6 +77,24 @@ def window_entropies(candidate: bytes, width: int = WINDOW) -> list[float]:
     return found
 
 
+def _half_rising(candidate: bytes) -> list[int]:
+    """Windows of which at least half lies in rising runs."""
+    inside, begin = [0] * len(candidate), 0
+    for at in range(1, len(candidate) + 1):
+        if at == len(candidate) or candidate[at] != candidate[at - 1] + 1:
+            if at - begin >= RISING:
+                inside[begin:at] = [1] * (at - begin)
+            begin = at
+    if not any(inside):
+        return []
+    held, found = sum(inside[:WINDOW]), []
+    for at in range(len(candidate) - WINDOW + 1):
+        if 2 * held >= WINDOW:
+            found.append(at)
+        held += (inside[at + WINDOW] if at + WINDOW < len(candidate) else 0) - inside[at]
+    return found
+
+
 def _entropy_spans(
     candidate: bytes, allowed: Sequence[re.Pattern], thresholds: dict[str, float]
 ) -> Iterator[tuple[str, int, int]]:
@@ -85,9 +105,11 @@ def _entropy_spans(
         for run in pattern.finditer(candidate):
             if not any(entry.fullmatch(run[0]) for entry in allowed):
                 kinds[run.start() : run.end() - WINDOW + 1] = [kind] * (len(run[0]) - WINDOW + 1)
+    for at in _half_rising(candidate):
+        kinds[at] = ""
     spans: dict[str, tuple[int, int]] = {}
     for at, (kind, bits) in enumerate(zip(kinds, window_entropies(candidate))):
-        if bits >= thresholds[kind] - 1e-9:
+        if kind and bits >= thresholds[kind] - 1e-9:
             begin, end = spans.get(kind, (at, at))
             if at > end:
                 yield f"entropy_{kind}", begin, end

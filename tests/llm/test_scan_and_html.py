@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 import time
@@ -110,3 +111,38 @@ def test_closed_and_hidden_elements():
     assert html_text.render("<dialog>no</dialog><dialog open>yes</dialog>") == "yes"
     assert html_text.render('<p style="visibility:hidden">a<b style="Visibility: visible">B</b>c</p>d') == "B\n\nd"
     assert html_text.render('<div style="display:none"><b style="visibility:visible">x</b></div>y') == "y"
+
+
+def test_alphabets_hide_only_themselves():
+    def kinds(text):
+        return [(kind, text[a:b]) for a, k, b in next(secret_scan.find_secrets(pa.array([text]))) for kind in [secret_scan.KINDS[k]]]
+
+    key = "k9Zq3vXw7Lr2Tn8Bd5Fs1Hj"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    assert kinds(letters.upper() + letters + "0123456789") == [] and kinds(letters + "0123456789+/") == []
+    found = kinds(key + "0123456789")
+    assert found and all(kind.startswith("entropy") for kind, _ in found) and key[:20] in found[0][1]
+
+
+def test_the_query_lists_what_the_patterns_find(spark, tmp_path):
+    from cohortlift.llm.queries import op5_secret_scan
+
+    base = {"assign": re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+            "access": re.compile(r"AKIA[A-Z0-9]+"), "hex": re.compile(r"[0-9a-f]+")}
+    least = {"assign": 6, "access": 20, "hex": 24}
+    rows = list(enumerate(t for t in TEXTS if t is None or "ſ" not in t))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op5_secret_scan(spark, str(tmp_path)).collect()}
+    for doc_id, text in rows:
+        spans = []
+        for place, (kind, pattern) in enumerate(base.items()):
+            for m in pattern.finditer(text or ""):
+                if len(m[2] if kind == "assign" else m[0]) >= least[kind]:
+                    spans.append((m.start(), place, kind, m.end()))
+        spans.sort()
+        listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in spans)
+        row = got[doc_id]
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        count = Counter(kind for _, _, kind, _ in spans)
+        assert (row.n_assign, row.n_access, row.n_hex) == (count["assign"], count["access"], count["hex"])
+        assert all(span in row.spans.split(",") for span in listed.split(",") if span)
