@@ -357,7 +357,7 @@ def train(labelled: DataFrame) -> Model | None:
         F.sum("times").alias("times"))
     tables = stage(_tables(stage(grams, "counts")), "tables", "part")
     seen = _differences(rows.where(draw < share), tables, ["doc_id", "label"]).toArrow()
-    if seen.num_rows == 0:
+    if len(set(seen.column("label").to_pylist())) < 2:  # too small a table to fit a scale on
         return Model(tables, np.array([1.0, 0.0, 0.0, 0.0, 0.0]))
     seen = seen.sort_by([(c, "ascending") for c in seen.column_names])
     found = np.stack([seen.column(c).to_numpy().astype(float) for c in ("difference", "clear", "length")])
