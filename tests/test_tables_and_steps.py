@@ -2,16 +2,19 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from cohortlift import schemas
 from cohortlift.functions import sums
 from cohortlift.operators import bootstrap as boot
-from cohortlift.operators import matching, routing
+from cohortlift.operators import matching, report, routing
+from cohortlift.operators.quantiles import exact_quantile
 from cohortlift.plans import record
 from cohortlift.plans.steps import Steps
-from cohortlift.sources import manifests, publish, sinks, stamps
+from cohortlift.sources import ids, manifests, publish, sinks, stamps
 from cohortlift.sources.studies import StudyTable
 
 
@@ -174,3 +177,67 @@ def test_replicates_do_not_depend_on_the_order_of_rows(spark):
         found = boot.replicates(matched, "did", boot.Bootstrap(reps=6, by_arm=bool(turn % 2)))
         seen.add((turn % 2, tuple(sorted((r.rep, r.estimate) for r in found.collect()))))
     assert len(seen) == 2
+
+
+def test_ids_by_name_survive_repeated_batches(spark, tmp_path):
+    marks, table = f"{tmp_path}/marks", "ids_by_name_test"
+    spark.sql(f"drop table if exists {table}")
+    first = spark.createDataFrame([("b",), ("a",)], "name string")
+    second = spark.createDataFrame([("c",)], "name string")
+    assert ids.append_batch(first, ["name"], table, "one", marks)
+    assert ids.append_batch(second, ["name"], table, "two", marks)
+    assert not ids.append_batch(first, ["name"], table, "one", marks)
+    assert {(r.name, r.patient_id) for r in spark.table(table).collect()} == {("a", 1), ("b", 2), ("c", 3)}
+    assert ids.reserve(spark, table, "three", 5, marks) == 4 and ids.reserve(spark, table, "three", 5, marks) == 4
+    assert ids.reserve(spark, table, "four", 1, marks) == 9
+    with pytest.raises(ValueError):
+        ids.reserve(spark, table, "four", 2, marks)
+    spark.sql(f"drop table {table}")
+
+
+def test_two_batches_cannot_reserve_the_same_ids(spark, tmp_path, monkeypatch):
+    marks = f"{tmp_path}/marks"
+    real, turn = ids.publish, []
+
+    def raced(entry, path, run_id):  # another batch commits just before
+        if not turn:
+            turn.append(run_id)
+            other = spark.createDataFrame([("t", "other", 1, 10)], "table_name string, batch string, first_id long, n_rows long")
+            assert real(other, path, run_id)
+        return real(entry, path, run_id)
+
+    monkeypatch.setattr(ids, "publish", raced)
+    assert ids.reserve(spark, "t", "mine", 3, marks) == 11
+
+
+@pytest.mark.parametrize("max_rows,slack", [(10**6, 0.0025), (20, 0.0025), (20, 0.02), (10**6, 1e-9)])
+def test_quantiles_of_ties_nan_and_wide_ranges(spark, max_rows, slack):
+    rng = random.Random(3)
+    groups = {
+        "ties": [1.0] * 400 + [2.0] * 300 + [3.0] * 301, "one": [5.0], "wide": [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(999)],
+        "inf": [float("-inf"), 1.0, 2.0, float("inf")], "even": [float(i) for i in range(1000)],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("nan", float("nan"))] * 3 + [("half", v) for v in (1.0, 2.0, float("nan"))]
+    frame = spark.createDataFrame(rows + [("even", None), ("none", None)], "g string, v double").repartition(5)
+    got = {r.g: r.q for r in exact_quantile(frame, ["g"], "v", 0.25, "q", max_rows=max_rows, size=64, slack=slack).collect()}
+    for g, values in groups.items():
+        if g != "inf":
+            assert got[g] == pytest.approx(np.quantile(values, 0.25), rel=1e-12)
+    assert np.isnan(got["nan"]) and got["half"] == 1.5 and "none" not in got
+
+
+def test_rows_without_a_score_have_no_pair_and_no_weight(spark):
+    rows = [("S", i, i % 2, 40.0 + (7 * i) % 31, None if i in (3, 4) else 0.5 + i / 20, 100.0 * ((3 * i) % 11), 1.0, 2.0 + i % 2) for i in range(30)]
+    frame = spark.createDataFrame(rows, schemas.COHORT)
+    assert {(r.treatment, r.n, r.n_unscored) for r in matching.unscored(frame).collect()} == {(0, 15, 1), (1, 15, 1)}
+    assert not {r.patient_id for r in matching.match_knn(frame).collect()} & {3, 4}
+    weights = {r.patient_id: r.weight for r in matching.match_ipw(frame).collect()}
+    assert weights[3] is None and weights[4] is None and sum(w is not None for w in weights.values()) == 28
+
+
+def test_distinct_sketches_merge(spark):
+    df = spark.range(60000).selectExpr("id % 3 as g", "id % 2 as h", "id % 20000 as v")
+    kept = report.distinct_sketches(df, ["g", "h"], "v")
+    near = {r.g: r.n_approx for r in report.approx_distinct(kept, ["g"]).collect()}
+    assert len(near) == 3 and all(abs(n - 20000) < 0.05 * 20000 for n in near.values())
+    assert report.distinct_sketches(df.limit(0), ["g"], "v").count() == 0
