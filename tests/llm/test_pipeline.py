@@ -71,3 +71,36 @@ def test_mix_follows_targets_and_packing_takes_all(stages):
     assert (packed.piece == 0).sum() == len(after)
     assert packed.groupby("sequence_id").length.sum().max() <= 4096
     assert packed.sequence_id.nunique() <= 1.02 * packed.length.sum() / 4096 + 1
+
+
+def test_rows_not_ids_are_documents(spark):
+    text, other = "a b c d e f g h i j", "k l m n o p q r s t u v"
+    rows = [(1, text), (1, other), (2, text), (3, "z y x w v"), (3, "z y x w v"), (4, ""), (4, ""), (5, None), (None, text), (6, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "7 as score", "8 as key", "9 as mark", "'q' as asked", "1 as _bucket", "'n' as node")
+    kept = pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert len([r for r in got if r[1] == text and r[0] is not None]) == 1  # one of two copies, though its id has another text
+    assert len([r for r in got if r[1] == other]) == 1 and got.count((3, "z y x w v")) == 1
+    assert got.count((4, "")) == 2 and (5, None) in got and (None, text) in got and len(got) == 7
+    assert {tuple(r)[2:] for r in kept.collect()} == {(7, 8, 9, "q", 1, "n")}
+    assert pipeline.near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
+def test_scores_of_the_input_are_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "-1.5 as score", "'s' as _score")
+    kept = pipeline.quality(spark, docs, SF)
+    assert kept.columns == docs.columns and {(float(r.score), r._score) for r in kept.select("score", "_score").collect()} == {(-1.5, "s")}
+
+
+def test_large_classes_are_dealt_and_stay_whole(spark, monkeypatch):
+    from cohortlift.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "LARGE_CLASS", 3)
+    rows = [(i, "one two three four five six") for i in range(40)] + [(100 + i, f"w{i} x{i} y{i} z{i} v{i}") for i in range(9)]
+    rows += [(200, "one two three four five six seven"), (300, ""), (301, None)]
+    found = {r.doc_id: r for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 3, 4).collect()}
+    assert len(found) == len(rows) and {found[i].class_id for i in range(40)} == {0}
+    assert {found[i].component_id for i in (*range(40), 200)} == {0} and found[200].class_id == 200
+    assert all(found[i].component_id == i for i in (*range(100, 109), 300, 301))
