@@ -1,7 +1,8 @@
 """Token ids of whole Arrow text columns through a public tokenizer, each distinct word encoded once.
 
-The tokenizer used here (lower-casing BPE with word ends, white space dropped) never lets a token
-cross white space, nor a lone comma or full stop between letters, so a text's ids are its words' ids in a row.
+A lower-casing BPE with word ends that drops white space never lets a token cross white space, nor a lone comma
+or full stop between letters, so a text's ids are its words' ids in a row.  A file is checked for these
+properties when it is opened; with any other tokenizer whole texts are encoded.
 Words are looked up in a direct-mapped cache of fixed size, keyed by a 64-bit hash; words that
 miss are encoded in bulk.  ``public_tokenizers.path("word_bpe_49k.json")`` is such a file; its
 path is always a parameter and the file is opened on the executors.
@@ -27,9 +28,31 @@ _LETTER[ord("A") : ord("Z") + 1] = _LETTER[ord("a") : ord("z") + 1] = True
 _POINT = np.zeros(256, dtype=bool)
 _POINT[[ord(","), ord(".")]] = True
 
+#: How a tokenizer file describes the splitting that keeps words apart.
+_SPLIT = {
+    "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+    "behavior": "Removed", "invert": True,
+}
+_NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+def goes_by_word(spec: dict) -> bool:
+    """Whether the ids of a text are those of its words one after the other."""
+    def steps(part: dict | None, inside: str) -> list[dict]:
+        return [] if not part else part.get(inside, [part])
+
+    splits = steps(spec.get("pre_tokenizer"), "pretokenizers")
+    rest = all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in splits[1:])
+    model = spec["model"]
+    return (
+        steps(spec.get("normalizer"), "normalizers") == _NORMAL and splits[:1] == [_SPLIT] and rest
+        and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec.get("added_tokens", []))
+    )
+
+
 def encoder(path: str) -> "WordEncoder":
     """This worker process's encoder; its cache lives on from task to task."""
     if path not in _encoders:
@@ -44,7 +67,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            spec = json.load(file)
+        self.by_word = goes_by_word(spec)
+        if not self.by_word:
+            return
+        vocabulary = spec["model"]["vocab"]
         self.word_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
@@ -97,6 +124,8 @@ class WordEncoder:
 
     def encode(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, ``end_id`` after each, and where each row's ids begin (one more than rows)."""
+        if not self.by_word:
+            return self._encode_whole(texts, end_id)
         if self.used > _FLAT_LIMIT:
             self._clear()
         starts, ends, first = _word_spans(texts)
@@ -123,6 +152,14 @@ class WordEncoder:
         return out, offsets
 
 
+    def _encode_whole(self, texts: Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = texts.data.tobytes(), texts.offsets.tolist()
+        rows = [data[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
+        parts = [[*e.ids, end_id] for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+        ids = np.fromiter((i for part in parts for i in part), dtype=np.int32)
+        return ids, np.concatenate(([0], np.cumsum([len(part) for part in parts]))).astype(np.int64)
+
+
 def _ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """begins[0], begins[0] + 1, ... counts[0] of them, then the same for the next."""
     ends = np.cumsum(counts)

@@ -32,6 +32,22 @@ def test_token_store_round_trip(spark, documents, tokenizer_path, tmp_path):
     assert token_store.token_index(spark, f"{tmp_path}/e").count() == 0
 
 
+@pytest.mark.parametrize("name,by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_any_tokenizer_file_gives_its_own_ids(tokenizer_path, name, by_word):
+    import os
+
+    import pyarrow as pa
+
+    from cohortlift.llm import token_ids
+
+    path = os.path.join(os.path.dirname(tokenizer_path), name)
+    assert token_ids.encoder(path).by_word is by_word
+    got = []
+    for _, ids, offsets in token_ids.encoded(pa.array(ODD), path, 7):
+        got += [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+    assert got == [encoded(path, text, 7).tolist() for text in ODD]
+
+
 def test_packing_places_every_piece(spark, documents, tokenizer_path):
     docs = documents(*enumerate(ODD), (None, "x y"), (7, "a b c"), (7, "a b c"))
     frame = packing.pack(docs, capacity=64, tokenizer_path=tokenizer_path, end_id=1)
