@@ -182,3 +182,24 @@ def test_registered_fingerprints_tell_likenesses_apart(spark, documents):
         errors.append(r.near_next - sum((a & b).values()) / sum((a | b).values()))
         assert len(r.fingerprint) >= 8 * 64
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
+
+
+def test_token_files_have_the_promised_layout(documents, tokenizer_path, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = [(i, "the cat sat on the mat. " * 40) for i in range(200)]
+    token_store.write_tokens(documents(*rows), f"{tmp_path}/s", tokenizer_path, 2)
+    files = glob.glob(f"{tmp_path}/s/**/*.parquet", recursive=True)
+    seen = 0
+    for name in files:
+        group = pq.ParquetFile(name).metadata.row_group(0)
+        columns = {group.column(i).path_in_schema.split(".")[0]: group.column(i) for i in range(group.num_columns)}
+        for column in columns.values():
+            assert column.has_offset_index and (column.has_column_index or column.path_in_schema.startswith("ids"))
+        if "ids" in columns:
+            assert any("DICTIONARY" in e for e in columns["ids"].encodings)
+            assert "DELTA_BINARY_PACKED" in columns["n_tokens"].encodings
+            seen += group.num_rows
+    assert seen == 200
