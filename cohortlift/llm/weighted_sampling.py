@@ -172,9 +172,9 @@ def _sharded(docs: DataFrame) -> DataFrame:
     return placed.withColumn("shard", shard.cast("int")).drop("_group")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """doc_id, text, the text of the next document in descending doc_id order (after the last: the
-    first), ``shard`` and ``place`` in it, and the next document's ``next_shard`` and ``next_place``.
+    first), ``shard`` and ``place`` in it; and for every shard the text that follows its last document.
 
     A null doc_id comes last; equal doc_ids are ordered by text.
     """
@@ -204,12 +204,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.lead("text").over(inside).alias("after"),
     )
     # Only the last row of a shard takes the join's text; the borders have one row a shard.
-    rows = rows.join(border, F.col("shard") == F.col("bs"))
-    return rows.select(
-        "doc_id", "text", "shard", "place", F.coalesce("after", "head_text").alias("next_text"),
-        F.when(F.col("after").isNull(), F.col("next_shard")).otherwise(F.col("shard")).alias("next_shard"),
-        F.when(F.col("after").isNull(), F.lit(1)).otherwise(F.col("place") + 1).alias("next_place"),
-    )
+    rows = rows.join(border, F.col("shard") == F.col("bs")).select(
+        "doc_id", "text", "shard", "place", F.coalesce("after", "head_text").alias("next_text"))
+    return rows, border.select(F.col("bs").alias("shard"), F.col("head_text").alias("text"))
 
 
 def edited_fingerprints(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
@@ -220,28 +217,25 @@ def edited_fingerprints(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     next document's first, or all it has.  Null texts are empty, with an empty fingerprint; repeated rows
     each keep their row; extra columns are ignored; an empty table gives an empty result.
     """
-    rows = with_next(docs)
+    rows, borders = with_next(docs)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left(F.col("text"), n - half), F.left(F.col("next_text"), half))
-    rows = rows.select("shard", "place", "next_shard", "next_place", "doc_id", n.cast("long").alias("n_chars"), "text",
-                       edited.alias("edited"))
+    rows = rows.select("shard", "place", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     found = signatures(rows, ["shard", "place"], "text", "edited", slots)
-    # The next document stands next in the shard; only the last of a shard looks for the head of another one.
-    following = F.lead("own").over(Window.partitionBy("shard").orderBy("place"))
-    last = F.lead("place").over(Window.partitionBy("shard").orderBy("place")).isNull()
-    found = found.withColumns({"following": following, "is_last": last}).select(
-        "shard", "place", "own", "other", "is_last", likeness("own", "other").alias("near_edited"),
+    # The next document stands next in the shard; after a shard's last one comes the head of another shard.
+    heads = signatures(borders.withColumn("edited", F.lit("")), ["shard"], "text", "edited", slots)
+    in_shard = Window.partitionBy("shard").orderBy("place")
+    found = found.join(heads.select("shard", F.col("own").alias("head")), "shard").withColumns({
+        "following": F.lead("own").over(in_shard), "is_last": F.lead("place").over(in_shard).isNull()
+    }).withColumn("following", F.when(F.col("is_last"), F.col("head")).otherwise(F.col("following")))
+    signed = found.select(
+        "shard", "place", "own", "other", likeness("own", "other").alias("near_edited"),
         likeness("own", "following").alias("near_next"),
     )
-    signed = stage(found, "signatures")
-    about = rows.select(
-        "shard", "place", "next_shard", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    both = about.join(signed, ["shard", "place"])
-    heads = signed.where("place = 1").select(F.col("shard").alias("next_shard"), F.col("own").alias("following"))
-    lasts = both.where("is_last").join(heads, "next_shard").withColumn("near_next", likeness("own", "following"))
-    out = ["doc_id", "n_chars", "edited_sha256", "own", "other", "near_edited", "near_next"]
-    return both.where("not is_last").select(*out).unionByName(lasts.select(*out)).select(
+    # Both sides read one shuffle of the texts.
+    about = rows.select("shard", "place", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    return about.join(signed, ["shard", "place"]).select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("other")).alias("edited_fingerprint"), "near_edited", "near_next",
     )
