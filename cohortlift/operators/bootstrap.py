@@ -114,7 +114,9 @@ def resampled_sums(rows: DataFrame, moments: dict[str, str], spec: Bootstrap) ->
     a, b, c = spec.coefficients()
     count = " + ".join(["1", *(f"if(u >= {t}, 1, 0)" for t in limits[1:])])
     counted = (
-        base.withColumn("h", F.expr("md5(concat_ws('|', study_id, unit_id))"))
+        # Dealt out evenly: each row unfolds into one for each replicate, and files differ in rows a byte.
+        base.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        .withColumn("h", F.expr("md5(concat_ws('|', study_id, unit_id))"))
         .selectExpr(
             *group, "treatment", *names, *limits,
             f"{_hex_int('h', 1, 8)} % {PRIME} as x1", f"{_hex_int('h', 9, 8)} % {PRIME} as x2",

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NullType
 
 from cohortlift.functions.text import utc_now
 from cohortlift.operators import quality, ranks, routing, selection
@@ -43,6 +44,16 @@ class Run:
         self.counts = pin(matched_counts(self.matched))
 
 
+def stage_rows(table: DataFrame | None, studies: DataFrame | None, name: str) -> DataFrame | None:
+    """The rows of ``studies``, or all, written once: status, stamps, medians and features each read them,
+    and the table given may be the plan of a long derivation."""
+    if table is None:
+        return None
+    rows = table if studies is None else selection.study_slice(table, studies)
+    void = [f.name for f in rows.schema if isinstance(f.dataType, NullType)]  # which no file can hold
+    return stage(rows.withColumns({c: F.col(c).cast("string") for c in void}), name)
+
+
 def build_status(cohort: DataFrame, panel: DataFrame | None, config: DataFrame) -> DataFrame:
     """Config, method names, quality score, naive contrast and gate decision of every study."""
     methods = pin(selection.with_methods(config))
@@ -76,7 +87,10 @@ def evaluate(
 ) -> DataFrame:
     """Result rows of every selected study that passes the gate."""
     registry = registry or Registry()
-    selected = selection.select_studies(config, study_ids)
+    selected = pin(selection.select_studies(config, study_ids))
+    # A stamp is one of the whole table.
+    cohort = stage_rows(cohort, None if stamped else selected, "cohort")
+    panel = stage_rows(panel, None if stamped else selected, "panel")
     run = prepare(cohort, panel, selected, registry)
     methods = run.status.filter("quality_passed")
     effects = dispatch_model(run.matched, methods, registry, bootstrap)
@@ -110,6 +124,8 @@ def evaluate_before(
 ) -> DataFrame:
     """Estimates without intervals, for the studies one of the four fixed branches covers."""
     registry = Registry()
+    config = pin(config)
+    cohort = stage_rows(cohort, config, "cohort")
     # This track always fills with the study median, whatever the configured feature method.
     status = build_status(cohort, None, config).withColumn("feature_method", F.lit("standard"))
     methods = pin(routing.route_before(status).filter("branch is not null"))
@@ -146,11 +162,13 @@ def evaluate_phases(
 ) -> PhasedRun:
     """Run the feature, matching and model phases each study's config and data lead it to."""
     registry, steps = Registry(), Steps()
+    config = pin(config)
     _reject_unknown_phases(config)
-    status = steps.timed("features", lambda: pin(routing.next_phase(build_status(cohort, None, config))))
+    rows = steps.timed("features", lambda: stage_rows(cohort, config, "cohort"))
+    status = steps.timed("features", lambda: pin(routing.next_phase(build_status(rows, None, config))))
     passed = status.filter("quality_passed")
     features = steps.stage("features", lambda: labelled_features(
-        dispatch_features(quality.clean(cohort), None, passed, registry), passed
+        dispatch_features(quality.clean(rows), None, passed, registry), passed
     ), "features", by="matching_method")
     differences = ranks.paired_differences(
         selection.study_slice(features, passed.filter("model_type = 'wilcoxon'"))

@@ -10,38 +10,45 @@ from pyspark.sql.types import DoubleType, FloatType
 MODULUS = 2305843009213693951
 
 
-def double_text(x: str) -> str:
-    """SQL text of a double: its value in units of 2**-20 and, of the rest, in units of 2**-60.
+#: Powers of two below which a double's size is for each of the powers by which it is scaled down.
+SCALES = {0: 2.0**42, 42: 2.0**84, 84: 2.0**126}
+LAST_SCALE = 982
 
-    Scaling by powers of two is exact, so only differences under 2**-60 are lost.  A value of 2**42 or
-    more is first scaled down by 2**42, by 2**84, or by 2**982, which keeps its leading 53 bits in all but
-    the last range.  NaN and the infinities have their own texts.
-    """
-    def split(scale: int) -> str:
-        v = f"({x} * {2.0**-scale!r})" if scale else x
-        high = f"floor({v} * 1048576e0)"
-        return (
-            f"concat('{scale}:', cast(cast({high} as bigint) as string), '/',"
-            f" cast(cast(floor(({v} * 1048576e0 - {high}) * 1099511627776e0) as bigint) as string))"
-        )
 
-    return (
-        f"case when isnan({x}) then 'nan' when {x} > 1.7976931348623157e308 then 'inf'"
-        f" when {x} < -1.7976931348623157e308 then '-inf' when abs({x}) < {2.0**42!r} then {split(0)}"
-        f" when abs({x}) < {2.0**84!r} then {split(42)} when abs({x}) < {2.0**126!r} then {split(84)}"
-        f" else {split(982)} end"
-    )
+def _case(x: str, values: dict[int, str]) -> str:
+    """SQL of the value that goes with the scale of ``x``."""
+    cases = " ".join(f"when {x} < {below!r} then {values[scale]}" for scale, below in SCALES.items())
+    return f"case {cases} else {values[LAST_SCALE]} end"
 
 
-def canonical_row(df: DataFrame) -> str:
-    """SQL text of a row in which equal values always read the same."""
-    parts = []
-    for field in df.schema:
-        text = f"cast({field.name} as string)"
-        if isinstance(field.dataType, (DoubleType, FloatType)):
-            text = double_text(f"cast({field.name} as double)")
-        parts.append(f"coalesce({text}, '~')")
-    return f"concat_ws('|', {', '.join(parts)})"
+def canonical_rows(df: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and ``_r``, a text of the other columns in which equal values always read the same.
+
+    A double reads as its value in units of 2**-20 and, of the rest, in units of 2**-60.  Scaling by powers
+    of two is exact, so only differences under 2**-60 are lost.  A value of 2**42 or more is first scaled
+    down by 2**42, by 2**84, or by 2**982, which keeps its leading 53 bits in all but the last range.  NaN and
+    the infinities have their own texts.  Each step is a projection of its own, so that no part is
+    computed, or compiled, once for each of its uses.
+    """
+    fields = [f for f in df.schema if f.name not in keys]
+    doubles = [i for i, f in enumerate(fields) if isinstance(f.dataType, (DoubleType, FloatType))]
+    scales = (*SCALES, LAST_SCALE)
+    rows = df.selectExpr(*keys, *(
+        f"cast({f.name} as double) as _x{i}" if i in doubles else f"cast({f.name} as string) as _t{i}"
+        for i, f in enumerate(fields)
+    ))
+    factors = {scale: f"{2.0**-scale!r}D" for scale in scales}
+    rows = rows.selectExpr("*", *(f"_x{i} * {_case(f'abs(_x{i})', factors)} as _v{i}" for i in doubles))
+    rows = rows.selectExpr("*", *(f"cast(floor(_v{i} * 1048576e0) as bigint) as _w{i}" for i in doubles))
+    labels = {scale: f"'{scale}:'" for scale in scales}
+    texts = (
+        f"case when isnan(_x{i}) then 'nan' when _x{i} > 1.7976931348623157e308 then 'inf'"
+        f" when _x{i} < -1.7976931348623157e308 then '-inf' else concat({_case(f'abs(_x{i})', labels)}, cast(_w{i} as string),"
+        f" '/', cast(cast(floor((_v{i} * 1048576e0 - _w{i}) * 1099511627776e0) as bigint) as string)) end as _t{i}"
+        for i in doubles
+    )
+    rows = rows.selectExpr(*keys, *(f"_t{i}" for i in range(len(fields)) if i not in doubles), *texts)
+    return rows.selectExpr(*keys, "concat_ws('|', {}) as _r".format(", ".join(f"coalesce(_t{i}, '~')" for i in range(len(fields)))))
 
 
 def stamp_parts(df: DataFrame, *keys: str) -> DataFrame:
@@ -50,7 +57,7 @@ def stamp_parts(df: DataFrame, *keys: str) -> DataFrame:
     ``keys`` are not part of the rows that are hashed.
     """
     return (
-        df.selectExpr(*keys, f"{canonical_row(df.drop(*keys))} as _r")
+        canonical_rows(df, *keys)
         .selectExpr(*keys, "cast(conv(substr(md5(_r), 1, 15), 16, 10) as bigint) as _h")
         .groupBy(*keys)
         .agg(

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -13,9 +14,11 @@ from cohortlift.operators import bootstrap as boot
 from cohortlift.operators import matching, report, routing
 from cohortlift.operators.quantiles import exact_quantile
 from cohortlift.plans import record
+from cohortlift.plans.evaluate import evaluate
 from cohortlift.plans.steps import Steps
-from cohortlift.sources import ids, manifests, publish, sinks, stamps
+from cohortlift.sources import ids, manifests, publish, sinks, stamps, tables
 from cohortlift.sources.studies import StudyTable
+from tests.frames import cohort, study
 
 
 def test_a_run_is_published_once(spark, tmp_path):
@@ -149,6 +152,25 @@ def test_steps_count_rows_while_they_are_written(spark):
     assert found["two"].n_rows is None and all(r.seconds > 0 for r in found.values() if r.step != "two")
 
 
+@pytest.mark.parametrize("stamped", [False, True])
+def test_a_run_derives_its_rows_once(spark, stamped):
+    derived = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(x):
+        derived.add(1)
+        return x
+
+    rows = cohort(spark, pd.concat([study("A", 60, 70, 1), study("B", 50, 50, 2)]))
+    rows = rows.withColumn("risk_score", seen("risk_score")).withColumn("note", F.lit(None))
+    config = tables.seed_config(
+        spark, [("A", "Program A", "V", "standard", "exact", "att", 0.5), ("B", "Program B", "V", "standard", "ipw", "ate", 0.5)],
+        schemas.STUDY_CONFIG)
+    spec = boot.Bootstrap(reps=5)
+    assert evaluate(rows, None, config, bootstrap=spec, stamped=stamped).count() == 2
+    assert derived.value == 230
+
+
 def test_binned_sums_do_not_depend_on_order(spark):
     rng = random.Random(5)
     values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-9, 9) for _ in range(5000)] + [0.1] * 64 + [0.0]
