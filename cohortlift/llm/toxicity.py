@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlift.llm.words import Texts, text_slices
-from cohortlift.operators.pinning import stage
+from cohortlift.operators.pinning import stage, stage_union
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -44,6 +44,10 @@ UNIT = 1 << 24
 COMMON_GRAMS = 1 << 18
 _CACHE = 1 << 20
 _CLASS_PART = 2 * ORDER + 2
+#: Sizes whose look-ups are planned as one query; the driver's memory for a plan grows faster than its joins.
+_JOINED_SIZES = 2
+#: Text counted at a time; a worker holds some 100 times as much.
+_COUNTED_BYTES = 1 << 20
 
 
 def _events(texts: Texts, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +86,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each longest n-gram occurs by label; ``gram`` holds its length in the top byte."""
     for batch in batches:
         labels = batch.column("label").to_numpy(zero_copy_only=False)
-        for texts in text_slices(batch.column("text"), 4 << 20):
+        for texts in text_slices(batch.column("text"), _COUNTED_BYTES):
             starts, ends, first_word = texts.spans()
             row = np.repeat(np.arange(texts.rows), np.diff(first_word))
             label = labels[texts.first : texts.first + texts.rows][row].astype(np.uint64)
@@ -111,7 +115,8 @@ def _levels(grams: DataFrame) -> list[DataFrame]:
             F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1)).alias("gram"), F.lit(1).cast("long").alias("times")
         )
         anchored = pooled.where(F.col("order") == size).select("gram", "times")
-        levels.append(shorter.unionByName(anchored).groupBy("gram").agg(F.sum("times").alias("times")))
+        # Each level is read by three tables and the next level, which would all plan it anew.
+        levels.append(stage(shorter.unionByName(anchored).groupBy("gram").agg(F.sum("times").alias("times")), "level"))
     return levels
 
 
@@ -141,7 +146,7 @@ def _longest_context(gram: Column) -> Column:
 
 
 def _tables(grams: DataFrame) -> DataFrame:
-    """(part, gram, value), one row for each exact n-gram or context.  Part ``2 * size`` holds the
+    """(part, gram, value), one row for each exact n-gram or context, written.  Part ``2 * size`` holds the
     pooled model's shares of that order and the part after it the left-over masses; from
     ``_CLASS_PART`` on come both classes' shares and masses, with the length in the top byte."""
     parts = _shares(
@@ -151,10 +156,7 @@ def _tables(grams: DataFrame) -> DataFrame:
     bodies = grams.select(_body(F.col("gram")).alias("gram"), F.shiftright("gram", 56).alias("order"), "times")
     for size, level in zip(range(ORDER, 0, -1), _levels(bodies)):
         parts += _shares(level, [], F.lit(2 * size), F.lit(2 * size + 1), F.shiftright("gram", 8))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return stage_union(parts, "tables", "part")
 
 
 @dataclass
@@ -170,25 +172,27 @@ def _gains(grams: DataFrame, tables: DataFrame) -> DataFrame:
 
     At most 256 n-grams share a long context or ending, and tables of short ones are small, so no key is hot.
     """
-    def look_up(rows: DataFrame, part: int, gram: Column, missing: float) -> DataFrame:
-        held = tables.where(F.col("part") == part).select(F.col("gram").alias("_key"), F.col("value").alias("_value"))
-        return rows.withColumn("_at", gram).join(held, F.col("_at") == F.col("_key"), "left").withColumn(
-            f"_{part}", F.coalesce("_value", F.lit(missing))).drop("_at", "_key", "_value")
+    def look_up(rows: DataFrame, names: dict[int, str], gram: Column, missing: float) -> DataFrame:
+        held = tables.where(F.col("part").isin(*names)).select(F.col("gram").alias("_key"), "part", "value")
+        if len(names) == 1:
+            held = held.select("_key", *(F.col("value").alias(name) for name in names.values()))
+        else:
+            held = held.groupBy("_key").agg(
+                *(F.max(F.when(F.col("part") == part, F.col("value"))).alias(name) for part, name in names.items()))
+        found = rows.withColumn("_at", gram).join(held, F.col("_at") == F.col("_key"), "left").drop("_at", "_key")
+        return found.withColumns({name: F.coalesce(name, F.lit(missing)) for name in names.values()})
 
-    rows, length = grams, F.shiftright("gram", 56)
-    chance = F.lit(1 / 256)
+    rows, length = grams.withColumn("_chance", F.lit(1 / 256)), F.shiftright("gram", 56)
     for size in range(1, ORDER + 1):
         ending = F.when(length >= size, F.col("gram").bitwiseAND(F.lit((1 << 8 * size) - 1)))
-        rows = look_up(rows, 2 * size, ending, 0.0)
-        rows = look_up(rows, 2 * size + 1, F.shiftright(ending, 8), 1.0)
-        chance = F.col(f"_{2 * size}") + F.col(f"_{2 * size + 1}") * chance
-    for label in (0, 1):
-        rows = look_up(rows, _CLASS_PART + label, F.col("gram"), 0.0)
-        rows = look_up(rows, _CLASS_PART + 2 + label, _longest_context(F.col("gram")), 1.0)
-    rows = rows.withColumn("_chance", chance)
-    ordinary, toxic = (
-        F.ln(F.col(f"_{_CLASS_PART + label}") + F.col(f"_{_CLASS_PART + 2 + label}") * F.col("_chance")) for label in (0, 1)
-    )
+        rows = look_up(rows, {2 * size: "_share"}, ending, 0.0)
+        rows = look_up(rows, {2 * size + 1: "_rest"}, F.shiftright(ending, 8), 1.0)
+        rows = rows.select(*grams.columns, (F.col("_share") + F.col("_rest") * F.col("_chance")).alias("_chance"))
+        if size % _JOINED_SIZES == 0:
+            rows = stage(rows, "chances")
+    rows = look_up(rows, {_CLASS_PART + label: f"_share_{label}" for label in (0, 1)}, F.col("gram"), 0.0)
+    rows = look_up(rows, {_CLASS_PART + 2 + label: f"_rest_{label}" for label in (0, 1)}, _longest_context(F.col("gram")), 1.0)
+    ordinary, toxic = (F.ln(F.col(f"_share_{label}") + F.col(f"_rest_{label}") * F.col("_chance")) for label in (0, 1))
     return rows.select(*grams.columns, F.round((toxic - ordinary) * UNIT).cast("long").alias("gain"))
 
 
@@ -355,7 +359,7 @@ def train(labelled: DataFrame) -> Model | None:
     counted = rows.where(draw >= share).select("text", "label")
     grams = counted.mapInArrow(_counts, "label int, gram long, times long").groupBy("label", "gram").agg(
         F.sum("times").alias("times"))
-    tables = stage(_tables(stage(grams, "counts")), "tables", "part")
+    tables = _tables(stage(grams, "counts"))
     seen = _differences(rows.where(draw < share), tables, ["doc_id", "label"]).toArrow()
     if len(set(seen.column("label").to_pylist())) < 2:  # too small a table to fit a scale on
         return Model(tables, np.array([1.0, 0.0, 0.0, 0.0, 0.0]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -49,7 +50,18 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     than a recomputation.  ``by`` names a column of few values whose partitions a filter can
     skip.
     """
-    spark = df.sparkSession
+    return stage_union([df], name, by)
+
+
+def stage_union(parts: Sequence[DataFrame], name: str, by: str | None = None) -> DataFrame:
+    """As ``stage``, for the rows of all ``parts``, tables of the same columns.
+
+    Each is planned and written by itself: the driver keeps the plan of every running query, once for each
+    of its stages, so one wide union costs it far more than its parts do.
+    """
+    spark = parts[0].sparkSession
     path = f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
-    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for part in parts:
+        writer = part.select(*parts[0].columns).write.mode("append")
+        (writer if by is None else writer.partitionBy(by)).parquet(path)
+    return spark.read.schema(parts[0].schema).parquet(path)

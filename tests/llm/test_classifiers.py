@@ -93,3 +93,13 @@ def test_probabilities_sum_to_one_whatever_the_number_of_ngrams(spark, monkeypat
     got = sorted((tuple(r) for r in toxicity.score(docs, model).collect()), key=str)
     monkeypatch.setattr(toxicity, "COMMON_GRAMS", 30)
     assert len(got) == 5 and got == sorted((tuple(r) for r in toxicity.score(docs, model).collect()), key=str)
+
+
+def test_plans_stay_small(spark):
+    model = toxicity.train(labelled(spark, lambda i: "mild words " + INSULTS[i % 3] * (i % 2), 80))
+    grams = spark.createDataFrame([(g, 1) for g in (0x0200000000006101, 0x0500000000616263)], "gram long, held long")
+    gains = toxicity._gains(grams, model.tables)
+    # The driver holds the plan of a query once for each of its stages.
+    assert gains._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 4
+    assert model.tables._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ") == 0
+    assert gains.count() == 2 and gains.where("gain is null").count() == 0
