@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlift.llm.bitmaps import Bitmap
 from cohortlift.llm.components import components
 from cohortlift.llm.words import mix, shingle_sets, text_slices
-from cohortlift.llm.staging import Stages
+from cohortlift.llm.staging import Stages, small_batches
 from cohortlift.operators.pinning import stage
 
 #: Counters of the frequency sketch: 16 a document, so that its errors do not grow with the
 #: corpus, within these bounds.
 SKETCH_LEAST, SKETCH_MOST = 1 << 18, 1 << 25
 _SKETCH_BLOCK = 1 << 16
+#: Text that a task has in numpy at once; the arrays of a slice take many times its bytes.
+_SLICE = 1 << 18
 #: Copies from which a class is dealt over ``SALTS`` tasks where it is joined.
 LARGE_CLASS, SALTS = 512, 32
 _SEEDS = tuple(np.uint64(s) for s in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
@@ -46,7 +48,7 @@ def _sketch_part(width: int, slots: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(slots, dtype=np.int32)
         for batch in batches:
-            for texts in text_slices(batch.column("text")):
+            for texts in text_slices(batch.column("text"), _SLICE):
                 sets = list(shingle_sets(texts, width))
                 tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
                 np.add.at(counts, (tokens & np.uint64(slots - 1)).astype(np.int64), 1)
@@ -119,7 +121,7 @@ def _features(width: int, num: int, den: int, shared):
         classes = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
         for batch in batches:
             ids = batch.column("doc_id")
-            for texts in text_slices(batch.column("text")):
+            for texts in text_slices(batch.column("text"), _SLICE):
                 sets = list(shingle_sets(texts, width))
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
@@ -158,7 +160,7 @@ def _bodies(width: int, num: int, den: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
         for batch in batches:
-            for texts in text_slices(batch.column("text")):
+            for texts in text_slices(batch.column("text"), _SLICE):
                 sets = list(shingle_sets(texts, width))
                 sizes = np.array([len(s) for s in sets], dtype=np.int64)
                 tokens = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
@@ -182,8 +184,8 @@ def _verify(width: int, num: int, den: int):
             linked = []
             for first in range(0, batch.num_rows, 64):
                 part = batch.slice(first, 64)
-                left = [s for texts in text_slices(part.column("text_u")) for s in shingle_sets(texts, width)]
-                right = [s for texts in text_slices(part.column("text_v")) for s in shingle_sets(texts, width)]
+                left = [s for texts in text_slices(part.column("text_u"), _SLICE) for s in shingle_sets(texts, width)]
+                right = [s for texts in text_slices(part.column("text_v"), _SLICE) for s in shingle_sets(texts, width)]
                 for a, b in zip(left, right):
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     linked.append(both > 0 and den * both >= num * (len(a) + len(b) - both))
@@ -246,6 +248,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 4, den: int =
     doc_id count as one document.  A null doc_id takes part in no link and has null ids.  Equal
     texts always share a class.  Extra columns are ignored; an empty table gives an empty result.
     """
+    # All that goes through Python is computed in this call; the result is read and joined in the JVM.
+    with small_batches(docs.sparkSession):
+        return _components(docs, width, num, den)
+
+
+def _components(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
     tables = Stages(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -25,6 +25,8 @@ PASSAGE_WORDS = 64
 MAX_FIT_DOCS = 6000
 #: Labels that may be broadcast, by their counted number.
 MOST_SENT = 1_000_000
+#: Text that a task encodes at once and hands back.
+_SLICE = 1 << 19
 _HIDDEN, _GATE, _EPOCHS, _BATCH = 24, 12, 30, 64
 
 _CLASSES = 8
@@ -184,7 +186,7 @@ def _unpacked(model: bytes) -> dict[str, np.ndarray]:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for texts in text_slices(batch.column("text")):
+        for texts in text_slices(batch.column("text"), _SLICE):
             features, first = encode_passages(texts)
             rows = [features[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -234,12 +236,10 @@ def score(docs: DataFrame, model: bytes | None, out: str = "score") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _unpacked(shared.value)
         for batch in batches:
-            scores = [np.zeros(0)]
-            for texts in text_slices(batch.column("text")):
-                scores.append(predict(weights, *encode_passages(texts)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(scores))], names=[*batch.schema.names, out]
-            )
+            for texts in text_slices(batch.column("text"), _SLICE):
+                scores = pa.array(predict(weights, *encode_passages(texts)), pa.float64())
+                rows = batch.slice(texts.first, texts.rows)
+                yield pa.RecordBatch.from_arrays([*rows.columns, scores], names=[*batch.schema.names, out])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 

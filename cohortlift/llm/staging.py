@@ -3,11 +3,38 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlift.session import shared_dir
 
+#: Bytes of an Arrow batch that goes to a Python worker; a batch counts rows alone otherwise, 10,000 of any length.
+BATCH_BYTES = 1 << 22
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, so that neither side of a worker holds 10,000 texts; a smaller bound stays."""
+    own = spark.conf.get(_BATCH_SETTING, None)
+    if not (own and own.isdigit() and int(own) <= BATCH_BYTES):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bound the batches of what is computed meanwhile; the session then has its own setting again."""
+    own = spark.conf.get(_BATCH_SETTING, None)
+    bound_batches(spark)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, own)
+
 
 class Stages:
     """Tables written below one folder of the shared folder."""

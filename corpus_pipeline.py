@@ -20,13 +20,19 @@ from cohortlift.llm import ngram_join, packing, quality_mil, secret_scan, source
 from cohortlift.llm.bitmaps import Bitmap
 from cohortlift.llm.queries import tokenizer_file
 from cohortlift.llm.shipping import ship
-from cohortlift.llm.staging import Stages
+from cohortlift.llm.staging import Stages, bound_batches
 from cohortlift.session import shared_dir
 
 
+def _begin(spark: SparkSession) -> None:
+    """The code for the executors, and batches bounded by bytes; most stages run after they return, so the bound stays."""
+    ship(spark)
+    bound_batches(spark)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of at least 0.5; a null text is scored as an empty one."""
-    ship(spark)
+    _begin(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_mil.train(quality_mil.training_rows(docs, labels, "quality", 3, 1))
     mark = _fresh(docs, "score")
@@ -44,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A document is a row's doc_id and text: rows that share only a doc_id are different documents, and of rows that
     share both one stays.  Rows with a null doc_id or without words are no one's copies and stay.
     """
-    ship(spark)
+    _begin(spark)
     tables = Stages(spark, "near-duplicates")
     key, mark = _fresh(docs, "key"), _fresh(docs, "mark")
     keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
@@ -68,20 +74,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and ``n_chars`` following the text."""
-    ship(spark)
+    _begin(spark)
     return secret_scan.redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every draw, dealt into the mixture's shards and shuffled in each."""
-    ship(spark)
+    _begin(spark)
     # The mixture's rows lie shard by shard, in their shuffled places, from its last window on.
     return source_mix.mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each piece's place in a sequence of at most 4096 ids."""
-    ship(spark)
+    _begin(spark)
     return packing.pack(docs, capacity=4096, tokenizer_path=tokenizer_file(), end_id=1)
 
 

@@ -104,3 +104,46 @@ def test_large_classes_are_dealt_and_stay_whole(spark, monkeypatch):
     assert len(found) == len(rows) and {found[i].class_id for i in range(40)} == {0}
     assert {found[i].component_id for i in (*range(40), 200)} == {0} and found[200].class_id == 200
     assert all(found[i].component_id == i for i in (*range(100, 109), 300, 301))
+
+
+def test_batches_are_bounded_by_bytes(spark, monkeypatch):
+    import pyarrow as pa
+
+    from cohortlift.llm import ngram_join
+    from cohortlift.llm.staging import BATCH_BYTES
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    def largest(docs, *_):
+        return max(r.size for r in docs.mapInArrow(sizes, "size long").collect())
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(300, numPartitions=1).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 20000) as text")
+    spark.conf.unset(setting)
+    assert largest(docs) > 5 * BATCH_BYTES
+    monkeypatch.setattr(ngram_join, "_components", largest)
+    assert ngram_join.jaccard_components(docs) <= BATCH_BYTES + 200_000  # one row more than the bound
+    assert spark.conf.get(setting, None) is None
+    for _, stage in pipeline.STAGES[2:]:
+        spark.conf.unset(setting)
+        stage(spark, docs.selectExpr("*", "'s' as source"), SF)
+        assert largest(docs) <= BATCH_BYTES + 200_000
+    spark.conf.set(setting, "1000000")
+    pipeline.secrets(spark, docs, SF)
+    assert largest(docs) <= 1_200_000
+    spark.conf.unset(setting)
+
+
+def test_scores_do_not_depend_on_slices(spark, documents):
+    import numpy as np
+    import pyarrow as pa
+
+    from cohortlift.llm import quality_mil
+    from cohortlift.llm.words import text_slices
+
+    texts = ["", None, "One two. Three!", "w " * 300, "ä b\nc"] * 3
+    whole = [quality_mil.encode_passages(t)[0] for t in text_slices(pa.array(texts))]
+    rows = [quality_mil.encode_passages(t)[0] for t in text_slices(pa.array(texts), 1)]
+    assert np.array_equal(np.concatenate(whole), np.concatenate(rows))
