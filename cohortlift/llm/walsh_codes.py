@@ -118,7 +118,8 @@ def refined(vectors: DataFrame, codebooks: list[np.ndarray]) -> list[np.ndarray]
         F.sum("n").alias("n"), F.sum("sum.high").alias("high"), F.sum("sum.low").alias("low")
     )
     out = [entries.copy() for entries in codebooks]
-    for row in totals.toLocalIterator():  # a row for each component of each entry
+    # A row for each component of each entry, fetched by one job: toLocalIterator() would run one a partition.
+    for row in totals.collect():
         out[row.part][row.entry, row.at] = ((row.high << 32) + row.low) // row.n
     return out
 

@@ -222,3 +222,22 @@ def test_codes_of_few_repeated_and_no_rows(spark):
     assert len(rows) == 3 and all(r.error == 0 for r in rows)
     empty = walsh_codes.train(frame.limit(0))
     assert empty.encode().count() == 0 and empty.digest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_jobs_of_a_round_do_not_grow_with_partitions(spark, many_shards):
+    frame = spark.range(40).selectExpr("id AS vec_id", "array(id, 7 * id % 11, 3L, id % 5) AS vector")
+    books = np.split(np.array([[0, 0, 3, 0], [20, 5, 3, 1], [39, 9, 3, 4]]), 2, axis=1)
+    key, context = "spark.sql.shuffle.partitions", spark.sparkContext
+    own = spark.conf.get(key)
+    jobs, found = [], []
+    try:
+        for n in (3, 60):
+            spark.conf.set(key, str(n))
+            context.setJobGroup(f"codes-{n}", "a round of codebooks")
+            found.append(np.concatenate(walsh_codes.refined(frame, books)).tolist())
+            jobs.append(len(context.statusTracker().getJobIdsForGroup(f"codes-{n}")))
+    finally:
+        spark.conf.set(key, own)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert found[0] == found[1] and 0 < jobs[0] == jobs[1]
