@@ -169,9 +169,10 @@ def _top_up(
         .selectExpr("*", "explode(sequence(1L, short)) as draw")
         .selectExpr(*group, "rep", f"({_cubic('hx')} * 2147483648 + {_cubic('hy')}) % n as idx")
     )
-    indexed = group_index(base, group, "unit_id", "idx")
+    indexed = group_index(base.select(*group, "unit_id", "treatment", *names), group, "unit_id", "idx")
     return (
-        draws.join(indexed, [*group, "idx"])
+        # Spark takes an explode to add no rows, so it would send all the draws through the driver as a broadcast.
+        draws.hint("merge").join(indexed, [*group, "idx"])
         .groupBy(*group, "rep", "treatment")
         .agg(*(F.sum(name).alias(name) for name in names))
     )

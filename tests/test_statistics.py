@@ -1,6 +1,7 @@
 """Against plain numpy, and properties that must hold whatever the data."""
 
 import itertools
+import re
 
 import numpy as np
 import pandas as pd
@@ -226,6 +227,17 @@ def test_replicates_over_n_are_drawn_anew(spark, monkeypatch):
     assert {r.w for r in sums} == {20.0} and len(sums) == 120
 
 
+@pytest.mark.parametrize("by_arm", [True, False])
+def test_draws_never_pass_through_the_driver(spark, by_arm):
+    """They grow with the rows, but Spark's estimate of them does not: no plan may broadcast them."""
+    matched = matching.match_none(cohort(spark, study("S", 70, 50, seed=4)))
+    sums = resampled_sums(matched, {"one": "1D"}, Bootstrap(reps=20, by_arm=by_arm))
+    assert sum(row.one for row in sums.collect()) == 20 * 120
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"(\w+Join)[^\[\n]* \[study_id#\d+, pool#\d+, idx#\d+L\]", plan)
+    assert set(joins) == {"SortMergeJoin"}
+
+
 def test_pin_computes_once_on_either_side_of_its_limit(spark):
     for limit in (10, 1000):
         seen = spark.sparkContext.accumulator(0)
